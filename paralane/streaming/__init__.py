@@ -1,0 +1,14 @@
+"""What also runs on a stream.
+
+The rules, text functions, column mapping and fan-out look at one row at a time, so they take
+the frames of ``readStream`` as they are. There are no operators of streams alone.
+"""
+
+from paralane.operators.rules import kept, tag_rejections
+from paralane.operators.shape import fan_out, map_columns, to_pairs
+from paralane.operators.transforms import apply_transforms, normalize_pairs
+
+__all__ = [
+    "apply_transforms", "fan_out", "kept", "map_columns", "normalize_pairs", "tag_rejections",
+    "to_pairs",
+]
