@@ -4,54 +4,70 @@ Each row yields a fixed number of integers, which Spark adds up per group. N-gra
 leave the row, so nothing of their number is shuffled.
 """
 
+import re
 import string
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-from paralane.functions.text import WHITESPACE, text_or_empty
+from paralane.functions.text import text_or_empty
 
 BLEU_ORDER = 4
 CHAR_ORDER = 6
 PUNCTUATION = frozenset(string.punctuation)
-# Characters of text handled at a time; one longer row is still handled whole.
-SLICE = 2_000_000
+# Characters handled at a time, so that the tables of codes fit into the processor's cache. A
+# longer row is still handled whole.
+SLICE = 200_000
 
 
-def tokenize_13a(value: Column | str) -> Column:
-    """The international standard tokenization of machine translation scoring.
+# The steps of the 13a tokenizer, in order. The last four act on the inside of
+# words, next to which they need to see no more than that there is a space.
+ENTITIES = (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"))
+WORD_STEPS = (
+    (re.compile(r"([\{-\~\[-\` -\&\(-\+\:-\@\/])"), r" \1 "),
+    (re.compile(r"([^0-9])([\.,])"), r"\1 \2 "),
+    (re.compile(r"([\.,])([^0-9])"), r" \1 \2"),
+    (re.compile(r"([0-9])(-)"), r"\1 \2 "),
+)
 
-    Tokens are separated by whitespace in the result.
-    """
-    text = F.rtrim(text_or_empty(value), F.lit(WHITESPACE))
-    # The steps of the 13a tokenizer, in order.
-    text = F.replace(text, F.lit("<skipped>"), F.lit(""))
-    text = F.replace(text, F.lit("-\n"), F.lit(""))
-    text = F.replace(text, F.lit("\n"), F.lit(" "))
-    for entity, character in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    text = F.concat(F.lit(" "), text, F.lit(" "))
-    text = F.regexp_replace(text, r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 ")
-    text = F.regexp_replace(text, r"([^0-9])([\.,])", "$1 $2 ")
-    text = F.regexp_replace(text, r"([\.,])([^0-9])", " $1 $2")
-    return F.regexp_replace(text, r"([0-9])(-)", "$1 $2 ")
+
+def _words_13a(text: str) -> list[str]:
+    """The words that the international tokenization of translation scoring starts from."""
+    text = text.rstrip().replace("<skipped>", "").replace("-\n", "")
+    if "&" in text:
+        for entity, character in ENTITIES:
+            text = text.replace(entity, character)
+    return text.split()
+
+
+def _pieces_13a(word: str) -> list[str]:
+    if word.isalnum():
+        return [word]
+    padded = f" {word} "
+    for pattern, replacement in WORD_STEPS:
+        padded = pattern.sub(replacement, padded)
+    return padded.split()
+
+
+def tokenize_13a(text: str) -> list[str]:
+    return [piece for word in _words_13a(text) for piece in _pieces_13a(word)]
+
+
+def _edge_pieces(word: str) -> list[str]:
+    """A word with one punctuation mark taken off its end, or else off its beginning."""
+    if len(word) == 1:
+        return [word]
+    if word[-1] in PUNCTUATION:
+        return [word[:-1], word[-1]]
+    if word[0] in PUNCTUATION:
+        return [word[0], word[1:]]
+    return [word]
 
 
 def edge_split(text: str) -> list[str]:
-    """Words, with one punctuation mark taken off the end, or else off the beginning."""
-    pieces = []
-    for word in text.split():
-        if len(word) == 1:
-            pieces.append(word)
-        elif word[-1] in PUNCTUATION:
-            pieces += (word[:-1], word[-1])
-        elif word[0] in PUNCTUATION:
-            pieces += (word[0], word[1:])
-        else:
-            pieces.append(word)
-    return pieces
+    return [piece for word in text.split() for piece in _edge_pieces(word)]
 
 
 def _code_points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,10 +76,25 @@ def _code_points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(joined, dtype=np.uint32).astype(np.int64), sizes
 
 
-def _token_ids(rows: Sequence[list[str]], ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-    flat = (ids.setdefault(token, len(ids)) for row in rows for token in row)
-    return np.fromiter(flat, dtype=np.int64, count=int(sizes.sum())), sizes
+class _PieceIds(dict):
+    """The ids of the pieces of a word. Each distinct word of a slice is taken apart once."""
+
+    def __init__(self, pieces: Callable[[str], list[str]]):
+        self.pieces, self.ids = pieces, {}
+
+    def __missing__(self, word: str) -> list[int]:
+        found = [self.ids.setdefault(piece, len(self.ids)) for piece in self.pieces(word)]
+        self[word] = found
+        return found
+
+    def arrays(self, rows: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        sizes, flat = [], []
+        for row in rows:
+            before = len(flat)
+            for word in row:
+                flat += self[word]
+            sizes.append(len(flat) - before)
+        return np.array(flat, dtype=np.int64), np.array(sizes, dtype=np.int64)
 
 
 def _overlap(
@@ -139,17 +170,16 @@ def bleu_sums(prediction: Column | str, reference: Column | str) -> Column:
     names = bleu_fields()
 
     def sums(predictions, references):
-        ids: dict[str, int] = {}
-        predicted = _token_ids([text.split() for text in predictions], ids)
-        reference_ids = _token_ids([text.split() for text in references], ids)
-        orders = list(_overlap(predicted, reference_ids, len(ids) + 1, BLEU_ORDER))
-        return [predicted[1], reference_ids[1], *[o[2] for o in orders], *[o[0] for o in orders]]
+        known = _PieceIds(_pieces_13a)
+        sides = [known.arrays(map(_words_13a, side)) for side in (predictions, references)]
+        orders = list(_overlap(*sides, len(known.ids) + 1, BLEU_ORDER))
+        return [sides[0][1], sides[1][1], *[o[2] for o in orders], *[o[0] for o in orders]]
 
     @F.pandas_udf(_integers(names))
     def row_sums(predictions: pd.Series, references: pd.Series) -> pd.DataFrame:
         return _by_slice(predictions, references, sums, names)
 
-    return row_sums(tokenize_13a(prediction), tokenize_13a(reference))
+    return row_sums(text_or_empty(prediction), text_or_empty(reference))
 
 
 def chrf_sums(prediction: Column | str, reference: Column | str, word_order: int = 2) -> Column:
@@ -170,11 +200,9 @@ def chrf_sums(prediction: Column | str, reference: Column | str, word_order: int
         letters = [_code_points(["".join(t.split()) for t in side]) for side in (predictions, references)]
         values = counted(_overlap(*letters, 0x110000, CHAR_ORDER))
         if word_order:
-            ids: dict[str, int] = {}
-            pieces = [
-                _token_ids([edge_split(t) for t in side], ids) for side in (predictions, references)
-            ]
-            values += counted(_overlap(*pieces, len(ids) + 1, word_order))
+            known = _PieceIds(_edge_pieces)
+            sides = [known.arrays(map(str.split, side)) for side in (predictions, references)]
+            values += counted(_overlap(*sides, len(known.ids) + 1, word_order))
         return values
 
     @F.pandas_udf(_integers(names))

@@ -2,7 +2,9 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from paralane.operators.ranks import BUCKET, HASH, histogram
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -15,18 +17,32 @@ def row_hash(columns: Sequence[str]) -> Column:
 
 
 def dataset_hash(
-    df: DataFrame, sample_n: int = 5000, seed: int = 42, columns: Sequence[str] | None = None
+    df: DataFrame,
+    sample_n: int = 5000,
+    seed: int = 42,
+    columns: Sequence[str] | None = None,
+    digits: int = 4,
 ) -> DataFrame:
     """One row: SHA-256 over ``sample_n`` rows, or over all rows if there are no more.
 
-    The sample is the rows with the smallest seeded hashes. Each task keeps only its own
-    smallest, so at most ``sample_n`` hashes per task come together.
+    The sample is the rows with the smallest seeded hashes. A histogram of the hashes' first
+    digits tells which rows can be among them, so that not every task sends ``sample_n`` rows;
+    copies of a row are counted, not collected.
     """
     names = sorted(columns or df.columns)
     hashes = df.select(row_hash(names).alias("h"))
-    place = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("h")), 256)
-    sample = hashes.select("h", place.alias("place")).orderBy("place").limit(sample_n)
-    joined = F.concat_ws("\n", F.sort_array(F.collect_list("h")))
+    hashes = hashes.withColumn(HASH, F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("h")), 256))
+    enough = F.col("__before") + F.col("__size") >= sample_n
+    last = histogram(hashes, [], digits).where(enough).agg(F.min(BUCKET).alias("last"))
+    near = hashes.where(F.substring(HASH, 1, digits) <= F.coalesce(last.scalar(), F.lit("g")))
+    counted = near.groupBy(HASH, "h").agg(F.count(F.lit(1)).alias("copies"))
+    # At most sample_n rows from here on.
+    smallest = counted.orderBy(HASH).limit(sample_n)
+    before = Window.orderBy(HASH).rowsBetween(Window.unboundedPreceding, -1)
+    room = F.lit(sample_n) - F.coalesce(F.sum("copies").over(before), F.lit(0))
+    taken = F.greatest(F.least("copies", room), F.lit(0)).cast("int")
+    sample = smallest.select(F.array_repeat("h", taken).alias("h"))
+    joined = F.concat_ws("\n", F.sort_array(F.flatten(F.collect_list("h"))))
     return sample.agg(F.sha2(joined, 256).alias("dataset_hash"))
 
 

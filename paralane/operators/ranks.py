@@ -22,7 +22,7 @@ def shuffle_hash(keys: Sequence[Column | str], seed: int = 42) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(str(seed)), *parts), 256)
 
 
-def _histogram(hashed: DataFrame, strata: Sequence[str], digits: int) -> DataFrame:
+def histogram(hashed: DataFrame, strata: Sequence[str], digits: int) -> DataFrame:
     """Rows per bucket, with the number of rows before it and in all.
 
     At most 16 ** digits rows per stratum reach the window, whatever the table's size.
@@ -64,7 +64,7 @@ def _cuts(
         F.col("__rank") < F.col("__before") + F.col("__size")
     )
     targets = (
-        _histogram(hashed, strata, digits)
+        histogram(hashed, strata, digits)
         .select("*", F.inline(wanted))
         .where(inside)
         .groupBy(*strata, BUCKET)
@@ -176,7 +176,7 @@ def global_rank(
     16 ** digits rows: 65,536 by default, some 2 MB.
     """
     hashed = df.withColumns({HASH: place, BUCKET: F.substring(place, 1, digits)})
-    offsets = _histogram(hashed.select(HASH), [], digits).select(BUCKET, "__before")
+    offsets = histogram(hashed.select(HASH), [], digits).select(BUCKET, "__before")
     order = Window.partitionBy(BUCKET).orderBy(HASH)
     position = F.col("__before") + F.row_number().over(order) - 1
     return (

@@ -53,6 +53,11 @@ def run_record(
     )
 
 
+def _totals(results: DataFrame) -> DataFrame:
+    """A direction's own row, without those of its domains."""
+    return results.where(F.col("domain").isNull()) if "domain" in results.columns else results
+
+
 def final_metrics(results: DataFrame) -> DataFrame:
     """One row: the map of all scores of a result table, one entry per direction and metric."""
     entries = F.array(
@@ -60,7 +65,7 @@ def final_metrics(results: DataFrame) -> DataFrame:
         F.struct(X.metric_key("direction", "chrf++").alias("key"), F.col("chrf_pp").alias("value")),
     )
     gathered = F.array_sort(F.flatten(F.collect_list(entries)))
-    return results.agg(F.map_from_entries(gathered).alias("final_metrics"))
+    return _totals(results).agg(F.map_from_entries(gathered).alias("final_metrics"))
 
 
 def with_results(record: DataFrame, results: DataFrame, duration: float = 0.0) -> DataFrame:
@@ -108,7 +113,7 @@ def compare_runs(
             F.max(F.when(F.col("metric") == "chrf", F.col("best"))).alias("best_chrf"),
         )
     )
-    current = results.withColumn("direction_key", X.metric_key("direction"))
+    current = _totals(results).withColumn("direction_key", X.metric_key("direction"))
     best_bleu, best_chrf = F.coalesce("best_bleu", F.lit(0.0)), F.coalesce("best_chrf", F.lit(0.0))
     return (
         current.join(best, "direction_key", "left")

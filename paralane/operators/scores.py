@@ -44,11 +44,16 @@ def score_groups(
         "chrf_sums": ("chrf_pp", O.chrf_fields(word_order), lambda s: O.chrf_score(s, word_order)),
     }
     present = {name: how for name, how in wanted.items() if name in rows.columns}
-    grouped = rows.rollup(*by) if rollup else rows.groupBy(*by)
-    summed = grouped.agg(
+    summed = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_samples"),
         *[_added_up(name, fields) for name, (_, fields, _) in present.items()],
     )
+    if rollup:
+        # The subtotals are made from the few rows of the groups, not from the table.
+        summed = summed.rollup(*by).agg(
+            F.sum("n_samples").alias("n_samples"),
+            *[_added_up(name, fields) for name, (_, fields, _) in present.items()],
+        )
     return summed.select(
         *by, "n_samples", *[score(name).alias(out) for name, (out, _, score) in present.items()]
     )

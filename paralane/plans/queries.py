@@ -19,7 +19,7 @@ from paralane.operators.translate import translate_table
 from paralane.plans import views as V
 from paralane.plans.evaluate import evaluate
 from paralane.plans.prepare import validate
-from paralane.session import new_folder
+from paralane.session import materialize, new_folder
 from paralane.sinks.files import (
     lock_test_split, write_report, write_results_csv, write_results_json, write_run,
 )
@@ -407,7 +407,7 @@ def stored_runs(spark, folder):
 def stored_results(spark, folder):
     """The result table through its JSON and CSV exports."""
     path = new_folder(spark, "results")
-    results = scores.evaluate_directions(V.scored_pairs(spark, folder), NAMES)
+    results = materialize(scores.evaluate_directions(V.scored_pairs(spark, folder), NAMES))
     write_results_json(results, f"{path}/json", _record(spark, folder))
     write_results_csv(results, f"{path}/csv")
     fields = "direction string, n_samples long, bleu double, chrf_pp double"
@@ -423,7 +423,7 @@ def stored_results(spark, folder):
 def tracked_results(spark, folder):
     """Scores logged to the experiment store, and read from it."""
     tracker = Tracker(spark, new_folder(spark, "tracker"), "run")
-    results = scores.evaluate_directions(V.scored_pairs(spark, folder), NAMES)
+    results = materialize(scores.evaluate_directions(V.scored_pairs(spark, folder), NAMES))
     tracker.log_eval_results(results)
     tracker.log_metrics_table(
         final_metrics(results).select(F.lit(7).alias("step"), F.col("final_metrics").alias("metrics"))

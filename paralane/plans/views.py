@@ -6,6 +6,7 @@ from paralane.functions import text as X
 from paralane.operators.rules import build_rules
 from paralane.operators.scores import score_groups, with_row_sums
 from paralane.registry import FILE_LANGUAGES
+from paralane.session import spread
 from paralane.sources.text_files import zip_lines
 
 # Limits under which every rule but one rejects some of the lines.
@@ -24,7 +25,8 @@ def line_rules():
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(table, table.columns[0])
 
 
 def document_lines(spark: SparkSession, folder: str) -> DataFrame:

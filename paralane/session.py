@@ -40,6 +40,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a small table over all cores before work that is heavy for its size.
+
+    A table that is already read in as many partitions as there are cores is left alone, so
+    large tables are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a table once, so that the operators that read it twice or thrice reuse it.
 

@@ -72,7 +72,8 @@ def read_pairs(
     """
     if source == "local":
         if csv_path:
-            df = to_pairs(read_csv(spark, csv_path), options.get("mapping"))
+            mapping = options.pop("mapping", None)
+            df = to_pairs(read_csv(spark, csv_path, **options), mapping)
         elif data_dir:
             df = read_text_pairs(spark, data_dir, **options)
         else:
