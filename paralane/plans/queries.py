@@ -458,8 +458,9 @@ def token_ids(spark, folder):
 
 @query
 def padded_token_batches(spark, folder):
-    ranked = global_rank(_token_table(spark, folder), shuffle_hash(KEYS))
-    batches = tokens.padded_batches(ranked, batch_size=16)
+    ranks = global_rank(V.line_pairs(spark, folder).select(*KEYS), shuffle_hash(KEYS))
+    # The token table is already partitioned by its keys; only the ranks are shuffled.
+    batches = tokens.padded_batches(_token_table(spark, folder).join(ranks, KEYS), batch_size=16)
     names = [*tokens.TOKEN_COLUMNS, "decoder_input_ids"]
     return _shown(batches, names).select(*KEYS, "batch_id", *names)
 

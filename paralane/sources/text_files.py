@@ -158,12 +158,13 @@ def incomplete_domains(
 
     Only file names are looked at, not their content.
     """
-    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("path")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
+    names = files.select(F.col("_metadata.file_path").alias("path"))
     found = None
     for language in languages:
         suffix = f"_{language}.txt"
-        decoded = names.where(F.endswith("path", F.lit(suffix)))
-        side = decoded.select(domain_of("path", suffix).alias("domain"), F.lit(language).alias("language"))
+        ours = names.where(F.endswith("path", F.lit(suffix)))
+        side = ours.select(domain_of("path", suffix).alias("domain"), F.lit(language).alias("language"))
         found = side if found is None else found.unionByName(side)
     wanted = F.array(*[F.lit(language) for language in languages])
     first = next(iter(languages))
