@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from paralane.session import broadcast_if_small
+
 HASH = "__hash"
 BUCKET = "__bucket"
 
@@ -41,11 +43,13 @@ def histogram(hashed: DataFrame, strata: Sequence[str], digits: int) -> DataFram
     )
 
 
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, where a null equals a null."""
+    names = {name: f"__right_{name}" for name in on}
     condition = F.lit(True)
-    for name in columns:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+    for name, other in names.items():
+        condition = condition & F.col(name).eqNullSafe(F.col(other))
+    return left.join(right.withColumnsRenamed(names), condition, how).drop(*names.values())
 
 
 def _cuts(
@@ -72,12 +76,9 @@ def _cuts(
              .alias("__targets"))
     )
     keyed = hashed.select(*strata, HASH, F.substring(HASH, 1, digits).alias(BUCKET))
-    if not strata:
-        # At most one row per bound.
-        targets = F.broadcast(targets)
-    near = keyed.join(targets, _same(keyed, targets, [*strata, BUCKET])).select(
-        *[keyed[c] for c in strata], keyed[BUCKET], HASH, "__targets"
-    )
+    # Without strata there is at most one row per bound.
+    targets = broadcast_if_small(targets) if strata else F.broadcast(targets)
+    near = _join(keyed, targets, [*strata, BUCKET])
     order = Window.partitionBy(*strata, BUCKET).orderBy(HASH)
     numbered = near.withColumn("__nth", F.row_number().over(order) - 1)
     hits = numbered.select(
@@ -149,22 +150,27 @@ def stratified_split(
     val: float = 0.05,
     seed: int = 42,
     digits: int = 3,
+    broadcast_limit: int = 100_000,
 ) -> DataFrame:
     """``exact_split`` within each stratum.
 
-    The cuts are joined on the stratum and the first hash digit. If there are too many strata
-    for Spark to broadcast, the largest one is thereby still spread over 16 groups.
+    The cuts are computed when this is called, and broadcast if the strata are few. Otherwise
+    they are joined on the stratum and the first two digits of the hash, so that the largest
+    stratum is spread over 256 groups.
     """
     strata = list(strata)
     hashed = df.withColumn(HASH, shuffle_hash(keys, seed))
     cuts = _cuts(hashed.select(*strata, HASH), _split_bounds(train, val), strata, digits)
     # Every stratum has a cut unless all its rows are before all bounds, which needs train = 1.
-    digit = F.explode(F.array(*[F.lit(f"{i:x}") for i in range(16)]))
-    cuts = cuts.select("*", digit.alias("__digit"))
-    rows = hashed.withColumn("__digit", F.substring(HASH, 1, 1))
-    joined = rows.join(cuts, _same(rows, cuts, [*strata, "__digit"]), "left")
-    label = _split_label(cuts["train_end"], cuts["val_end"])
-    return joined.select(*[rows[c] for c in df.columns], label.alias("split"))
+    cuts = broadcast_if_small(cuts, broadcast_limit)
+    on = list(strata)
+    if cuts.count() > broadcast_limit:
+        digit_pairs = F.explode(F.array(*[F.lit(f"{i:02x}") for i in range(256)]))
+        cuts = cuts.select("*", digit_pairs.alias("__digits"))
+        hashed = hashed.withColumn("__digits", F.substring(HASH, 1, 2))
+        on.append("__digits")
+    label = _split_label(F.col("train_end"), F.col("val_end"))
+    return _join(hashed, cuts, on, "left").select(*df.columns, label.alias("split"))
 
 
 def global_rank(

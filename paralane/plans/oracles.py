@@ -276,6 +276,37 @@ triplets AS (
     JOIN lines c ON c.doc_id = a.doc_id + 2 AND c.pos = a.pos
   WHERE {strip('a.line')} <> '' AND {strip('b.line')} <> '' AND {strip('c.line')} <> '')"""
 
+TEXT_FILES = f"""{LINES},
+files AS (
+  SELECT a.source AS domain, unnest(['eng_Latn', 'npi_Deva', 'mai_Deva']) AS code,
+         unnest([a.line, b.line, c.line]) AS line, a.doc_id, a.pos
+  FROM lines a JOIN lines b ON b.doc_id = a.doc_id + 1 AND b.pos = a.pos
+    JOIN lines c ON c.doc_id = a.doc_id + 2 AND c.pos = a.pos),
+file_lines AS (
+  SELECT domain, code, {strip('line')} AS line,
+         row_number() OVER (PARTITION BY domain, code ORDER BY doc_id, pos) AS place
+  FROM files WHERE NOT (domain = 'src1' AND code = 'mai_Deva')),
+placed AS (
+  SELECT *, place - min(place) FILTER (line <> '') OVER (PARTITION BY domain, code) AS line_no
+  FROM file_lines),
+aligned AS (
+  SELECT domain, line_no, e.line AS eng_Latn, n.line AS npi_Deva, m.line AS mai_Deva
+  FROM placed e JOIN placed n USING (domain, line_no) JOIN placed m USING (domain, line_no)
+  WHERE e.code = 'eng_Latn' AND n.code = 'npi_Deva' AND m.code = 'mai_Deva' AND line_no >= 0
+    AND e.line <> '' AND n.line <> '' AND m.line <> '')"""
+FOUR_WAYS = (
+    ("eng_Latn", "npi_Deva"), ("npi_Deva", "eng_Latn"), ("eng_Latn", "mai_Deva"), ("mai_Deva", "eng_Latn"),
+)
+
+
+def fanned_out(table: str, keys: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {keys}, {a} AS src, {b} AS tgt, '{a}' AS src_lang, '{b}' AS tgt_lang, "
+        f"{i}::bigint AS direction_no FROM {table}"
+        for i, (a, b) in enumerate(FOUR_WAYS)
+    )
+
+
 # Tokens.
 
 TAGGED = "src_lang || ' ' || tgt_lang || ' ' || src"
@@ -384,17 +415,10 @@ SELECT doc_id, len({words('text')}) AS words, length({strip('text')}) AS strippe
         "'general' AS domain FROM chat",
     ),
     "line_triplets": _with(TRIPLETS, 'SELECT doc_id, pos, eng_Latn, npi_Deva, mai_Deva FROM triplets'),
-    "fanned_out_triplets": _with(
-        TRIPLETS,
-        " UNION ALL ".join(
-            f"SELECT doc_id, pos, {a} AS src, {b} AS tgt, '{a}' AS src_lang, '{b}' AS tgt_lang, "
-            f"{i}::bigint AS direction_no FROM triplets"
-            for i, (a, b) in enumerate(
-                [("eng_Latn", "npi_Deva"), ("npi_Deva", "eng_Latn"),
-                 ("eng_Latn", "mai_Deva"), ("mai_Deva", "eng_Latn")]
-            )
-        ),
-    ),
+    "fanned_out_triplets": _with(TRIPLETS, fanned_out("triplets", "doc_id, pos")),
+    "aligned_text_files": _with(TEXT_FILES, fanned_out("aligned", "domain, line_no")),
+    "domains_without_all_files": "SELECT DISTINCT source AS domain, 'maithili' AS missing "
+    "FROM documents WHERE source = 'src1'",
     "ingestion_summary": _with(
         PAIRS,
         "SELECT count(*) AS n_rows, count(DISTINCT src_lang) AS src_langs, "

@@ -19,13 +19,15 @@ from paralane.operators.translate import translate_table
 from paralane.plans import views as V
 from paralane.plans.evaluate import evaluate
 from paralane.plans.prepare import validate
+from paralane.registry import FILE_LANGUAGES
 from paralane.session import materialize, new_folder
 from paralane.sinks.files import (
-    lock_test_split, write_report, write_results_csv, write_results_json, write_run,
+    lock_test_split, write_report, write_results_csv, write_results_json, write_run, write_text_files,
 )
 from paralane.sinks.tracker import Tracker
 from paralane.sources.run_history import read_runs
-from paralane.sources.tables import read_csv, read_pairs, read_table
+from paralane.sources.tables import read_pairs, read_table
+from paralane.sources.text_files import incomplete_domains
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -179,6 +181,37 @@ def fanned_out_triplets(spark, folder):
     return pairs.withColumn("direction_no", F.col("direction_no").cast("long"))
 
 
+def _written_text_files(spark, folder):
+    """Three documents in a row as the languages of a domain; one domain lacks a file."""
+    lines = V.document_lines(spark, folder)
+    made = None
+    for shift, name in enumerate(FILE_LANGUAGES):
+        side = lines.select(
+            (F.col("doc_id") - shift).alias("doc_id"), "pos", F.col("line").alias(name),
+            *([F.col("source").alias("domain")] if shift == 0 else []),
+        )
+        made = side if made is None else made.join(side, KEYS)
+    files = F.array(
+        *[F.struct(F.concat("domain", F.lit(f"_{n}.txt")).alias("file"), F.col(n).alias("line")) for n in FILE_LANGUAGES]
+    )
+    path = new_folder(spark, "text")
+    rows = made.select(*KEYS, F.inline(files)).where(F.col("file") != "src1_maithili.txt")
+    write_text_files(rows, path, KEYS)
+    return path
+
+
+@query
+def aligned_text_files(spark, folder):
+    pairs = read_pairs(spark, "local", data_dir=_written_text_files(spark, folder))
+    return pairs.withColumn("direction_no", F.col("direction_no").cast("long"))
+
+
+@query
+def domains_without_all_files(spark, folder):
+    found = incomplete_domains(spark, _written_text_files(spark, folder))
+    return found.withColumn("missing", F.array_join("missing", ","))
+
+
 @query
 def ingestion_summary(spark, folder):
     return shape.ingestion_summary(V.line_pairs(spark, folder))

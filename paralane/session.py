@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> SparkSession:
@@ -60,3 +60,13 @@ def materialize(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
     return df.checkpoint()
+
+
+def broadcast_if_small(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """Compute a table once, and mark it for broadcast if it has no more than ``limit`` rows.
+
+    Spark's own estimate for what is left of a large table after aggregation is far too high;
+    it would shuffle the large side of a join before it learns the size of the small one.
+    """
+    df = materialize(df)
+    return F.broadcast(df) if df.count() <= limit else df

@@ -1,5 +1,7 @@
 """Files that a run leaves: the locked test split, reports, results and run records."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 RESULT_COLUMNS = ("direction", "n_samples", "bleu", "chrf_pp", "domain")
@@ -23,6 +25,15 @@ def lock_test_split(
     return read_locked_test(df.sparkSession, path, format)
 
 
+def write_text_files(lines: DataFrame, path: str, order_by: Sequence[str]) -> None:
+    """Write ``file, line`` as text files, each a folder of parts in the order of its lines.
+
+    A sort by range splits large files among tasks.
+    """
+    ordered = lines.orderBy("file", *order_by).select("file", "line")
+    ordered.write.partitionBy("file").text(path)
+
+
 def write_results_json(results: DataFrame, path: str, record: DataFrame | None = None) -> None:
     """One document ``{"metadata": ..., "results": [...]}``. A result table is a few rows."""
     rows = F.array_sort(F.collect_list(F.struct(*RESULT_COLUMNS)))

@@ -3,8 +3,12 @@
 Files are read by blocks, so one file may be larger than any task can hold. A line's number
 is its place within its block, plus the lines of the blocks before it, minus the blank lines
 that the file begins with. A byte-order mark is not part of the text.
+
+A file may also be a folder of part files, as Spark writes them; the parts follow each other in
+the order of their names.
 """
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -16,12 +20,14 @@ from paralane.functions import text as X
 from paralane.operators.shape import fan_out
 from paralane.registry import DIRECTIONS, FILE_LANGUAGES
 
-LINES_SCHEMA = "file string, block long, in_block long, line string"
+# Offsets of this many blocks, of 128 MB each by default, take some 200 MB.
+BROADCAST_BLOCKS = 1_000_000
+LINES_SCHEMA = "path string, block long, in_block long, line string"
 
 
 def _scan(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value").alias("line"),
     )
@@ -34,7 +40,7 @@ def _count_within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     for batch in batches:
         if not batch.num_rows:
             continue
-        files = batch.column("file").dictionary_encode()
+        files = batch.column("path").dictionary_encode()
         blocks = batch.column("block").to_numpy()
         codes = files.indices.to_numpy()
         begins = np.flatnonzero((np.diff(codes) != 0) | (np.diff(blocks) != 0)) + 1
@@ -47,55 +53,72 @@ def _count_within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         last = (files.dictionary[int(codes[-1])].as_py(), int(blocks[-1]))
         seen = int(place[-1]) + 1
         yield pa.RecordBatch.from_arrays(
-            [batch.column("file"), batch.column("block"), pa.array(place), batch.column("line")],
-            names=["file", "block", "in_block", "line"],
+            [batch.column("path"), batch.column("block"), pa.array(place), batch.column("line")],
+            names=["path", "block", "in_block", "line"],
         )
 
 
-def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``file, line_no, line``: the lines from the first that is not blank, numbered from 0.
+def _file_of(path: Column | str, suffix: str) -> Column:
+    """The file, or folder of parts, that a path belongs to."""
+    ending = re.escape(suffix)
+    return F.regexp_extract(path, f"^(.*{ending})(/[^/]*)?$", 1)
+
+
+def domain_of(path: Column | str, suffix: str) -> Column:
+    """The name of the file or folder without its suffix.
+
+    Percent escapes of the path are undone, and so is the ``column=`` that Spark puts before
+    the name of a folder of parts.
+    """
+    path = F.col(path) if isinstance(path, str) else path
+    file = _file_of(path, suffix)
+    name = F.element_at(F.split(file, "/"), -1)
+    name = F.when(path == file, name).otherwise(F.regexp_replace(name, "^[^=]*=", ""))
+    # A plus sign is itself in a path, but a space to url_decode.
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.left(decoded, F.length(decoded) - F.lit(len(suffix)))
+
+
+def numbered_lines(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".txt") -> DataFrame:
+    """``domain, line_no, line``: lines from the first that is not blank, numbered from 0.
 
-    The lines are not shuffled. The blocks are summed up in a second scan, one row each, and
-    the number of lines before a block depends only on where it begins. Should the two scans
+    The lines are not shuffled, unless there are too many blocks to broadcast. The blocks are
+    summed up in a second scan, one row each, and the number of lines before a block depends only on where it begins. Should the two scans
     cut a file at different places, the query fails; it never misaligns lines.
     """
     scan = _scan(spark, paths)
     # Row ids grow in reading order; here they only compare rows of one block in one scan.
     row = F.monotonically_increasing_id()
     blocks = (
-        scan.select("file", "block", row.alias("row"), (X.strip("line") != "").alias("filled"))
-        .groupBy("file", "block")
+        scan.select("path", "block", row.alias("row"), (X.strip("line") != "").alias("filled"))
+        .groupBy("path", "block")
         .agg(
             F.count(F.lit(1)).alias("lines"),
             (F.min(F.when(F.col("filled"), F.col("row"))) - F.min("row")).alias("blanks"),
         )
+        .withColumn("file", _file_of("path", suffix))
     )
     whole = Window.partitionBy("file")
-    before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole.orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("before", F.coalesce(F.sum("lines").over(before), F.lit(0)))
     offsets = offsets.withColumn("skipped", F.min(F.col("before") + F.col("blanks")).over(whole))
-    offsets = offsets.select(
-        "file", "block", (F.col("before") - F.coalesce("skipped", F.lit(0))).alias("offset")
-    )
+    offset = F.col("before") - F.coalesce("skipped", F.lit(0))
+    offsets = offsets.select("path", "block", domain_of("path", suffix).alias("domain"), offset.alias("offset"))
+    # Two partitions that follow each other hold more than a block between them.
+    blocks_at_most = len(scan.inputFiles()) + 2 * scan.rdd.getNumPartitions()
+    if blocks_at_most <= BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
     lines = scan.mapInArrow(_count_within_blocks, LINES_SCHEMA)
     known = F.coalesce(
         "offset", F.raise_error(F.lit("a file was split differently in two scans of it")).cast("bigint")
     )
     return (
-        lines.join(offsets, ["file", "block"], "left")
-        .select("file", (known + F.col("in_block")).alias("line_no"), "line")
+        lines.join(offsets, ["path", "block"], "left")
+        .select("domain", (known + F.col("in_block")).alias("line_no"), "line")
         .where(F.col("line_no") >= 0)
     )
 
 
-def domain_of(file: Column | str, suffix: str) -> Column:
-    """The file name without its suffix; percent escapes of the path are undone."""
-    name = F.element_at(F.split(file, "/"), -1)
-    # A plus sign is itself in a path, but a space to url_decode.
-    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-    return F.left(decoded, F.length(decoded) - F.lit(len(suffix)))
-
-
 def _files(folder: str, language: str) -> str:
     return f"{folder.rstrip('/')}/*_{language}.txt"
 
@@ -125,14 +148,13 @@ def read_aligned_lines(
     sides = {}
     for number, (name, code) in enumerate(languages.items()):
         try:
-            lines = numbered_lines(spark, _files(folder, name))
+            sides[code] = numbered_lines(spark, _files(folder, name), f"_{name}.txt")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             if number == 0:
                 raise FileNotFoundError(f"no *_{name}.txt files in {folder}") from error
             raise ValueError(f"no domain in {folder} has a file for each language") from error
-        sides[code] = lines.withColumn("domain", domain_of("file", f"_{name}.txt"))
     return zip_lines(sides)
 
 
@@ -163,7 +185,7 @@ def incomplete_domains(
     found = None
     for language in languages:
         suffix = f"_{language}.txt"
-        ours = names.where(F.endswith("path", F.lit(suffix)))
+        ours = names.where(_file_of("path", suffix) != "")
         side = ours.select(domain_of("path", suffix).alias("domain"), F.lit(language).alias("language"))
         found = side if found is None else found.unionByName(side)
     wanted = F.array(*[F.lit(language) for language in languages])

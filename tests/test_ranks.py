@@ -49,12 +49,13 @@ def test_seed_and_partitions(spark):
     assert sorted(one) == sorted(again) != sorted(other)
 
 
-def test_stratified_split(spark):
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_stratified_split(spark, limit):
     # One stratum with most rows, small ones, and one of nulls.
     df = spark.range(1000).withColumn(
         "s", F.when(F.col("id") < 700, "big").when(F.col("id") < 980, F.concat(F.lit("s"), F.col("id") % 40))
     )
-    found = {row.id: row.split for row in stratified_split(df, ["id"], ["s"], 0.8, 0.1).collect()}
+    found = {row.id: row.split for row in stratified_split(df, ["id"], ["s"], 0.8, 0.1, broadcast_limit=limit).collect()}
     assert len(found) == 1000
     members = {}
     for row in df.collect():

@@ -112,6 +112,20 @@ def test_batches_within_a_block(spark, tmp_path):
     assert len(lines) == 25_000 and all(l.line_no == int(l.line) for l in lines)
 
 
+def test_a_folder_of_parts_is_a_file(spark, tmp_path, small_blocks):
+    from paralane.sinks.files import write_text_files
+
+    lines = spark.range(300).selectExpr(
+        "id", "explode(array('english', 'nepali', 'maithili')) AS l"
+    ).selectExpr("concat('A b_', l, '.txt') AS file", "id", "concat(l, ' ', id) AS line")
+    path = str(tmp_path / "parts")
+    write_text_files(lines, path, ["id"])
+    small_blocks(500)
+    rows = read_text_pairs(spark, path).where("direction_no = 0").orderBy("line_no").collect()
+    assert [(r.src, r.tgt, r.domain) for r in rows] == [(f"english {i}", f"nepali {i}", "A b") for i in range(300)]
+    assert incomplete_domains(spark, path).count() == 0
+
+
 def test_lines_are_shuffled_once_per_side(spark, folder):
     plan = read_aligned_lines(spark, str(folder))._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
