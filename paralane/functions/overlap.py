@@ -76,6 +76,13 @@ def _code_points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(joined, dtype=np.uint32).astype(np.int64), sizes
 
 
+def _dense(sides: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple:
+    """Both sides with small numbers for their code points, and how many there are."""
+    codes, distinct = pd.factorize(np.concatenate([units for units, _ in sides]))
+    parts = np.split(codes, [len(sides[0][0])])
+    return (parts[0], sides[0][1]), (parts[1], sides[1][1]), max(len(distinct), 1)
+
+
 class _PieceIds(dict):
     """The ids of the pieces of a word. Each distinct word of a slice is taken apart once."""
 
@@ -105,29 +112,37 @@ def _overlap(
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per order, three arrays by row: n-grams predicted, n-grams in the reference, matches.
 
-    The code of an n-gram is made from the code of its first n-1 units and the last unit, and
-    includes its row. Codes are made dense again at each order, so they are exact.
+    The code of an n-gram is its row and units as the digits of one integer, so codes are
+    exact. Before they outgrow 62 bits they are replaced by dense ones.
     """
     units = np.concatenate([predicted[0], reference[0]])
     sizes = np.concatenate([predicted[1], reference[1]])
     n_rows = len(predicted[1])
-    text_of = np.repeat(np.arange(2 * n_rows), sizes)
-    position = np.arange(len(units)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    left = np.repeat(sizes, sizes) - position
-    codes = text_of % max(n_rows, 1)
+    side = np.repeat(np.arange(2 * n_rows) >= n_rows, sizes).astype(np.int64)
+    codes = np.repeat(np.arange(2 * n_rows) % max(n_rows, 1), sizes)
+    # How many n-grams begin at a unit or after it, in its text.
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(units))
     start = np.arange(len(units))
+    rows, bound, span = np.arange(n_rows), n_rows, 1
     for order in range(1, max_order + 1):
         inside = left[start] >= order
         start, codes = start[inside], codes[inside]
-        codes, distinct = pd.factorize(codes * alphabet + units[start + order - 1])
-        side = text_of[start] >= n_rows
-        hits = np.bincount(codes[~side], minlength=len(distinct))
-        wanted = np.bincount(codes[side], minlength=len(distinct))
-        row_of = np.empty(len(distinct), dtype=np.int64)
-        row_of[codes] = text_of[start] % max(n_rows, 1)
-        matches = np.bincount(row_of, weights=np.minimum(hits, wanted), minlength=n_rows)
+        if bound * alphabet >= 1 << 61:
+            codes, distinct = pd.factorize(codes)
+            rows, bound, span = rows[distinct // span], max(len(distinct), 1), 1
+        codes = codes * alphabet + units[start + order - 1]
+        bound, span = bound * alphabet, span * alphabet
+        # Sorted, an n-gram's copies in the prediction come right before those in the reference.
+        ordered = np.sort(codes * 2 + side[start])
+        begins = np.flatnonzero(np.diff(ordered, prepend=-1))
+        copies = np.diff(begins, append=len(ordered))
+        grams = ordered[begins]
+        shared = np.flatnonzero((np.diff(grams) == 1) & (grams[:-1] % 2 == 0))
+        clipped = np.minimum(copies[shared], copies[shared + 1])
+        row_of = rows[grams[shared] // 2 // span]
+        matches = np.bincount(row_of, weights=clipped, minlength=n_rows).astype(np.int64)
         totals = np.maximum(sizes - order + 1, 0)
-        yield totals[:n_rows], totals[n_rows:], matches.astype(np.int64)
+        yield totals[:n_rows], totals[n_rows:], matches
 
 
 def _slices(lengths: np.ndarray) -> Iterator[slice]:
@@ -198,7 +213,7 @@ def chrf_sums(prediction: Column | str, reference: Column | str, word_order: int
 
     def sums(predictions, references):
         letters = [_code_points(["".join(t.split()) for t in side]) for side in (predictions, references)]
-        values = counted(_overlap(*letters, 0x110000, CHAR_ORDER))
+        values = counted(_overlap(*_dense(letters), CHAR_ORDER))
         if word_order:
             known = _PieceIds(_edge_pieces)
             sides = [known.arrays(map(str.split, side)) for side in (predictions, references)]

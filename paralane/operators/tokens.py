@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from paralane.functions import text as X
 from paralane.operators.ranks import global_rank
 from paralane.operators.scores import LABEL_PADDING
+from paralane.session import materialize
 
 # The special ids of the built-in vocabulary.
 PAD_ID, UNKNOWN_ID, EOS_ID = 0, 1, 2
@@ -72,6 +73,27 @@ def vocabulary(df: DataFrame, columns: Sequence[Column | str]) -> DataFrame:
     return ranked.select("token", "n", (F.col("__rank") + FIRST_ID).cast("int").alias("token_id"))
 
 
+def _looked_up(words: DataFrame, ids: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Words with the ids of a vocabulary that is too large to broadcast.
+
+    Words that are frequent enough to make a hot task, at most the inverse of ``HOT_SHARE`` of
+    them, are looked up by broadcast; the others are shuffled by word.
+    """
+    counted = words.groupBy(F.col("__token").alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
+    total = counted.select(F.sum("__n").alias("__n")).scalar()
+    hot = counted.where(F.col("__hot").isNotNull() & (F.col("__n") >= HOT_SHARE * total))
+    hot = hot.join(ids, F.col("__hot") == F.col("__known"), "left").select(
+        "__hot", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("__hot_id")
+    )
+    found = words.join(F.broadcast(hot), F.col("__token") == F.col("__hot"), "left")
+    # What has no cold word, because it is hot or of an empty text, is spread evenly under keys
+    # that begin with a space, as no word does.
+    cold = F.when(F.col("__hot").isNull(), F.col("__token"))
+    spread = F.concat(F.lit(" "), F.hash(*keys, "__side", "__pos").cast("string"))
+    found = found.withColumn("__key", F.coalesce(cold, spread))
+    return found.join(ids, F.col("__key") == F.col("__known"), "left")
+
+
 def encode_words(
     df: DataFrame,
     vocab: DataFrame,
@@ -79,12 +101,13 @@ def encode_words(
     keys: Sequence[str],
     max_length: int = 256,
     eos: bool = True,
+    broadcast_limit: int = 2_000_000,
 ) -> DataFrame:
     """Arrays of the ids of the words of some texts, one row per key.
 
     ``columns`` maps the name of a new array to its text. Words missing in the vocabulary get
-    the unknown id. Words that are frequent enough to make a hot task, at most the inverse of
-    ``HOT_SHARE`` of them, are looked up by broadcast; the others are shuffled by word.
+    the unknown id. The vocabulary is computed when this is called; up to ``broadcast_limit``
+    words of it, some 100 MB, are broadcast.
     """
     room = max_length - 1 if eos else max_length
     sides = F.array(
@@ -99,19 +122,12 @@ def encode_words(
     words = df.select(*keys, F.inline(sides)).select(
         *keys, "__side", F.posexplode_outer("__words").alias("__pos", "__token")
     )
-    ids = vocab.select(F.col("token").alias("__known"), "token_id")
-    counted = words.groupBy(F.col("__token").alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
-    total = counted.select(F.sum("__n").alias("__n")).scalar()
-    hot = counted.where(F.col("__hot").isNotNull() & (F.col("__n") >= HOT_SHARE * total))
-    hot = hot.join(ids, F.col("__hot") == F.col("__known"), "left").select(
-        "__hot", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("__hot_id")
-    )
-    found = words.join(F.broadcast(hot), F.col("__token") == F.col("__hot"), "left")
-    # A word that is hot, or an empty text, gets a key of its own that no token has.
-    cold = F.when(F.col("__hot").isNull(), F.col("__token"))
-    own = F.concat_ws(" ", F.lit(""), *[F.col(k).cast("string") for k in keys], "__side", "__pos")
-    found = found.withColumn("__key", F.coalesce(cold, own))
-    found = found.join(ids, F.col("__key") == F.col("__known"), "left")
+    ids = materialize(vocab.select(F.col("token").alias("__known"), "token_id"))
+    if ids.count() <= broadcast_limit:
+        found = words.join(F.broadcast(ids), F.col("__token") == F.col("__known"), "left")
+        found = found.withColumn("__hot_id", F.lit(None).cast("int"))
+    else:
+        found = _looked_up(words, ids, keys)
     token_id = F.coalesce("__hot_id", "token_id", F.lit(UNKNOWN_ID))
     place = F.struct(F.col("__pos").alias("pos"), token_id.alias("id"))
     placed = found.select(*keys, "__side", F.when(F.col("__token").isNotNull(), place).alias("__place"))
@@ -130,10 +146,11 @@ def tokenize_words(
     keys: Sequence[str],
     max_length: int = 256,
     tagged: bool = True,
+    **options,
 ) -> DataFrame:
     """The token table of a pair table by the built-in vocabulary."""
     source = X.tagged_input() if tagged else F.col("src")
-    encoded = encode_words(df, vocab, {"input_ids": source, "labels": F.col("tgt")}, keys, max_length)
+    encoded = encode_words(df, vocab, {"input_ids": source, "labels": F.col("tgt")}, keys, max_length, **options)
     mask = F.array_repeat(F.lit(1), F.size("input_ids"))
     return encoded.select(*keys, "input_ids", mask.alias("attention_mask"), "labels")
 

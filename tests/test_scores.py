@@ -115,17 +115,20 @@ def test_random_pairs_like_python(spark, random_pairs, monkeypatch):
         assert found == pytest.approx(python_chrf(random_pairs, order), abs=1e-9)
 
 
-def test_slices_do_not_matter(random_pairs, monkeypatch):
+@pytest.mark.parametrize("alphabet", [0x110000, 1 << 40])
+def test_slices_do_not_matter(random_pairs, monkeypatch, alphabet):
     import pandas as pd
 
     known = [pd.Series(side) for side in zip(*random_pairs)]
 
     def sums(predictions, references):
         letters = [O._code_points(side) for side in (predictions, references)]
-        return [v for order in O._overlap(*letters, 0x110000, 6) for v in order]
+        return [v for order in O._overlap(*letters, alphabet, 6) for v in order]
 
     names = [str(i) for i in range(18)]
     whole = O._by_slice(*known, sums, names)
+    expected = [[sum((grams(h, n) & grams(r, n)).values()) for n in range(1, 7)] for h, r in random_pairs]
+    assert whole[names[2::3]].to_numpy().tolist() == expected
     monkeypatch.setattr(O, "SLICE", 7)
     assert O._by_slice(*known, sums, names).equals(whole)
     assert O._by_slice(known[0].iloc[:0], known[1].iloc[:0], sums, names).empty

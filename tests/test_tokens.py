@@ -30,14 +30,14 @@ def test_vocabulary(spark, pairs):
     assert {r.token: r.n for r in rows}["a"] == 3
 
 
-@pytest.mark.parametrize("hot", [0.0, 0.2, 2.0])
+@pytest.mark.parametrize("hot, broadcast", [(1.0, 9), (0.0, 0), (0.2, 0), (2.0, 0)])
 @pytest.mark.parametrize("limit", [2, 4, 256])
-def test_encoding(spark, pairs, monkeypatch, hot, limit):
+def test_encoding(spark, pairs, monkeypatch, hot, broadcast, limit):
     """Whether words are looked up by broadcast or by shuffle does not matter."""
     monkeypatch.setattr(T, "HOT_SHARE", hot)
     known = python_vocabulary([r[2] for r in ROWS])
     vocab = T.vocabulary(pairs, ["tgt"])
-    rows = T.tokenize_words(pairs, vocab, ["i"], limit, tagged=False).collect()
+    rows = T.tokenize_words(pairs, vocab, ["i"], limit, tagged=False, broadcast_limit=broadcast).collect()
 
     def ids(text):
         return [known.get(w, T.UNKNOWN_ID) for w in (text or "").split()][: limit - 1] + [T.EOS_ID]
