@@ -19,7 +19,7 @@ CHAR_ORDER = 6
 PUNCTUATION = frozenset(string.punctuation)
 # Characters handled at a time, so that the tables of codes fit into the processor's cache. A
 # longer row is still handled whole.
-SLICE = 200_000
+SLICE = 50_000
 
 
 # The steps of the 13a tokenizer, in order. The last four act on the inside of

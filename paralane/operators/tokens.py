@@ -32,32 +32,33 @@ def tokenize_with(
     ``input_ids``, ``labels`` and, if it has one, ``attention_mask``. Directions are told
     apart inside the batches of a task; they do not become groups of a shuffle.
     """
-    key_fields = [df.schema[name] for name in keys]
     ids = T.ArrayType(T.IntegerType())
-    schema = T.StructType([*key_fields, *[T.StructField(name, ids) for name in TOKEN_COLUMNS]])
-    prepared = df.select(
-        *keys,
-        X.text_or_empty("src_lang").alias("__src_lang"),
-        X.text_or_empty("tgt_lang").alias("__tgt_lang"),
-        X.tagged_input().alias("__src"),
-        X.text_or_empty("tgt").alias("__tgt"),
-    )
-    key_names = list(keys)
+    schema = T.StructType([T.StructField(name, ids) for name in TOKEN_COLUMNS])
+
+    def cut(rows) -> list[list[int]]:
+        return [list(row)[:max_length] for row in rows]
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(schema)
+    def encode(
+        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]
+    ) -> Iterator[pd.DataFrame]:
         tokenizer = make_tokenizer()
-        for batch in batches:
-            for (src_lang, tgt_lang), rows in batch.groupby(["__src_lang", "__tgt_lang"]):
-                out = tokenizer(rows["__src"].tolist(), rows["__tgt"].tolist(), src_lang, tgt_lang)
-                inputs = [list(row)[:max_length] for row in out["input_ids"]]
+        for sources, targets, src_langs, tgt_langs in batches:
+            encoded = {name: [None] * len(sources) for name in TOKEN_COLUMNS}
+            for rows in sources.groupby([src_langs, tgt_langs]).indices.values():
+                direction = src_langs.iloc[rows[0]], tgt_langs.iloc[rows[0]]
+                out = tokenizer(sources.iloc[rows].tolist(), targets.iloc[rows].tolist(), *direction)
+                inputs = cut(out["input_ids"])
                 masks = out.get("attention_mask") or [[1] * len(row) for row in inputs]
-                encoded = rows[key_names].copy()
-                encoded["input_ids"] = inputs
-                encoded["attention_mask"] = [list(row)[:max_length] for row in masks]
-                encoded["labels"] = [list(row)[:max_length] for row in out["labels"]]
-                yield encoded
+                for row, *values in zip(rows, inputs, cut(masks), cut(out["labels"])):
+                    for name, value in zip(TOKEN_COLUMNS, values):
+                        encoded[name][row] = value
+            yield pd.DataFrame(encoded)
 
-    return prepared.mapInPandas(encode, schema)
+    tokens = encode.asNondeterministic()(
+        X.tagged_input(), X.text_or_empty("tgt"), X.text_or_empty("src_lang"), X.text_or_empty("tgt_lang")
+    )
+    return df.select(*keys, tokens.alias("__tokens")).select(*keys, "__tokens.*")
 
 
 def vocabulary(df: DataFrame, columns: Sequence[Column | str]) -> DataFrame:

@@ -3,7 +3,7 @@
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from paralane.functions import text as X
 
@@ -22,32 +22,35 @@ def translate_table(
 ) -> DataFrame:
     """Add ``output``. Each task makes its translator once and feeds it batches of one direction.
 
-    The parallelism is that of the table's partitions; there is no shuffle. ``preprocess`` and
-    ``postprocess`` are a user's steps around the translator and have its signature.
+    The parallelism is that of the table's partitions; there is no shuffle. Only the text and
+    its languages go to Python. ``preprocess`` and ``postprocess`` are a user's steps around the
+    translator and have its signature.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField(output, T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def answers_to(texts: list[str], src_lang, tgt_lang, translate: Translate) -> list[str]:
+        if preprocess:
+            texts = preprocess(texts, src_lang, tgt_lang)
+        done: list[str] = []
+        for begin in range(0, len(texts), batch_size):
+            out = translate(texts[begin:begin + batch_size], src_lang, tgt_lang)
+            if repair_question_marks:
+                out = [answer.replace("\u061f", "?") for answer in out]
+            done.extend(postprocess(out, src_lang, tgt_lang) if postprocess else out)
+        return done
+
+    @F.pandas_udf("string")
+    def predict(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         translate = make_translator()
-        for batch in batches:
-            answers = pd.Series([None] * len(batch), index=batch.index, dtype=object)
-            by_direction = batch.groupby(["src_lang", "tgt_lang"], dropna=False)
-            for (src_lang, tgt_lang), rows in by_direction:
-                texts = rows[text].fillna("").tolist()
-                if preprocess:
-                    texts = preprocess(texts, src_lang, tgt_lang)
-                done: list[str] = []
-                for begin in range(0, len(texts), batch_size):
-                    out = translate(texts[begin:begin + batch_size], src_lang, tgt_lang)
-                    if repair_question_marks:
-                        out = [answer.replace("\u061f", "?") for answer in out]
-                    if postprocess:
-                        out = postprocess(out, src_lang, tgt_lang)
-                    done.extend(out)
-                answers.loc[rows.index] = done
-            yield batch.assign(**{output: answers})
-
-    return df.mapInPandas(run, schema)
+        for texts, src_langs, tgt_langs in batches:
+            answers = pd.Series([None] * len(texts), dtype=object)
+            for rows in texts.groupby([src_langs, tgt_langs], dropna=False).indices.values():
+                direction = src_langs.iloc[rows[0]], tgt_langs.iloc[rows[0]]
+                answers.iloc[rows] = answers_to(texts.iloc[rows].tolist(), *direction, translate)
+            yield answers
+
+    # Marked as not deterministic, so that a filter on the output does not run the model again.
+    predicted = predict.asNondeterministic()(X.text_or_empty(text), "src_lang", "tgt_lang")
+    return df.withColumn(output, predicted)
 
 
 def repair_predictions(df: DataFrame, column: str = "prediction") -> DataFrame:

@@ -45,7 +45,7 @@ def evaluate_and_record(
 ) -> Evaluated:
     """``evaluate``, then export; with a run record also compare and store the run.
 
-    The results are checkpointed, so the translator runs once. The run is stored after it is
+    The results are computed a single time, so the translator runs once. The run is stored after it is
     compared, so it never meets itself.
     """
     results = materialize(evaluate(test, make_translator, names, batch_size))

@@ -44,8 +44,8 @@ def prepare(
 ) -> Validated:
     """Validate, normalize and split. ``keys`` order the rows and tell them apart.
 
-    The split reads its input three times. With ``once`` the cleaned table is checkpointed
-    first, so that rules, deduplication and normalization run a single time.
+    The split reads its input three times. With ``once`` the cleaned table is written
+    to the shared folder first, so that rules, deduplication and normalization run a single time.
     """
     rows, report = validate(df, keys, rules, deduplicate_on)
     rows = apply_transforms(rows, transforms)

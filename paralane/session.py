@@ -51,15 +51,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute a table once, so that the operators that read it twice or thrice reuse it.
+    """Compute a table once, so that operators that read it twice or thrice reuse it.
 
-    A reliable checkpoint: it survives the loss of executors.
+    It is written as Parquet to a new place in the shared folder: it outlives lost executors,
+    and a later scan reads only the columns that it needs.
     """
-    spark = df.sparkSession
-    shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-    return df.checkpoint()
+    path = new_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = 100_000) -> DataFrame:
