@@ -13,6 +13,7 @@ from paralane.sources.text_files import read_text_pairs
 _NO_NULL = "\x00"
 CSV_OPTIONS = {
     "header": True,
+    "enforceSchema": False,
     "multiLine": True,
     "quote": '"',
     "escape": '"',
@@ -25,7 +26,8 @@ CSV_OPTIONS = {
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """A CSV file with a header. Columns are found by name; all are text unless a schema is given.
+    """A CSV file with a header. All columns are text, unless a schema is given, which must have
+    the header's names.
 
     Quoted line breaks keep a file in one task. Where there are none, ``multi_line=False`` lets
     Spark split large files.

@@ -24,6 +24,15 @@ def test_csv_keeps_all_words(spark, tmp_path):
     assert [tuple(r)[:5] for r in read_pairs(spark, "local", csv_path=str(path)).collect()] == ROWS
 
 
+def test_csv_with_a_schema(spark, tmp_path):
+    path = tmp_path / "pairs.csv"
+    path.write_text("src,tgt,src_lang,tgt_lang,domain\na,b,c,d,e\n", encoding="utf-8")
+    assert tuple(read_csv(spark, str(path), PAIR_SCHEMA).first()) == ("a", "b", "c", "d", "e")
+    path.write_text("tgt,src,src_lang,tgt_lang,domain\na,b,c,d,e\n", encoding="utf-8")
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, str(path), PAIR_SCHEMA, multi_line=False).collect()
+
+
 def test_a_missing_csv_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         read_pairs(spark, "local", csv_path=str(tmp_path / "none.csv")).count()
