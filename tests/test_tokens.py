@@ -131,3 +131,9 @@ def test_unknown_directions_are_translated_too(spark):
     df = spark.createDataFrame([("a", None, "x"), ("b", "y", "x")], "src string, src_lang string, tgt_lang string")
     rows = translate_table(df, lambda: lambda texts, s, t: [t.upper() for t in texts]).collect()
     assert sorted(r.prediction for r in rows) == ["A", "B"]
+
+
+def test_a_filter_on_predictions_does_not_translate_again(spark, pairs):
+    made = translate_table(pairs, lambda: lambda texts, s, t: texts).where("prediction <> ''")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [predict") == 1
