@@ -2,22 +2,54 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from paralane.llm.exact import exact_dedup
+from paralane.llm.packing import packed_documents
+from paralane.llm.quality import quality_filter
+from paralane.llm.simhash import simhash_dedup
+from paralane.llm.substring import substring_dedup
 from paralane.session import materialize
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject, learned from the folder's labels."""
+    return quality_filter(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of texts that are equal without white space."""
     return exact_dedup(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates."""
+    return simhash_dedup(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words of passages that a document with a smaller id has too.
+
+    n_chars follows the text; a document that loses all its words stays, with an empty text.
+    """
+    return substring_dedup(docs, length_column="n_chars")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands in the training sequences."""
+    return packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("exact dedup", exact),
+    ("quality classifier", classify),
+    ("exact dedup", drop_copies),
+    ("SimHash near-dedup", drop_near_copies),
+    ("substring dedup", cut_repeats),
+    ("best-fit packing", pack_sequences),
 ]
 
-#: No stage but the exact one can be said in SQL.
+#: SQL has no classifier to train and no tokenizer; the tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

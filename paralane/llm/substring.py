@@ -306,8 +306,17 @@ def substring_digests(docs: DataFrame, id_column: str = "doc_id", text_column: s
     )
 
 
-def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 13) -> DataFrame:
-    """All documents, with the words that stay; a text that loses none is left as it is."""
+def substring_dedup(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 13, length_column: str | None = None
+) -> DataFrame:
+    """All documents, with the words that stay; a text that loses none is left as it is.
+
+    ``length_column``, if there is one, holds the text's characters and is kept up to date.
+    """
     cleaned = without_repeats(docs, id_column, text_column, window)
-    text = F.when(F.col("__n_removed") > 0, F.col("__kept")).otherwise(F.col(text_column))
-    return cleaned.select(*(text.alias(text_column) if name == text_column else name for name in docs.columns))
+    changed = F.col("__n_removed") > 0
+    new = {text_column: F.when(changed, F.col("__kept")).otherwise(F.col(text_column))}
+    if length_column in docs.columns:
+        length = F.char_length("__kept").cast(docs.schema[length_column].dataType)
+        new[length_column] = F.when(changed, length).otherwise(F.col(length_column))
+    return cleaned.select(*(new[name].alias(name) if name in new else name for name in docs.columns))
