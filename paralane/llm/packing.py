@@ -142,21 +142,26 @@ def token_pieces(
     return docs.mapInArrow(work, schema)
 
 
-def best_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict[int, int]:
-    """The most valuable multiset of lengths that fits: knapsack by dynamic programming."""
+def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The value of the best multiset that fits each room, and the length to take there (-1: none)."""
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1, dtype=np.int64)
     fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for room in range(int(lengths[0]), capacity + 1):
         k = fitting[room]
         total = values[:k] + best[room - lengths[:k]]
-        i = int(total.argmax())
+        i = int(k - 1 - total[::-1].argmax())  # of equals the longest: short ones fill gaps later
         if total[i] > best[room - 1]:
             best[room], choice[room] = total[i], i
         else:
             best[room] = best[room - 1]
-    pattern: dict[int, int] = {}
-    room = capacity
+    return best, choice
+
+
+def taken(choice: np.ndarray, lengths: np.ndarray, room: int, first: int) -> dict[int, int]:
+    """The best multiset that begins with one of length ``first``."""
+    pattern = {first: 1}
+    room -= int(lengths[first])
     while room > 0:
         i = int(choice[room])
         if i < 0:
@@ -167,35 +172,48 @@ def best_pattern(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict
     return pattern
 
 
-def configurations(counts: dict[int, int], capacity: int, rounds: int = 300, step: float = 0.5) -> list[tuple[float, dict[int, int]]]:
-    """A fractional cover of the histogram by patterns: multiplicative weights.
+def configurations(
+    counts: dict[int, int], capacity: int, rounds: int = 300, step: float = 1.0, share: float = 0.25, near: float = 0.95
+) -> list[tuple[float, dict[int, int]]]:
+    """A fractional solution of the configuration program, by multiplicative weights: (times, pattern).
 
-    Each length is a constraint: its pieces are to be covered. A round prices the lengths by their
-    weights, takes the most valuable pattern as often as its scarcest length allows, and lowers the
-    weights of what it covered. Weights begin in proportion to a length's tokens, the prices that
-    are optimal when no room is wasted. The cover is scaled so that no length is used more than it
-    occurs on average over the lengths that were covered.
+    Each length is a constraint: its pieces are to be covered, none more often than it occurs. A
+    round prices the lengths by their weights (which begin at their tokens, the prices that are optimal
+    if no room is wasted) and finds the most valuable patterns by dynamic programming. It takes the
+    best one and others that share no length with it and are worth ``near`` as much, each for a
+    ``share`` of what is left of its scarcest length; the more of a length is covered, the lower its
+    weight. Rounds end when all is covered, or at their number.
     """
     lengths = np.array(sorted(counts), dtype=np.int64)
     amount = np.array([counts[n] for n in lengths.tolist()], dtype=np.float64)
-    log_weight = np.zeros(len(lengths))
-    found: dict[tuple, float] = {}
     covered = np.zeros(len(lengths))
+    found: dict[tuple, float] = {}
     for _ in range(rounds):
-        values = lengths * np.exp(log_weight - log_weight.max())
-        pattern = best_pattern(lengths, values, capacity)
-        i = np.array(list(pattern), dtype=np.int64)
-        used = np.array([pattern[j] for j in i.tolist()], dtype=np.float64)
-        times = float((amount[i] / used).min())
-        gain = times * used / amount[i]
-        covered[i] += gain
-        log_weight[i] -= step * gain
-        key = tuple(sorted(pattern.items()))
-        found[key] = found.get(key, 0.0) + times
-    scale = 1.0 / max(1.0, float(covered.max()))
+        left = amount * (1 - covered)
+        open_ = np.flatnonzero(left >= 1)
+        if not len(open_):
+            break
+        own = lengths[open_]
+        values = own * np.exp(-step * (covered[open_] - covered[open_].min()))
+        best, choice = knapsack(own, values, capacity)
+        total = values + best[capacity - own]
+        used: set[int] = set()
+        for first in np.argsort(-total, kind="stable").tolist():
+            if total[first] < near * best[capacity]:
+                break
+            pattern = taken(choice, own, capacity, first) if first not in used else None
+            if pattern is None or used & pattern.keys():
+                continue
+            used |= pattern.keys()
+            i, n = open_[list(pattern)], np.array(list(pattern.values()), dtype=np.float64)
+            most = float((left[i] / n).min())
+            times = max(min(1.0, most), share * most)
+            covered[i] += times * n / amount[i]
+            key = tuple(sorted(zip(i.tolist(), pattern.values())))
+            found[key] = found.get(key, 0.0) + times
     plain = lengths.tolist()
     return sorted(
-        ((times * scale, {plain[i]: n for i, n in key}) for key, times in found.items()),
+        ((times, {plain[i]: n for i, n in key}) for key, times in found.items()),
         key=lambda x: (-x[0], sorted(x[1].items())),
     )
 
@@ -203,11 +221,10 @@ def configurations(counts: dict[int, int], capacity: int, rounds: int = 300, ste
 def packed(counts: dict[int, int], capacity: int, rounds: int = 300) -> list[tuple[int, list[tuple[int, int]]]]:
     """How often to use which pattern so that the whole histogram is packed: (times, [(length, copies)]).
 
-    The fractional cover is rounded down, patterns used most first. An optimal cover uses few
-    patterns that leave room; those wait for the rest, with which room may be filled. The rest goes best-fit
-    decreasing, over the histogram: bins of equal contents are one group, which a length fills
-    whole but for at most one split. So the patterns number at most ``rounds`` plus twice the
-    capacity, whatever the number of pieces.
+    The fractional solution is rounded down, patterns used most first. Patterns that leave room
+    wait for the rest, with which it may be filled. The rest goes best-fit decreasing, over the
+    histogram: bins of equal contents are one group, which a length fills whole but for at most one
+    split. So the number of patterns depends on ``rounds`` and the capacity, not on the number of pieces.
     """
     left = {length: n for length, n in counts.items() if n}
     done: list[tuple[int, list[tuple[int, int]]]] = []

@@ -1,5 +1,6 @@
 import random
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -7,7 +8,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from helpers import LONG, ROWS, awkward
-from paralane.llm.packing import WordEncoder, best_pattern, configurations, pack, packed, packed_documents, token_pieces
+from paralane.llm.packing import WordEncoder, configurations, knapsack, pack, packed, packed_documents, taken, token_pieces
 from test_bpe import texts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -29,9 +30,23 @@ def test_knapsack():
         best = {0: 0.0}
         for room in range(1, 21):
             best[room] = max([best[room - 1]] + [best[room - n] + v for n, v in zip(lengths, values) if n <= room])
-        pattern = best_pattern(lengths, values, 20)
-        assert sum(lengths[i] * n for i, n in pattern.items()) <= 20
-        assert abs(sum(values[i] * n for i, n in pattern.items()) - best[20]) < 1e-9
+        value, choice = knapsack(lengths, values, 20)
+        assert np.allclose(value, [best[room] for room in range(21)])
+        for first in range(4):
+            pattern = taken(choice, lengths, 20, first)
+            assert sum(lengths[i] * n for i, n in pattern.items()) <= 20
+            wanted = values[first] + best[20 - lengths[first]]
+            assert abs(sum(values[i] * n for i, n in pattern.items()) - wanted) < 1e-9
+
+
+def best_fit_decreasing(counts, capacity):
+    """The number of sequences, piece by piece."""
+    rooms = []
+    for length in sorted(counts.elements(), reverse=True):
+        at = bisect_left(rooms, length)
+        room = rooms.pop(at) if at < len(rooms) else capacity
+        insort(rooms, room - length)
+    return len(rooms)
 
 
 def test_histograms_are_packed_whole():
@@ -47,8 +62,7 @@ def test_histograms_are_packed_whole():
                     used[length] += times * n
             assert used == counts
             sequences = sum(times for times, _ in patterns)
-            large = sum(n for length, n in counts.items() if length > 32)
-            assert sequences <= 1.25 * max(large, -(-sum(a * b for a, b in counts.items()) // 64)) + 2
+            assert sequences <= 1.02 * best_fit_decreasing(counts, 64) + 2
     assert packed({}, 64) == []
 
 
