@@ -23,6 +23,10 @@ def whole_numbers(vectors: pd.Series, scale: float) -> np.ndarray:
     return out
 
 
+def _whole(numbers: np.ndarray) -> np.ndarray:
+    return np.array([int(x) for x in numbers.ravel()], dtype=object).reshape(numbers.shape)
+
+
 class Shard:
     """Candidates in the order of their ids, with the posting list of each component (term).
 
@@ -44,15 +48,18 @@ class Shard:
         which the others together cannot lift a candidate over the threshold that has no more than
         the smallest contributions so far. The essential postings are traversed for all candidates;
         the other terms are probed, a few at a time, for those that could still reach the threshold.
+        Numbers whose scores a double cannot hold exactly are scored one by one, as integers.
         """
         postings, values = self.postings, self.values
-        if values.dtype == object or query.dtype == object or self.largest * np.abs(query).max(initial=0) * len(query) >= 2.0**52:
-            postings, values, query = (np.array([[int(x) for x in row] for row in y], dtype=object).reshape(np.shape(y)) for y in (postings, values, query[None]))
-            query = query[0]
         rows = np.flatnonzero(self.ids != query_id)
+        if values.dtype == object or query.dtype == object or self.largest * np.abs(query).max(initial=0) * len(query) >= 2.0**52:
+            exact = _whole(values[rows]) @ _whole(query) if len(query) else np.zeros(len(rows), dtype=np.int64)
+            score = np.array([max(-LONGEST - 1, min(LONGEST, int(x))) for x in exact], dtype=np.int64)
+            best = sorted(range(len(rows)), key=lambda i: (-int(score[i]), self.ids[rows[i]]))[:k]
+            return rows[best], score[best]
         high = np.maximum(query * self.most, query * self.least)
         low = np.minimum(query * self.most, query * self.least)
-        order = np.argsort(-(high - low).astype(np.float64), kind="stable")
+        order = np.argsort(low - high, kind="stable")
         ahead = np.concatenate((np.cumsum(high[order][::-1])[::-1], [0]))
         behind = np.concatenate(([0], np.cumsum(low[order])))
 
@@ -63,7 +70,7 @@ class Shard:
 
         done, threshold = len(order), None
         if len(rows) > k:
-            guess = traversed(order[: max(1, len(order) // 4)]).astype(np.float64)
+            guess = traversed(order[: max(1, len(order) // 4)])
             threshold = (values[rows[np.argpartition(-guess, k)[:k]]] @ query).min()
             hopeless = np.flatnonzero(behind + ahead < threshold)
             done = int(hopeless[0]) if len(hopeless) else len(order)
@@ -76,7 +83,7 @@ class Shard:
             done += len(some)
         if threshold is not None:
             rows, score = rows[score >= threshold], score[score >= threshold]
-        best = sorted(range(len(rows)), key=lambda i: (-score[i], self.ids[rows[i]]))[:k] if score.dtype == object else np.lexsort((self.ids[rows], -score))[:k]
+        best = np.lexsort((self.ids[rows], -score))[:k]
         return rows[best], score[best]
 
 
@@ -98,7 +105,7 @@ def _search(queries: pd.DataFrame, candidates: pd.DataFrame, k: int, scale: floa
     out = []
     for query_id, query in zip(queries["id"].tolist(), asked):
         rows, score = shard.search(query_id, query, k)
-        out += [(query_id, int(i), max(-LONGEST - 1, min(LONGEST, int(s)))) for i, s in zip(shard.ids[rows], score)]
+        out += [(query_id, int(i), int(s)) for i, s in zip(shard.ids[rows], score)]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
 
@@ -125,7 +132,7 @@ def top_k(
     Components are floor(scale * x); the score is their inner product, ties go to the smaller id. Vectors
     that are null or hold null or non-finite components take no part, nor do rows without an id. A shorter
     vector counts as filled up with zeros. Of several vectors of one id the smallest counts. Scores beyond the
-    range of long are given as its end. Fewer than ``k`` candidates: all of them; no rows: an empty result.
+    range of long count as its end. Fewer than ``k`` candidates: all of them; no rows: an empty result.
 
     A hash deals candidates into shards of some ``shard_rows`` and queries into blocks of some
     ``block_rows``. Each block meets each shard in one task, which gives ``k`` rows a query at most; these

@@ -17,8 +17,9 @@ def brute(rows, k, every=100, scale=1024):
     out = []
     for q in usable:
         if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(usable[q], v)), i) for i, v in usable.items() if i != q)
-            out += [(q, rank, i, max(-(2**63), min(2**63 - 1, -s))) for rank, (s, i) in enumerate(scores[:k], 1)]
+            products = ((sum(a * b for a, b in zip(usable[q], v)), i) for i, v in usable.items() if i != q)
+            scores = sorted((-max(-(2**63), min(2**63 - 1, s)), i) for s, i in products)
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
     return sorted(out)
 
 
@@ -52,7 +53,7 @@ def test_awkward_vectors(spark):
 
 def test_many_shards_and_blocks(spark):
     random.seed(2)
-    rows = [(i, [random.choice([-1, -0.5, 0, 0.25, 0.7]) for _ in range(6)]) for i in range(700)]
+    rows = [(i, [random.choice([-1.0, -0.5, 0.0, 0.25, 0.7]) for _ in range(6)]) for i in range(700)]
     assert run(spark, rows, k=5, every=7, shard_rows=50, block_rows=20) == brute(rows, 5, every=7)
 
 
