@@ -4,16 +4,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from paralane.operators.ranks import BUCKET, HASH, histogram
+from paralane.operators.ranks import BUCKET, HASH, encoded, histogram
 
 
 def row_hash(columns: Sequence[str]) -> Column:
     """SHA-256 of a row. Lengths go before values, so no two rows read the same."""
-    parts = []
-    for name in columns:
-        value = F.col(name).cast("string")
-        parts.append(F.when(value.isNull(), "-").otherwise(F.concat(F.length(value).cast("string"), F.lit(":"), value)))
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    return F.sha2(F.concat_ws("|", *encoded(columns)), 256)
 
 
 def dataset_hash(
@@ -25,25 +21,28 @@ def dataset_hash(
 ) -> DataFrame:
     """One row: SHA-256 over ``sample_n`` rows, or over all rows if there are no more.
 
-    The sample is the rows with the smallest seeded hashes. A histogram of the hashes' first
-    digits tells which rows can be among them, so that not every task sends ``sample_n`` rows;
-    copies of a row are counted, not collected.
+    The sample is the rows with the smallest seeded hashes; a histogram of the hashes' first digits
+    tells which rows can be among them. Each bucket of rows is hashed by itself (copies of a row as
+    their number), and then the hashes of the buckets, at most 16 ** digits: no task gets the whole
+    sample, whatever its size.
     """
     names = sorted(columns or df.columns)
     hashes = df.select(row_hash(names).alias("h"))
     hashes = hashes.withColumn(HASH, F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("h")), 256))
-    enough = F.col("__before") + F.col("__size") >= sample_n
-    last = histogram(hashes, [], digits).where(enough).agg(F.min(BUCKET).alias("last"))
-    near = hashes.where(F.substring(HASH, 1, digits) <= F.coalesce(last.scalar(), F.lit("g")))
-    counted = near.groupBy(HASH, "h").agg(F.count(F.lit(1)).alias("copies"))
-    # At most sample_n rows from here on.
-    smallest = counted.orderBy(HASH).limit(sample_n)
-    before = Window.orderBy(HASH).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.lit(sample_n) - F.coalesce(F.sum("copies").over(before), F.lit(0))
-    taken = F.greatest(F.least("copies", room), F.lit(0)).cast("int")
-    sample = smallest.select(F.array_repeat("h", taken).alias("h"))
-    joined = F.concat_ws("\n", F.sort_array(F.flatten(F.collect_list("h"))))
-    return sample.agg(F.sha2(joined, 256).alias("dataset_hash"))
+    sizes = histogram(hashes, [], digits).where(F.col("__before") < sample_n).select(BUCKET, "__before")
+    counted = (
+        hashes.groupBy(HASH, "h").agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn(BUCKET, F.substring(HASH, 1, digits))
+        .join(F.broadcast(sizes), BUCKET)
+    )
+    before = Window.partitionBy(BUCKET).orderBy(HASH).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.col("__before") + F.coalesce(F.sum("copies").over(before), F.lit(0))
+    taken = F.least("copies", F.lit(sample_n) - earlier)
+    sample = counted.withColumn("taken", taken).where(F.col("taken") > 0)
+    lines = F.sort_array(F.collect_list(F.concat("h", F.lit(":"), F.col("taken").cast("string"))))
+    buckets = sample.groupBy(BUCKET).agg(F.sha2(F.concat_ws("\n", lines), 256).alias("b"))
+    joined = F.concat_ws("\n", F.sort_array(F.collect_list(F.concat(BUCKET, F.lit(":"), "b"))))
+    return buckets.agg(F.sha2(joined, 256).alias("dataset_hash"))
 
 
 def whole_dataset_hash(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -1,7 +1,8 @@
 """Exact sampling, splitting and ranking in a seeded random order, without a global sort.
 
 Every row has a place in the order: the SHA-256 of the seed and its row key. Row keys must be
-unique and free of nulls. The hex digits that a hash begins with are its bucket, so buckets
+unique; nulls and any characters may be in them. Rows of equal keys that a cut would part are an
+error, so a sample or split never has another size than asked. The hex digits that a hash begins with are its bucket, so buckets
 are of even size whatever the keys are.
 
 To cut the order at rank k, a histogram of the buckets finds the one bucket that holds the
@@ -13,15 +14,23 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from paralane.session import broadcast_if_small
+from paralane.session import materialize
 
 HASH = "__hash"
 BUCKET = "__bucket"
 
 
+def encoded(values: Sequence[Column | str]) -> list[Column]:
+    """Values as text that reads the same only for equal values: lengths go first, null is a mark."""
+    parts = []
+    for value in values:
+        value = (F.col(value) if isinstance(value, str) else value).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-")))
+    return parts
+
+
 def shuffle_hash(keys: Sequence[Column | str], seed: int = 42) -> Column:
-    parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
-    return F.sha2(F.concat_ws("|", F.lit(str(seed)), *parts), 256)
+    return F.sha2(F.concat_ws("|", F.lit(str(seed)), *encoded(keys)), 256)
 
 
 def histogram(hashed: DataFrame, strata: Sequence[str], digits: int) -> DataFrame:
@@ -76,16 +85,21 @@ def _cuts(
              .alias("__targets"))
     )
     keyed = hashed.select(*strata, HASH, F.substring(HASH, 1, digits).alias(BUCKET))
-    # Without strata there is at most one row per bound.
-    targets = broadcast_if_small(targets) if strata else F.broadcast(targets)
+    # Without strata there is at most one row per bound. With them, the table's size on disk tells
+    # Spark whether to broadcast it.
+    targets = materialize(targets) if strata else F.broadcast(targets)
     near = _join(keyed, targets, [*strata, BUCKET])
     order = Window.partitionBy(*strata, BUCKET).orderBy(HASH)
-    numbered = near.withColumn("__nth", F.row_number().over(order) - 1)
+    numbered = near.withColumns(
+        {"__nth": F.row_number().over(order) - 1, "__same": F.lag(HASH).over(order) == F.col(HASH)}
+    )
     hits = numbered.select(
-        *strata, HASH, F.col("__nth").alias("__found"), F.inline("__targets")
+        *strata, HASH, "__same", F.col("__nth").alias("__found"), F.inline("__targets")
     ).where(F.col("__found") == F.col("__nth"))
+    unique = F.when(F.col("__same"), F.raise_error(F.lit("rows on both sides of a cut have the same key")))
+    place = F.coalesce(unique.cast("string"), F.col(HASH))
     return hits.groupBy(*strata).agg(
-        *[F.max(F.when(F.col("__name") == name, F.col(HASH))).alias(name) for name in bounds]
+        *[F.max(F.when(F.col("__name") == name, place)).alias(name) for name in bounds]
     )
 
 
@@ -149,28 +163,20 @@ def stratified_split(
     train: float = 0.90,
     val: float = 0.05,
     seed: int = 42,
-    digits: int = 3,
-    broadcast_limit: int = 100_000,
+    digits: int = 4,
 ) -> DataFrame:
     """``exact_split`` within each stratum.
 
-    The cuts are computed when this is called, and broadcast if the strata are few. Otherwise
-    they are joined on the stratum and the first two digits of the hash, so that the largest
-    stratum is spread over 256 groups.
+    The cuts, a row per stratum, are computed and written when this is called. Spark broadcasts them
+    if their files are small. Otherwise rows are shuffled by stratum, and adaptive execution splits
+    the partitions of hot strata, which a left join with one row per stratum allows.
     """
     strata = list(strata)
     hashed = df.withColumn(HASH, shuffle_hash(keys, seed))
-    cuts = _cuts(hashed.select(*strata, HASH), _split_bounds(train, val), strata, digits)
     # Every stratum has a cut unless all its rows are before all bounds, which needs train = 1.
-    cuts = broadcast_if_small(cuts, broadcast_limit)
-    on = list(strata)
-    if cuts.count() > broadcast_limit:
-        digit_pairs = F.explode(F.array(*[F.lit(f"{i:02x}") for i in range(256)]))
-        cuts = cuts.select("*", digit_pairs.alias("__digits"))
-        hashed = hashed.withColumn("__digits", F.substring(HASH, 1, 2))
-        on.append("__digits")
+    cuts = materialize(_cuts(hashed.select(*strata, HASH), _split_bounds(train, val), strata, digits))
     label = _split_label(F.col("train_end"), F.col("val_end"))
-    return _join(hashed, cuts, on, "left").select(*df.columns, label.alias("split"))
+    return _join(hashed, cuts, strata, "left").select(*df.columns, label.alias("split"))
 
 
 def global_rank(

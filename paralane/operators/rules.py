@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paralane.functions import text as X
+from paralane.operators.fingerprint import row_hash
 from paralane.registry import DEVANAGARI
 
 SRC_WORDS, TGT_WORDS = "__src_words", "__tgt_words"
@@ -29,8 +30,10 @@ REPORT_COLUMNS = {
 
 
 class Rule(NamedTuple):
+    """``keep`` is a Column, or makes one of the Column that is true for rows not yet rejected."""
+
     name: str
-    keep: Column
+    keep: Column | Callable[[Column], Column]
 
 
 def min_length(limit: int = 3) -> Rule:
@@ -62,17 +65,32 @@ def devanagari_ascii_ratio(limit: float = 0.20, languages: Sequence[str] = DEVAN
     return Rule("devanagari_ascii_ratio", ~X.in_script("tgt_lang", languages) | (share <= limit))
 
 
-def python_rule(name: str, predicate: Callable[[Mapping], bool], columns: Sequence[str]) -> Rule:
-    """A rule from a Python predicate on a row, run in Arrow batches.
+def vector_rule(name: str, function: Callable[[pd.DataFrame], pd.Series], columns: Sequence[str]) -> Rule:
+    """A rule from a Python function of a batch: its columns in, a boolean for each row out.
 
-    Spark evaluates it for every row, also for those that an earlier rule rejects.
+    Only rows that passed all rules before it are sent to it; a batch without any is not.
     """
 
     @F.pandas_udf("boolean")
-    def keep(rows: pd.DataFrame) -> pd.Series:
-        return pd.Series([bool(predicate(row)) for row in rows.to_dict("records")], dtype="bool")
+    def passes(alive: pd.Series, rows: pd.DataFrame) -> pd.Series:
+        out = pd.Series(True, index=rows.index)
+        if alive.any():
+            out[alive] = function(rows[alive]).astype(bool)
+        return out
+
+    def keep(alive: Column) -> Column:
+        return passes(alive, F.struct(*[F.when(alive, F.col(c)).alias(c) for c in columns]))
+
+    return Rule(name, keep)
+
+
+def python_rule(name: str, predicate: Callable[[Mapping], bool], columns: Sequence[str]) -> Rule:
+    """A ``vector_rule`` from a predicate on one row, for what cannot be said of a whole batch."""
 
-    return Rule(name, keep(F.struct(*[F.col(c) for c in columns])))
+    def each(rows: pd.DataFrame) -> pd.Series:
+        return pd.Series([bool(predicate(row)) for row in rows.to_dict("records")], index=rows.index, dtype="bool")
+
+    return vector_rule(name, each, columns)
 
 
 def build_rules(
@@ -93,7 +111,16 @@ def build_rules(
         rules.append(not_empty_or_numeric())
     if max_ascii_ratio_devanagari is not None:
         rules.append(devanagari_ascii_ratio(max_ascii_ratio_devanagari, devanagari))
-    return rules + [Rule(*rule) for rule in extra]
+    return with_unique_names(rules + [Rule(*rule) for rule in extra])
+
+
+def with_unique_names(rules: Sequence[Rule]) -> list[Rule]:
+    """The rules, if no two have a name in common: counts per rule would be mixed up."""
+    names = [rule.name for rule in rules]
+    twice = sorted({name for name in names if names.count(name) > 1})
+    if twice:
+        raise ValueError(f"several rules are named {', '.join(twice)}")
+    return list(rules)
 
 
 def with_word_counts(df: DataFrame) -> DataFrame:
@@ -110,11 +137,27 @@ def with_word_counts(df: DataFrame) -> DataFrame:
 
 
 def tag_rejections(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``reject_reason``: the first rule a row fails, or null for a row to keep."""
+    """Add ``reject_reason``: the first rule a row fails, or null for a row to keep.
+
+    Column rules that follow each other are one CASE. A Python rule sees only what they leave.
+    """
+    tagged, reason, columns = with_word_counts(df), F.lit(None).cast("string"), []
+    for rule in with_unique_names(rules):
+        if not callable(rule.keep) or isinstance(rule.keep, Column):
+            columns.append(rule)
+            continue
+        tagged = tagged.withColumn(REASON, F.coalesce(reason, _first_failure(columns)))
+        reason, columns = F.col(REASON), []
+        failed = ~F.coalesce(rule.keep(reason.isNull()), F.lit(False))
+        tagged = tagged.withColumn(REASON, F.coalesce(reason, F.when(failed, F.lit(rule.name))))
+    return tagged.withColumn(REASON, F.coalesce(reason, _first_failure(columns))).drop(SRC_WORDS, TGT_WORDS)
+
+
+def _first_failure(rules: Sequence[Rule]) -> Column:
     reason = F.lit(None).cast("string")
     for rule in reversed(rules):
         reason = F.when(F.coalesce(rule.keep, F.lit(False)), reason).otherwise(F.lit(rule.name))
-    return with_word_counts(df).withColumn(REASON, reason).drop(SRC_WORDS, TGT_WORDS)
+    return reason
 
 
 def kept(tagged: DataFrame) -> DataFrame:
@@ -133,11 +176,12 @@ def validation_report(
 ) -> DataFrame:
     """One row: totals, a counter per built-in rule, duplicates, the map of all rules.
 
-    One scan, and one shuffle of the distinct keys of kept rows. Rejected rows have a null
-    key and copies of a key are merged before the shuffle, so neither can make a hot task.
+    One scan, and one shuffle of the distinct keys of kept rows, each as a hash of 32 bytes.
+    Rejected rows have a null key and copies of a key are merged before the shuffle, so neither can
+    make a hot task.
     """
-    key = F.struct(*[F.col(c) for c in deduplicate_on])
-    names = [rule.name for rule in rules]
+    key = F.unhex(row_hash(deduplicate_on))
+    names = [rule.name for rule in with_unique_names(rules)]
     counts = tagged.agg(
         F.count(F.lit(1)).alias("total_input"),
         F.count_if(F.col(REASON).isNull()).alias("__survivors"),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paralane.functions import text as X
 from paralane.operators.fingerprint import dataset_hash
+from paralane.session import materialize
 
 
 def config_hash(config: Mapping[str, Any]) -> str:
@@ -55,6 +56,8 @@ def run_record(
 
 def _totals(results: DataFrame) -> DataFrame:
     """A direction's own row, without those of its domains."""
+    if "is_total" in results.columns:
+        return results.where("is_total")
     return results.where(F.col("domain").isNull()) if "domain" in results.columns else results
 
 
@@ -101,9 +104,11 @@ def compare_runs(
 ) -> DataFrame:
     """Each direction's scores beside the best of earlier runs; empty if there are none.
 
-    The history is reduced to a row per direction before it meets the results.
+    The history, a row per run, is read and written once, when this is called; it is reduced to a
+    row per direction before it meets the results.
     """
     earlier = history.where(F.col("run_id").isNull() | (F.col("run_id") != run_id))
+    earlier = materialize(earlier.select("run_id", "final_metrics"))
     runs = earlier.agg(F.count(F.lit(1)).alias("n")).scalar()
     best = (
         best_scores(earlier)

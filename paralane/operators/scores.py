@@ -31,32 +31,47 @@ def with_row_sums(
     return df.withColumns(columns)
 
 
-def score_groups(
-    rows: DataFrame, by: Sequence[str] = (), word_order: int = 2, rollup: bool = False
-) -> DataFrame:
-    """Scores of each group of rows that carry row sums; unrounded.
+def _sums(df: DataFrame, word_order: int) -> list[Column]:
+    fields = {"bleu_sums": O.bleu_fields(), "chrf_sums": O.chrf_fields(word_order)}
+    return [_added_up(name, some) for name, some in fields.items() if name in df.columns]
+
+
+def sum_groups(rows: DataFrame, by: Sequence[str] = (), word_order: int = 2) -> DataFrame:
+    """The additive parts of each group of rows that carry row sums.
 
     Row sums are added up before the shuffle, so a direction with most of the rows is no hot
     group: each map task sends one row per group.
     """
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_samples"), *_sums(rows, word_order))
+
+
+def merge_groups(summed: DataFrame, by: Sequence[str] = (), word_order: int = 2, totals: str | None = None) -> DataFrame:
+    """The parts of coarser groups, from those of finer ones: a few rows, not the table.
+
+    ``totals`` names a column of ``by`` over which totals are added. They have null there, and
+    ``is_total`` tells them from the rows of a null value.
+    """
+    parts = [F.sum("n_samples").alias("n_samples"), *_sums(summed, word_order)]
+    if totals is None:
+        return summed.groupBy(*by).agg(*parts)
+    rest = [F.col(name) for name in by if name != totals]
+    sets = [[*rest, F.col(totals)], rest]
+    return summed.groupingSets(sets, *by).agg((F.grouping(totals) == 1).alias("is_total"), *parts)
+
+
+def scores_of(summed: DataFrame, by: Sequence[str] = (), word_order: int = 2) -> DataFrame:
+    """The scores of groups from their additive parts; unrounded."""
     wanted = {
-        "bleu_sums": ("bleu", O.bleu_fields(), O.bleu_score),
-        "chrf_sums": ("chrf_pp", O.chrf_fields(word_order), lambda s: O.chrf_score(s, word_order)),
+        "bleu_sums": ("bleu", O.bleu_score),
+        "chrf_sums": ("chrf_pp", lambda sums: O.chrf_score(sums, word_order)),
     }
-    present = {name: how for name, how in wanted.items() if name in rows.columns}
-    summed = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_samples"),
-        *[_added_up(name, fields) for name, (_, fields, _) in present.items()],
-    )
-    if rollup:
-        # The subtotals are made from the few rows of the groups, not from the table.
-        summed = summed.rollup(*by).agg(
-            F.sum("n_samples").alias("n_samples"),
-            *[_added_up(name, fields) for name, (_, fields, _) in present.items()],
-        )
-    return summed.select(
-        *by, "n_samples", *[score(name).alias(out) for name, (out, _, score) in present.items()]
-    )
+    scores = [score(name).alias(out) for name, (out, score) in wanted.items() if name in summed.columns]
+    return summed.select(*by, "n_samples", *scores)
+
+
+def score_groups(rows: DataFrame, by: Sequence[str] = (), word_order: int = 2) -> DataFrame:
+    """Scores of each group of rows that carry row sums; unrounded."""
+    return scores_of(sum_groups(rows, by, word_order), by, word_order)
 
 
 def corpus_bleu(
@@ -90,25 +105,28 @@ def evaluate_directions(
 ) -> DataFrame:
     """One row per direction: its label, rows, BLEU and chrF++.
 
-    ``by_domain`` adds a row per domain; a direction's total has a null domain.
+    ``by_domain`` adds a row per domain, and ``is_total``: a direction's total has a null domain,
+    as have its rows without a domain.
     """
-    known = with_directions(df)
-    label = X.display_direction(names)
+    by = ["src_lang", "tgt_lang", *(["domain"] if by_domain else [])]
+    return evaluate_sums(sum_groups(with_row_sums(with_directions(df), prediction), by), names, by_domain)
+
+
+def evaluate_sums(summed: DataFrame, names: Mapping[str, str] = DISPLAY_NAMES, by_domain: bool = False) -> DataFrame:
+    """``evaluate_directions`` from the additive parts of any finer groups."""
+    known, by = with_directions(summed), ["src_lang", "tgt_lang"]
     if by_domain:
-        known = known.withColumn("domain", F.coalesce("domain", F.lit("")))
-        rows = with_row_sums(known, prediction)
-        scored = score_groups(rows, ["src_lang", "tgt_lang", "domain"], rollup=True).where(
-            F.col("tgt_lang").isNotNull()
-        )
+        by = [*by, "domain", "is_total"]
+        scored = scores_of(merge_groups(known, by[:3], totals="domain"), by)
     else:
-        scored = score_groups(with_row_sums(known, prediction), ["src_lang", "tgt_lang"])
-        scored = scored.withColumn("domain", F.lit(None).cast("string"))
+        scored = scores_of(merge_groups(known, by), by).withColumn("domain", F.lit(None).cast("string"))
     return scored.select(
-        label.alias("direction"),
+        X.display_direction(names).alias("direction"),
         "n_samples",
         F.round("bleu", 2).alias("bleu"),
         F.round("chrf_pp", 2).alias("chrf_pp"),
         "domain",
+        *by[3:],
     )
 
 

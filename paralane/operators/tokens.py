@@ -1,8 +1,9 @@
 """Token ids: a built-in vocabulary, user tokenizers, truncation and padding in batches."""
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from paralane.functions import text as X
@@ -24,13 +25,14 @@ def tokenize_with(
     df: DataFrame,
     make_tokenizer: Callable[[], Callable[[list[str], list[str], str, str], dict]],
     keys: Sequence[str],
-    max_length: int = 256,
+    max_length: int | None = None,
 ) -> DataFrame:
     """Token ids of both sides by a user's tokenizer, which each task makes once.
 
-    The tokenizer gets the tagged sources and the targets of one direction and returns lists
-    ``input_ids``, ``labels`` and, if it has one, ``attention_mask``. Directions are told
-    apart inside the batches of a task; they do not become groups of a shuffle.
+    The tokenizer gets the tagged sources and the targets of one direction and returns lists or
+    arrays ``input_ids``, ``labels`` and, if it has one, ``attention_mask``. Directions are told
+    apart inside the batches of a task; they do not become groups of a shuffle. Nothing is cut
+    unless ``max_length`` says so.
     """
     ids = T.ArrayType(T.IntegerType())
     schema = T.StructType([T.StructField(name, ids) for name in TOKEN_COLUMNS])
@@ -49,7 +51,9 @@ def tokenize_with(
                 direction = src_langs.iloc[rows[0]], tgt_langs.iloc[rows[0]]
                 out = tokenizer(sources.iloc[rows].tolist(), targets.iloc[rows].tolist(), *direction)
                 inputs = cut(out["input_ids"])
-                masks = out.get("attention_mask") or [[1] * len(row) for row in inputs]
+                masks = out.get("attention_mask")
+                if masks is None:
+                    masks = [[1] * len(row) for row in inputs]
                 for row, *values in zip(rows, inputs, cut(masks), cut(out["labels"])):
                     for name, value in zip(TOKEN_COLUMNS, values):
                         encoded[name][row] = value
@@ -64,35 +68,80 @@ def tokenize_with(
 def vocabulary(df: DataFrame, columns: Sequence[Column | str]) -> DataFrame:
     """The distinct words of some texts with their counts and dense ids.
 
-    Ids follow the hash of a token, so they do not depend on partitions. Occurrences are
-    counted before the shuffle.
+    Ids follow the hash of a token, so they do not depend on partitions. Words are counted, before
+    and after a shuffle, and written once, when this is called; the ranks are made from the counts.
     """
     texts = F.array(*[X.text_or_empty(c) for c in columns])
     tokens = df.select(F.explode(texts).alias("text")).select(F.explode(X.words("text")).alias("token"))
-    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counted = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     ranked = global_rank(counted, F.sha2("token", 256), "__rank")
     return ranked.select("token", "n", (F.col("__rank") + FIRST_ID).cast("int").alias("token_id"))
 
 
-def _looked_up(words: DataFrame, ids: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Words with the ids of a vocabulary that is too large to broadcast.
+def _ids_by_word(table: Broadcast) -> dict[str, int]:
+    """A task's dictionary of a broadcast vocabulary."""
+    known = table.value
+    return dict(zip(known.column("token").to_pylist(), known.column("token_id").to_pylist()))
 
-    Words that are frequent enough to make a hot task, at most the inverse of ``HOT_SHARE`` of
-    them, are looked up by broadcast; the others are shuffled by word.
+
+def _row_local(df: DataFrame, vocab: DataFrame, texts: Mapping[str, Column], room: int | None, end: list[int], limit: int) -> Column:
+    """A struct of id arrays. The vocabulary is broadcast; its size in bytes is checked first."""
+    vocab = materialize(vocab.select("token", "token_id"))
+    size = vocab.agg(F.sum(F.octet_length("token") + 12).alias("bytes")).first()["bytes"] or 0
+    if size > limit:
+        raise ValueError(
+            f"the vocabulary has {size} bytes, more than the {limit} to be broadcast; use lookup='join'"
+        )
+    table = df.sparkSession.sparkContext.broadcast(vocab.toArrow())
+    schema = T.StructType([T.StructField(name, T.ArrayType(T.IntegerType())) for name in texts])
+
+    @F.pandas_udf(schema)
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids = _ids_by_word(table)
+        for batch in batches:
+            yield pd.DataFrame({
+                name: [[ids.get(word, UNKNOWN_ID) for word in text.split()[:room]] + end for text in batch[name]]
+                for name in batch.columns
+            })
+
+    return encode.asNondeterministic()(F.struct(*[text.alias(name) for name, text in texts.items()]))
+
+
+def _joined(df: DataFrame, vocab: DataFrame, texts: Mapping[str, Column], keys: Sequence[str], room: int | None, end: list[int]) -> DataFrame:
+    """Id arrays by a join on words, for a vocabulary that no worker can hold.
+
+    Rows get an id of their own and are written once, when this is called. Words with at least
+    ``HOT_SHARE`` of all occurrences, which are at most its inverse, are looked up by broadcast; the
+    others are shuffled by word, and all are put together again by row.
     """
-    counted = words.groupBy(F.col("__token").alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
+    words = {name: X.words(text) if room is None else F.slice(X.words(text), 1, room) for name, text in texts.items()}
+    sides = F.array(*[F.struct(F.lit(name).alias("__side"), some.alias("__words")) for name, some in words.items()])
+    rows = materialize(df.select(*keys, F.uuid().alias("__row"), sides.alias("__sides")))
+    placed = rows.select("__row", F.inline("__sides")).select(
+        "__row", "__side", F.posexplode_outer("__words").alias("__pos", "__token")
+    )
+    ids = vocab.select(F.col("token").alias("__known"), "token_id")
+    counted = placed.groupBy(F.col("__token").alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
     total = counted.select(F.sum("__n").alias("__n")).scalar()
     hot = counted.where(F.col("__hot").isNotNull() & (F.col("__n") >= HOT_SHARE * total))
     hot = hot.join(ids, F.col("__hot") == F.col("__known"), "left").select(
         "__hot", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("__hot_id")
     )
-    found = words.join(F.broadcast(hot), F.col("__token") == F.col("__hot"), "left")
+    found = placed.join(F.broadcast(hot), F.col("__token") == F.col("__hot"), "left")
     # What has no cold word, because it is hot or of an empty text, is spread evenly under keys
     # that begin with a space, as no word does.
     cold = F.when(F.col("__hot").isNull(), F.col("__token"))
-    spread = F.concat(F.lit(" "), F.hash(*keys, "__side", "__pos").cast("string"))
+    spread = F.concat(F.lit(" "), F.hash("__row", "__side", "__pos").cast("string"))
     found = found.withColumn("__key", F.coalesce(cold, spread))
-    return found.join(ids, F.col("__key") == F.col("__known"), "left")
+    found = found.join(ids, F.col("__key") == F.col("__known"), "left")
+    place = F.struct(F.col("__pos").alias("pos"), F.coalesce("__hot_id", "token_id", F.lit(UNKNOWN_ID)).alias("id"))
+    place = F.when(F.col("__token").isNotNull(), place)
+    tail = F.lit(end).cast("array<int>")
+    arrays = []
+    for name in texts:
+        places = F.array_sort(F.collect_list(F.when(F.col("__side") == name, place)))
+        arrays.append(F.concat(F.transform(places, lambda one: one["id"]), tail).alias(name))
+    return rows.drop("__sides").join(found.groupBy("__row").agg(*arrays), "__row").drop("__row")
 
 
 def encode_words(
@@ -100,52 +149,37 @@ def encode_words(
     vocab: DataFrame,
     columns: dict[str, Column | str],
     keys: Sequence[str],
-    max_length: int = 256,
+    max_length: int | None = None,
     eos: bool = True,
-    broadcast_limit: int = 2_000_000,
+    lookup: str = "broadcast",
+    broadcast_bytes: int = 256 << 20,
 ) -> DataFrame:
-    """Arrays of the ids of the words of some texts, one row per key.
+    """The columns ``keys`` of each row and arrays of the ids of the words of some texts.
 
     ``columns`` maps the name of a new array to its text. Words missing in the vocabulary get
-    the unknown id. The vocabulary is computed when this is called; up to ``broadcast_limit``
-    words of it, some 100 MB, are broadcast.
+    the unknown id. Nothing is cut unless ``max_length`` says so; it counts the end id. Rows stay
+    rows, whether or not their keys are unique.
+
+    The vocabulary is computed when this is called. With ``lookup='broadcast'`` words are looked up
+    inside their row, without a shuffle; a vocabulary of more than ``broadcast_bytes`` is an error
+    then. ``lookup='join'`` shuffles words instead, for vocabularies of any size.
     """
-    room = max_length - 1 if eos else max_length
-    sides = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("__side"),
-                F.slice(X.words(X.text_or_empty(text)), 1, room).alias("__words"),
-            )
-            for name, text in columns.items()
-        ]
-    )
-    words = df.select(*keys, F.inline(sides)).select(
-        *keys, "__side", F.posexplode_outer("__words").alias("__pos", "__token")
-    )
-    ids = materialize(vocab.select(F.col("token").alias("__known"), "token_id"))
-    if ids.count() <= broadcast_limit:
-        found = words.join(F.broadcast(ids), F.col("__token") == F.col("__known"), "left")
-        found = found.withColumn("__hot_id", F.lit(None).cast("int"))
-    else:
-        found = _looked_up(words, ids, keys)
-    token_id = F.coalesce("__hot_id", "token_id", F.lit(UNKNOWN_ID))
-    place = F.struct(F.col("__pos").alias("pos"), token_id.alias("id"))
-    placed = found.select(*keys, "__side", F.when(F.col("__token").isNotNull(), place).alias("__place"))
-    end = F.array(F.lit(EOS_ID)) if eos else F.array().cast("array<int>")
-    arrays = []
-    for name in columns:
-        places = F.collect_list(F.when(F.col("__side") == name, F.col("__place")))
-        in_order = F.transform(F.array_sort(places), lambda place: place["id"])
-        arrays.append(F.concat(in_order, end).alias(name))
-    return placed.groupBy(*keys).agg(*arrays)
+    room = max_length if max_length is None else max_length - 1 if eos else max_length
+    end = [EOS_ID] if eos else []
+    texts = {name: X.text_or_empty(text) for name, text in columns.items()}
+    if lookup == "join":
+        return _joined(df, vocab, texts, keys, room, end)
+    if lookup != "broadcast":
+        raise ValueError(f"unknown lookup {lookup!r}; use 'broadcast' or 'join'")
+    found = _row_local(df, vocab, texts, room, end, broadcast_bytes)
+    return df.select(*keys, found.alias("__ids")).select(*keys, "__ids.*")
 
 
 def tokenize_words(
     df: DataFrame,
     vocab: DataFrame,
     keys: Sequence[str],
-    max_length: int = 256,
+    max_length: int | None = None,
     tagged: bool = True,
     **options,
 ) -> DataFrame:
@@ -156,7 +190,7 @@ def tokenize_words(
     return encoded.select(*keys, "input_ids", mask.alias("attention_mask"), "labels")
 
 
-def truncate_ids(ids: Column | str, max_length: int = 256) -> Column:
+def truncate_ids(ids: Column | str, max_length: int) -> Column:
     return F.slice(ids, 1, max_length)
 
 

@@ -45,10 +45,11 @@ def evaluate_and_record(
 ) -> Evaluated:
     """``evaluate``, then export; with a run record also compare and store the run.
 
-    The results are computed a single time, so the translator runs once. The run is stored after it is
+    The results and the record are computed a single time, so the translator and the fingerprint run once. The run is stored after it is
     compared, so it never meets itself.
     """
     results = materialize(evaluate(test, make_translator, names, batch_size))
+    record = None if record is None else materialize(record)
     write_results_json(results, f"{folder}/eval_results.json", record)
     write_results_csv(results, f"{folder}/eval_results.csv")
     if record is None:

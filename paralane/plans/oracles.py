@@ -23,8 +23,12 @@ def normalize(text: str) -> str:
     return strip(f"regexp_replace({bare}, '{WS}+', ' ', 'g')")
 
 
+def encoded(value: str) -> str:
+    return f"coalesce(length(({value})::varchar)::varchar || ':' || ({value})::varchar, '-')"
+
+
 def place(*keys: str) -> str:
-    return f"sha256(concat_ws('|', '42', {', '.join(f'{k}::varchar' for k in keys)}))"
+    return f"sha256(concat_ws('|', '42', {', '.join(encoded(k) for k in keys)}))"
 
 
 NAME = "CASE {0} WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' WHEN 'de' THEN 'German' ELSE {0} END"
@@ -225,26 +229,36 @@ best AS (
   FROM history GROUP BY ALL)"""
 
 
+COMPARISON = f"""SELECT direction, bleu AS current_bleu, chrf_pp AS current_chrf,
+  coalesce(best_bleu, 0.0) AS best_prev_bleu, coalesce(best_chrf, 0.0) AS best_prev_chrf,
+  round(bleu - coalesce(best_bleu, 0.0), 2) AS bleu_delta,
+  round(chrf_pp - coalesce(best_chrf, 0.0), 2) AS chrf_delta,
+  'whole' AS current_run_id, 'now' AS current_timestamp,
+  (SELECT count(DISTINCT run_id) FROM history) AS previous_runs
+FROM results LEFT JOIN best ON direction_key = {KEY.format('direction')}"""
+THREE_RUNS = HISTORY.replace(
+    "\n  FROM domain_bleu JOIN", "\n  FROM (FROM domain_bleu WHERE domain IN ('src0', 'src1', 'src2')) AS domain_bleu JOIN"
+)
+
 # Fingerprints.
 
 
 def row_hash(*columns: str) -> str:
-    parts = ", ".join(
-        f"CASE WHEN {c} IS NULL THEN '-' ELSE length({c}::varchar)::varchar || ':' || {c}::varchar END"
-        for c in sorted(columns)
-    )
-    return f"sha256(concat_ws('|', {parts}))"
+    return f"sha256(concat_ws('|', {', '.join(encoded(c) for c in sorted(columns))}))"
 
 
 FOUR = ("src", "tgt", "src_lang", "tgt_lang")
 
 
-def sampled_hash(size: int) -> str:
+def sampled_hash(size: int, table: str = "pairs", columns: tuple[str, ...] = FOUR) -> str:
+    """A hash of the hashes of buckets; copies of a row are their number."""
     return f"""
-hashes AS (SELECT {row_hash(*FOUR)} AS h FROM pairs),
-fingerprint AS (
-  SELECT sha256(string_agg(h, chr(10) ORDER BY h)) AS dataset_hash FROM (
-    SELECT h FROM hashes ORDER BY sha256('42|' || h) LIMIT {size}))"""
+hashes AS (SELECT {row_hash(*columns)} AS h FROM {table}),
+smallest AS (SELECT h, sha256('42|' || h) AS s FROM hashes ORDER BY s LIMIT {size}),
+hash_lines AS (SELECT s[1:4] AS bucket, h || ':' || count(*) AS line FROM smallest GROUP BY s, h),
+buckets AS (
+  SELECT bucket || ':' || sha256(string_agg(line, chr(10) ORDER BY line)) AS b FROM hash_lines GROUP BY bucket),
+fingerprint AS (SELECT sha256(string_agg(b, chr(10) ORDER BY b)) AS dataset_hash FROM buckets)"""
 
 
 # Splits.
@@ -312,8 +326,8 @@ def fanned_out(table: str, keys: str) -> str:
 TAGGED = "src_lang || ' ' || tgt_lang || ' ' || src"
 
 
-def vocabulary(*texts: str) -> str:
-    parts = " UNION ALL ".join(f"SELECT unnest({words(t)}) AS token FROM pairs" for t in texts)
+def vocabulary(*texts: str, table: str = "pairs") -> str:
+    parts = " UNION ALL ".join(f"SELECT unnest({words(t)}) AS token FROM {table}" for t in texts)
     return f"""
 occurrences AS ({parts}),
 vocab AS (
@@ -321,20 +335,22 @@ vocab AS (
   FROM occurrences GROUP BY token)"""
 
 
-def ids(name: str, text: str, room: int) -> str:
+def ids(name: str, text: str, room: int | str = "", table: str = "pairs") -> str:
     return f"""
 {name} AS (
   SELECT doc_id, pos, list_append(coalesce(list(coalesce(token_id, 1) ORDER BY i)
       FILTER (token IS NOT NULL), []), 2) AS ids
   FROM (SELECT doc_id, pos, unnest(CASE WHEN len(w) = 0 THEN [NULL] ELSE w END) AS token,
                unnest(CASE WHEN len(w) = 0 THEN [0] ELSE range(len(w)) END) AS i
-        FROM (SELECT doc_id, pos, {words(text)}[1:{room}] AS w FROM pairs))
+        FROM (SELECT doc_id, pos, {words(text)}[1:{room}] AS w FROM {table}))
   LEFT JOIN vocab USING (token) GROUP BY doc_id, pos)"""
 
 
-TOKENS = f"""{PAIRS},{vocabulary(TAGGED)},{ids('inputs', TAGGED, 63)},{ids('targets', 'tgt', 63)},
+TOKEN_ROWS = """
 token_rows AS (
   SELECT doc_id, pos, i.ids AS input_ids, t.ids AS labels FROM inputs i JOIN targets t USING (doc_id, pos))"""
+TOKENS = f"{PAIRS},{vocabulary(TAGGED)},{ids('inputs', TAGGED)},{ids('targets', 'tgt')},{TOKEN_ROWS}"
+CUT_TOKENS = f"{PAIRS},{vocabulary(TAGGED)},{ids('inputs', TAGGED, 63)},{ids('targets', 'tgt', 63)},{TOKEN_ROWS}"
 
 
 def repeated(value: str, times: str) -> str:
@@ -345,6 +361,26 @@ def spaced(ids: str) -> str:
     return f"array_to_string({ids}, ' ')"
 
 
+SHOWN_TOKENS = (
+    f"{spaced('input_ids')} AS input_ids, {spaced(repeated('1', 'len(input_ids)'))} AS attention_mask, "
+    f"{spaced('labels')} AS labels"
+)
+
+# From pairs to a recorded run.
+
+PREPARED = f"""{COUNTED},
+valid AS ({first_of("(SELECT * FROM tagged WHERE reason IS NULL)", "src", "doc_id, pos", "*")}),
+normal AS (
+  SELECT doc_id, pos, {normalize('src')} AS src, {normalize('tgt')} AS tgt, src_lang, tgt_lang, domain FROM valid),
+places AS (
+  SELECT *, row_number() OVER (ORDER BY {place('doc_id', 'pos')}) - 1 AS rank, count(*) OVER () AS rows
+  FROM normal),
+prepared AS (
+  SELECT *, CASE WHEN rank < floor(0.9::double * rows) THEN 'train'
+                 WHEN rank < floor({0.9 + 0.05!r}::double * rows) THEN 'val' ELSE 'test' END AS split
+  FROM places)"""
+
+
 def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
@@ -482,8 +518,8 @@ sample AS (SELECT *, {place('doc_id', 'pos')} AS place FROM pairs ORDER BY place
     "evaluation_table": _with(RESULTS, "SELECT *, NULL::varchar AS domain FROM results"),
     "evaluation_by_domain": _with(
         f"{RESULTS},{DOMAIN_SCORES}",
-        f"SELECT *, NULL::varchar AS domain FROM results UNION ALL "
-        f"SELECT {DISPLAY}, n_samples, round(bleu, 2), round(chrf_pp, 2), domain "
+        f"SELECT *, NULL::varchar AS domain, true AS is_total FROM results UNION ALL "
+        f"SELECT {DISPLAY}, n_samples, round(bleu, 2), round(chrf_pp, 2), domain, false "
         f"FROM domain_bleu JOIN domain_chrf USING ({DOMAIN}, n_samples)",
     ),
     "whole_corpus_metrics": _with(
@@ -496,9 +532,8 @@ stripped AS (SELECT 1 AS one, {strip('prediction')} AS prediction, {strip('tgt')
         PAIRS + "," + sampled_hash(1000), "SELECT dataset_hash FROM fingerprint"
     ),
     "dataset_fingerprint_small": _with(
-        CHAT,
-        f"SELECT sha256(string_agg(h, chr(10) ORDER BY h)) AS dataset_hash FROM "
-        f"(SELECT {row_hash('conv_id', 'turn', 'src', 'tgt')} AS h FROM chat)",
+        CHAT + "," + sampled_hash(10_000_000, "chat", ("conv_id", "turn", "src", "tgt")),
+        "SELECT dataset_hash FROM fingerprint",
     ),
     "whole_dataset_fingerprint": _with(
         PAIRS
@@ -523,15 +558,55 @@ hashes AS (
         "SELECT direction_key, 'bleu' AS metric, best_bleu AS best FROM best UNION ALL "
         "SELECT direction_key, 'chrf', best_chrf FROM best",
     ),
-    "run_comparison": _with(
-        f"{RESULTS},{HISTORY}",
-        f"""SELECT direction, bleu AS current_bleu, chrf_pp AS current_chrf,
-  coalesce(best_bleu, 0.0) AS best_prev_bleu, coalesce(best_chrf, 0.0) AS best_prev_chrf,
-  round(bleu - coalesce(best_bleu, 0.0), 2) AS bleu_delta,
-  round(chrf_pp - coalesce(best_chrf, 0.0), 2) AS chrf_delta,
-  'whole' AS current_run_id, 'now' AS current_timestamp,
-  (SELECT count(DISTINCT run_id) FROM history) AS previous_runs
-FROM results LEFT JOIN best ON direction_key = {KEY.format('direction')}""",
+    "run_comparison": _with(f"{RESULTS},{HISTORY}", COMPARISON),
+    "run_history_comparison": _with(f"{RESULTS},{THREE_RUNS}", COMPARISON),
+    "recorded_run": _with(
+        f"""{PREPARED},
+turned AS (
+  SELECT *, array_to_string(list_reverse({words('src')}), ' ') || chr(1567) AS prediction
+  FROM prepared WHERE split = 'test'),
+{bleu(BOTH, 'turned')},{chrf(BOTH, 'turned')}""",
+        f"""SELECT {DISPLAY} AS direction, round(bleu, 2) AS current_bleu, round(chrf_pp, 2) AS current_chrf,
+  round(bleu, 2) AS best_prev_bleu, round(chrf_pp, 2) AS best_prev_chrf, 0.0::double AS bleu_delta,
+  0.0::double AS chrf_delta, '01234567-second' AS current_run_id,
+  '2026-01-01T00:00:00+00:00' AS current_timestamp, 1::bigint AS previous_runs
+FROM bleu JOIN chrf USING (src_lang, tgt_lang, n_samples)""",
+    ),
+    "prepared_pairs": _with(PREPARED, "SELECT doc_id, pos, src, tgt, split FROM prepared"),
+    "prepared_tokens": _with(
+        f"""{PREPARED},
+train AS (SELECT * FROM prepared WHERE split = 'train'),
+learned AS (SELECT * FROM prepared WHERE split <> 'test'),
+{vocabulary(TAGGED, table='train')},{ids('inputs', TAGGED, table='learned')},{ids('targets', 'tgt', table='learned')},{TOKEN_ROWS}""",
+        f"SELECT doc_id, pos, split, {SHOWN_TOKENS} FROM token_rows JOIN learned USING (doc_id, pos)",
+    ),
+    "content_rule_rejections": _with(
+        COUNTED,
+        "SELECT src_lang, count(*) AS total_input, 0::bigint AS min_length, count(*) FILTER (NOT f2) AS max_length, "
+        "0::bigint AS length_ratio, count(*) FILTER (f2 AND NOT f5) AS not_empty_or_numeric, "
+        "count(*) FILTER (f2 AND f5) AS kept FROM flagged GROUP BY src_lang",
+    ),
+    "sampled_by_text_keys": _with(
+        PAIRS,
+        "SELECT doc_id, pos FROM pairs ORDER BY "
+        + place(
+            "CASE WHEN pos % 3 <> 0 THEN src_lang || '|' || tgt_lang END",
+            "doc_id::varchar || '|' || pos::varchar",
+        )
+        + " LIMIT 700",
+    ),
+    "many_strata_split": _with(
+        PAIRS + "," + split_by("doc_id // 10", 0.8, 0.1), "SELECT doc_id, pos, split FROM split"
+    ),
+    "tracked_tables": _with(
+        RESULTS,
+        "SELECT 'evaluation/results_table' AS name, direction, n_samples, bleu, chrf_pp AS \"chrf++\" FROM results",
+    ),
+    "tracked_checkpoints": _with(
+        PAIRS + "," + sampled_hash(5000),
+        "SELECT 'checkpoint' AS type, '0123456789abcdef' AS run_id, dataset_hash, step::bigint AS global_step, "
+        "step / 1000.0::double AS epoch FROM fingerprint, (VALUES (500), (1000)) AS s(step) UNION ALL "
+        "SELECT 'result', NULL, dataset_hash, NULL, NULL FROM fingerprint",
     ),
     "stored_runs": _with(
         f"{RESULTS},{METRICS},{sampled_hash(5000)}",
@@ -548,11 +623,9 @@ FROM results LEFT JOIN best ON direction_key = {KEY.format('direction')}""",
         f"{PAIRS},{vocabulary(TAGGED, 'tgt')}", "SELECT token, n, token_id FROM vocab"
     ),
     "token_ids": _with(
-        TOKENS,
-        f"SELECT doc_id, pos, {spaced('input_ids')} AS input_ids, "
-        f"{spaced(repeated('1', 'len(input_ids)'))} AS attention_mask, "
-        f"{spaced('labels')} AS labels FROM token_rows",
+        TOKENS, f"SELECT doc_id, pos, {SHOWN_TOKENS} FROM token_rows"
     ),
+    "truncated_token_ids": _with(CUT_TOKENS, f"SELECT doc_id, pos, {SHOWN_TOKENS} FROM token_rows"),
     "padded_token_batches": _with(
         TOKENS
         + f""",
@@ -577,8 +650,8 @@ padded AS (
     "user_tokenizer_ids": _with(
         f"""{PAIRS},
 counted AS (
-  SELECT doc_id, pos, list_transform({words(TAGGED)}[1:32], lambda w: length(w)) AS i,
-         list_transform({words('tgt')}[1:32], lambda w: length(w)) AS l FROM pairs)""",
+  SELECT doc_id, pos, list_transform({words(TAGGED)}, lambda w: length(w)) AS i,
+         list_transform({words('tgt')}, lambda w: length(w)) AS l FROM pairs)""",
         f"SELECT doc_id, pos, {spaced('i')} AS input_ids, {spaced(repeated('1', 'len(i)'))} "
         f"AS attention_mask, {spaced('l')} AS labels FROM counted",
     ),

@@ -22,11 +22,17 @@ def validate(
     order_by: Sequence[Column | str],
     rules: Sequence[Rule] | None = None,
     deduplicate_on: str | Sequence[str] = "src",
+    once: bool = False,
 ) -> Validated:
-    """Apply the rules, then keep the first row of each key; with the report of both."""
+    """Apply the rules, then keep the first row of each key; with the report of both.
+
+    With ``once`` the rules run now, a single time for rows and report.
+    """
     rules = build_rules() if rules is None else rules
     on = [deduplicate_on] if isinstance(deduplicate_on, str) else list(deduplicate_on)
     tagged = tag_rejections(df, rules)
+    if once:
+        tagged = materialize(tagged)
     return Validated(keep_first(kept(tagged), on, order_by), validation_report(tagged, rules, on))
 
 
@@ -44,10 +50,12 @@ def prepare(
 ) -> Validated:
     """Validate, normalize and split. ``keys`` order the rows and tell them apart.
 
-    The split reads its input three times. With ``once`` the cleaned table is written
-    to the shared folder first, so that rules, deduplication and normalization run a single time.
+    The split reads its input three times, and rows and report come of the same rules. With ``once``
+    the rows that the rules have been applied to, and then the cleaned ones, are written to the
+    shared folder when this is called, so that sources, rules, deduplication and normalization run a
+    single time.
     """
-    rows, report = validate(df, keys, rules, deduplicate_on)
+    rows, report = validate(df, keys, rules, deduplicate_on, once)
     rows = apply_transforms(rows, transforms)
     if once:
         rows = materialize(rows)

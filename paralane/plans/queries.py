@@ -17,8 +17,8 @@ from paralane.operators.runs import best_scores, compare_runs, final_metrics, ru
 from paralane.operators.transforms import apply_transforms, build_transforms
 from paralane.operators.translate import translate_table
 from paralane.plans import views as V
-from paralane.plans.evaluate import evaluate
-from paralane.plans.prepare import validate
+from paralane.plans.evaluate import evaluate, evaluate_and_record
+from paralane.plans.prepare import prepare, validate
 from paralane.registry import FILE_LANGUAGES
 from paralane.session import materialize, new_folder
 from paralane.sinks.files import (
@@ -93,17 +93,27 @@ def valid_pairs(spark, folder):
 
 @query
 def user_rule_rejections(spark, folder):
-    """The chain with two rules of a user's own, a Column and a Python predicate."""
+    """The chain with two rules of a user's own, a Column and a Python function of a batch."""
     no_pipe = R.Rule("no_pipe", ~F.contains(X.text_or_empty("src"), F.lit("|")))
-    short_words = R.python_rule(
-        "short_words", lambda row: max(map(len, (row["tgt"] or "").split()), default=0) <= 14, ["tgt"]
-    )
+
+    def longest_word(rows: pd.DataFrame) -> pd.Series:
+        return rows["tgt"].str.split().map(lambda words: max(map(len, words), default=0)) <= 14
+
+    short_words = R.vector_rule("short_words", longest_word, ["tgt"])
     rules = [*V.line_rules(), no_pipe, short_words]
     tagged = R.tag_rejections(V.line_pairs(spark, folder), rules)
     report = R.validation_report(tagged, rules)
     return report.select(F.explode("per_rule_rejections").alias("rule", "rejected"))
 
 
+@query
+def content_rule_rejections(spark, folder):
+    """A chain that leaves pairs without words to the rule on content."""
+    rules = R.build_rules(min_word_len=0, max_word_len=40, max_length_ratio=1000.0, reject_identical_pairs=False)
+    tagged = R.tag_rejections(V.line_pairs(spark, folder), rules)
+    return R.rejection_counts(tagged, rules, ["src_lang"])
+
+
 @query
 def keep_first_by_source_text(spark, folder):
     return keep_first(V.line_pairs(spark, folder), ["src"], KEYS).select(*KEYS, "src", "tgt_lang")
@@ -236,6 +246,14 @@ def sampled_pairs(spark, folder):
     return exact_sample(V.line_pairs(spark, folder), 1000, KEYS).select(*KEYS, "src", "tgt")
 
 
+@query
+def sampled_by_text_keys(spark, folder):
+    """Row keys of texts with the characters that join them, and with nulls."""
+    left = F.when(F.col("pos") % 3 != 0, F.concat("src_lang", F.lit("|"), "tgt_lang"))
+    right = F.concat(F.col("doc_id").cast("string"), F.lit("|"), F.col("pos").cast("string"))
+    return exact_sample(V.line_pairs(spark, folder), 700, [left, right]).select(*KEYS)
+
+
 @query
 def sampled_then_first(spark, folder):
     """The sample's random order decides which copy of a text is first."""
@@ -261,6 +279,13 @@ def stratified_pairs(spark, folder):
     return stratified_split(V.line_pairs(spark, folder), KEYS, strata, 0.8, 0.1).select(*KEYS, "split")
 
 
+@query
+def many_strata_split(spark, folder):
+    """A stratum for every ten documents."""
+    pairs = V.line_pairs(spark, folder).withColumn("block", F.floor(F.col("doc_id") / 10))
+    return stratified_split(pairs, KEYS, ["block"], 0.8, 0.1).select(*KEYS, "split")
+
+
 @query
 def ranked_pairs(spark, folder):
     pairs = V.line_pairs(spark, folder).select(*KEYS)
@@ -280,8 +305,7 @@ def locked_test(spark, folder):
 def locked_test_csv(spark, folder):
     split = exact_split(V.line_pairs(spark, folder), KEYS)
     locked = lock_test_split(split, new_folder(spark, "locked-csv"), format="csv")
-    keys = [F.col(k).cast("long").alias(k) for k in KEYS]
-    return locked.select(*keys, "src", "tgt", "domain")
+    return locked.select(*KEYS, "src", "tgt", "domain")
 
 
 @query
@@ -293,7 +317,7 @@ def csv_conversations(spark, folder):
         path, header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
-    pairs = read_pairs(spark, "local", csv_path=path)
+    pairs = read_pairs(spark, "local", csv_path=path, multi_line=True)
     keys = [F.col(k).cast("long").alias(k) for k in ("conv_id", "turn")]
     return pairs.select(*keys, "src", "tgt", "src_lang", "tgt_lang", "domain")
 
@@ -415,14 +439,30 @@ def final_metric_map(spark, folder):
 
 @query
 def best_earlier_scores(spark, folder):
-    return best_scores(V.score_history(spark, folder))
+    return best_scores(V.score_history(V.score_sums(spark, folder)))
 
 
 @query
 def run_comparison(spark, folder):
-    """The whole corpus compared with each of its sources as an earlier run."""
-    results = scores.evaluate_directions(V.scored_pairs(spark, folder), NAMES)
-    return compare_runs(results, V.score_history(spark, folder), "whole", "now")
+    """The whole corpus compared with each of its sources as an earlier run.
+
+    Rows are scored once; both sides come of the sums by source and direction.
+    """
+    sums = materialize(V.score_sums(spark, folder))
+    return compare_runs(scores.evaluate_sums(sums, NAMES), V.score_history(sums), "whole", "now")
+
+
+@query
+def run_history_comparison(spark, folder):
+    """Three runs through files, two of which have ids that begin alike, beside an unreadable one."""
+    sums = materialize(V.score_sums(spark, folder))
+    runs, history = new_folder(spark, "runs"), V.score_history(sums)
+    for run_id, source in (("01234567-a", "src0"), ("01234567-b", "src1"), ("89abcdef-c", "src2")):
+        record = history.where(F.col("run_id") == source).withColumn("run_id", F.lit(run_id))
+        write_run(record, runs, run_id)
+    broken = spark.createDataFrame([("{no record",)], "value string")
+    broken.write.text(f"{runs}/broken/run_metadata.json")
+    return compare_runs(scores.evaluate_sums(sums, NAMES), read_runs(spark, runs), "whole", "now")
 
 
 @query
@@ -464,6 +504,27 @@ def tracked_results(spark, folder):
     return tracker.read("metrics").select("run_id", "step", "key", "value")
 
 
+@query
+def tracked_tables(spark, folder):
+    """The result table logged to the experiment store, a JSON document per row."""
+    tracker = Tracker(spark, new_folder(spark, "tracker"), "run")
+    tracker.log_eval_results(scores.evaluate_directions(V.scored_pairs(spark, folder), NAMES))
+    row = F.from_json("row", "direction string, n_samples long, bleu double, `chrf++` double")
+    return tracker.read("tables").select("name", row.alias("row")).select("name", "row.*")
+
+
+@query
+def tracked_checkpoints(spark, folder):
+    """The run's record logged at two steps, among the artifacts of the store."""
+    tracker = Tracker(spark, new_folder(spark, "tracker"), "run")
+    record = materialize(_record(spark, folder))
+    for step in (500, 1000):
+        tracker.log_checkpoint(record, step, step / 1000)
+    tracker.log_artifact("report", record.select("dataset_hash"))
+    saved = F.from_json("json", "run_id string, dataset_hash string, global_step long, epoch double")
+    return tracker.read("artifacts").where("type <> 'run'").select("type", saved.alias("r")).select("type", "r.*")
+
+
 # Tokens and predictions.
 
 
@@ -473,10 +534,10 @@ def vocabulary(spark, folder):
     return vocab.withColumn("token_id", F.col("token_id").cast("long"))
 
 
-def _token_table(spark, folder):
+def _token_table(spark, folder, **options):
     pairs = V.line_pairs(spark, folder)
     vocab = tokens.vocabulary(pairs, [X.tagged_input()])
-    return tokens.tokenize_words(pairs, vocab, KEYS, max_length=64)
+    return tokens.tokenize_words(pairs, vocab, KEYS, **options)
 
 
 def _shown(df, names):
@@ -489,11 +550,19 @@ def token_ids(spark, folder):
     return _shown(_token_table(spark, folder), tokens.TOKEN_COLUMNS)
 
 
+@query
+def truncated_token_ids(spark, folder):
+    """Ids cut to 64 with the end id, by a lookup that shuffles words."""
+    return _shown(_token_table(spark, folder, max_length=64, lookup="join"), tokens.TOKEN_COLUMNS)
+
+
 @query
 def padded_token_batches(spark, folder):
-    ranks = global_rank(V.line_pairs(spark, folder).select(*KEYS), shuffle_hash(KEYS))
-    # The token table is already partitioned by its keys; only the ranks are shuffled.
-    batches = tokens.padded_batches(_token_table(spark, folder).join(ranks, KEYS), batch_size=16)
+    pairs = V.line_pairs(spark, folder)
+    vocab = tokens.vocabulary(pairs, [X.tagged_input()])
+    # Pairs are ranked first: words are looked up inside the ranked rows.
+    ranked = global_rank(pairs, shuffle_hash(KEYS))
+    batches = tokens.padded_batches(tokens.tokenize_words(ranked, vocab, [*KEYS, "rank"]), batch_size=16)
     names = [*tokens.TOKEN_COLUMNS, "decoder_input_ids"]
     return _shown(batches, names).select(*KEYS, "batch_id", *names)
 
@@ -510,7 +579,7 @@ def user_tokenizer_ids(spark, folder):
             "input_ids": lengths(sources), "labels": lengths(targets)
         }
 
-    table = tokens.tokenize_with(V.line_pairs(spark, folder), make, KEYS, max_length=32)
+    table = tokens.tokenize_with(V.line_pairs(spark, folder), make, KEYS)
     return _shown(table, tokens.TOKEN_COLUMNS)
 
 
@@ -530,3 +599,36 @@ def translations(spark, folder):
 @query
 def scored_translations(spark, folder):
     return evaluate(V.line_pairs(spark, folder), _reverser, NAMES, repair_question_marks=True)
+
+
+# From pairs to a recorded run.
+
+
+def _prepared(spark, folder):
+    return prepare(V.line_pairs(spark, folder), KEYS, V.line_rules())
+
+
+@query
+def prepared_pairs(spark, folder):
+    """Validated, normalized and split."""
+    return _prepared(spark, folder).rows.select(*KEYS, "src", "tgt", "split")
+
+
+@query
+def prepared_tokens(spark, folder):
+    """Ids of the training and validation pairs, by the words of the training sources."""
+    rows = _prepared(spark, folder).rows
+    vocab = tokens.vocabulary(rows.where("split = 'train'"), [X.tagged_input()])
+    table = tokens.tokenize_words(rows.where("split <> 'test'"), vocab, [*KEYS, "split"])
+    return _shown(table, tokens.TOKEN_COLUMNS).select(*KEYS, "split", *tokens.TOKEN_COLUMNS)
+
+
+@query
+def recorded_run(spark, folder):
+    """The locked test split translated, scored, recorded, and compared with the run before."""
+    test = lock_test_split(_prepared(spark, folder).rows, new_folder(spark, "locked"))
+    runs = new_folder(spark, "runs")
+    for run_id in ("01234567-first", "01234567-second"):
+        record = run_record(test.select("src", "tgt"), run_id=run_id, timestamp="2026-01-01T00:00:00+00:00")
+        done = evaluate_and_record(test, _reverser, runs, record, names=NAMES)
+    return done.comparison

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paralane.functions import text as X
 from paralane.operators.rules import build_rules
-from paralane.operators.scores import score_groups, with_row_sums
+from paralane.operators.scores import scores_of, sum_groups, with_row_sums
 from paralane.registry import FILE_LANGUAGES
 from paralane.session import spread
 from paralane.sources.text_files import zip_lines
@@ -36,18 +36,25 @@ def document_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """The lines of each document beside the lines of the next one, by position."""
-    lines = document_lines(spark, folder)
-    left = lines.select(
-        "doc_id", "pos", F.col("line").alias("src"), F.col("lang").alias("src_lang"),
+    """The lines of each document beside the lines of the next one, by position.
+
+    Documents are joined, not lines, so that a text is shuffled once on each side.
+    """
+    documents = read_table(spark, folder, "documents")
+    left = documents.select(
+        "doc_id", F.split("text", "\n", -1).alias("src"), F.col("lang").alias("src_lang"),
         F.col("source").alias("domain"),
     )
-    right = lines.select(
-        (F.col("doc_id") - 1).alias("doc_id"), "pos", F.col("line").alias("tgt"),
+    right = documents.select(
+        (F.col("doc_id") - 1).alias("doc_id"), F.split("text", "\n", -1).alias("tgt"),
         F.col("lang").alias("tgt_lang"),
     )
-    return left.join(right, ["doc_id", "pos"]).select(
-        "doc_id", "pos", "src", "tgt", "src_lang", "tgt_lang", "domain"
+    both = left.join(right, "doc_id")
+    shorter = F.least(F.size("src"), F.size("tgt"))
+    lines = F.arrays_zip(F.slice("src", 1, shorter).alias("src"), F.slice("tgt", 1, shorter).alias("tgt"))
+    paired = both.select("doc_id", F.posexplode(lines).alias("pos", "line"), "src_lang", "tgt_lang", "domain")
+    return paired.select(
+        "doc_id", F.col("pos").cast("long").alias("pos"), "line.src", "line.tgt", "src_lang", "tgt_lang", "domain"
     )
 
 
@@ -68,10 +75,17 @@ def line_triplets(spark: SparkSession, folder: str) -> DataFrame:
     return zip_lines(sides, ["doc_id", "pos"])
 
 
-def score_history(spark: SparkSession, folder: str) -> DataFrame:
+BY_SOURCE = ("domain", "src_lang", "tgt_lang")
+
+
+def score_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """The additive parts of the scores, by source and direction."""
+    return sum_groups(with_row_sums(scored_pairs(spark, folder)), BY_SOURCE)
+
+
+def score_history(summed: DataFrame) -> DataFrame:
     """Run records as if each source had been a run: the scores of its own rows."""
-    rows = with_row_sums(scored_pairs(spark, folder))
-    by_source = score_groups(rows, ["domain", "src_lang", "tgt_lang"])
+    by_source = scores_of(summed, BY_SOURCE)
     key = X.metric_key(X.display_direction(LANGUAGE_NAMES))
     entries = F.array(
         F.struct(F.concat(key, F.lit("/bleu")).alias("key"), F.round("bleu", 2).alias("value")),

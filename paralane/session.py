@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> SparkSession:
@@ -50,22 +50,31 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute a table once, so that operators that read it twice or thrice reuse it.
+_MADE: list[str] = []
 
-    It is written as Parquet to a new place in the shared folder: it outlives lost executors,
-    and a later scan reads only the columns that it needs.
+
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Compute a table once, now, so that operators that read it twice or thrice reuse it.
+
+    It is written as Parquet, so it outlives lost executors, and a later scan reads only the columns
+    that it needs. A caller who names the ``path`` owns the files. Otherwise they go to a new place
+    in the shared folder and stay until ``remove_materialized``.
     """
-    path = new_folder(df.sparkSession, "table")
+    if path is None:
+        path = new_folder(df.sparkSession, "table")
+        _MADE.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = 100_000) -> DataFrame:
-    """Compute a table once, and mark it for broadcast if it has no more than ``limit`` rows.
+def remove_materialized(spark: SparkSession) -> int:
+    """Delete the tables that this session's ``materialize`` has put into the shared folder.
 
-    Spark's own estimate for what is left of a large table after aggregation is far too high;
-    it would shuffle the large side of a join before it learns the size of the small one.
+    To be called when no result that reads them is needed any more. Returns how many there were.
     """
-    df = materialize(df)
-    return F.broadcast(df) if df.count() <= limit else df
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    count = len(_MADE)
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return count

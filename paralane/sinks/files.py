@@ -10,7 +10,7 @@ RESULT_COLUMNS = ("direction", "n_samples", "bleu", "chrf_pp", "domain")
 def lock_test_split(
     df: DataFrame, path: str, format: str = "parquet", overwrite: bool = False
 ) -> DataFrame:
-    """Write the rows of the test split once; return what was written, read back."""
+    """Write the rows of the test split once; return what was written, read back with its types."""
     test = df.where(F.col("split") == "test").drop("split") if "split" in df.columns else df
     writer = test.write.mode("overwrite" if overwrite else "errorifexists")
     if format == "csv":
@@ -22,7 +22,7 @@ def lock_test_split(
         writer.format(format).save(path)
     from paralane.sources.tables import read_locked_test
 
-    return read_locked_test(df.sparkSession, path, format)
+    return read_locked_test(df.sparkSession, path, format, test.schema)
 
 
 def write_text_files(lines: DataFrame, path: str, order_by: Sequence[str]) -> None:
@@ -56,8 +56,12 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 
 
-def write_run(record: DataFrame, folder: str, run_id: str) -> str:
-    """Write a run record to ``<folder>/<first 8 of the id>/run_metadata.json``."""
-    path = f"{folder.rstrip('/')}/{run_id[:8]}/run_metadata.json"
-    record.write.mode("overwrite").json(path, ignoreNullFields=False)
+def write_run(record: DataFrame, folder: str, run_id: str, overwrite: bool = False) -> str:
+    """Write a run record to ``<folder>/<run id>/run_metadata.json``.
+
+    The whole id names the folder, so no run takes the place of another; a second record of one
+    run is an error unless ``overwrite`` is set.
+    """
+    path = f"{folder.rstrip('/')}/{run_id}/run_metadata.json"
+    record.write.mode("overwrite" if overwrite else "errorifexists").json(path, ignoreNullFields=False)
     return path

@@ -14,7 +14,6 @@ _NO_NULL = "\x00"
 CSV_OPTIONS = {
     "header": True,
     "enforceSchema": False,
-    "multiLine": True,
     "quote": '"',
     "escape": '"',
     "nullValue": _NO_NULL,
@@ -24,13 +23,14 @@ CSV_OPTIONS = {
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | None = None, *, multi_line: bool
 ) -> DataFrame:
     """A CSV file with a header. All columns are text, unless a schema is given, which must have
     the header's names.
 
-    Quoted line breaks keep a file in one task. Where there are none, ``multi_line=False`` lets
-    Spark split large files.
+    ``multi_line`` says whether quoted fields may hold line breaks: if so, a file is read by one
+    task; if not, Spark splits large files. There is no default, as either may be wrong. Parquet has
+    neither limit and is better between jobs.
     """
     reader = spark.read.options(**{**CSV_OPTIONS, "multiLine": multi_line})
     return reader.schema(schema).csv(path) if schema else reader.csv(path)
@@ -43,14 +43,20 @@ def read_table(
     format: str = "parquet",
     mapping: Mapping[str, str] | None = None,
     schema: T.StructType | None = None,
+    multi_line: bool | None = None,
 ) -> DataFrame:
-    """A columnar, JSON or CSV dataset, or a table of the catalog, in the pair shape."""
+    """A columnar, JSON or CSV dataset, or a table of the catalog, in the pair shape.
+
+    CSV needs ``multi_line``, see ``read_csv``.
+    """
     if (path is None) == (table is None):
         raise ValueError("give either a path or a table")
+    if format == "csv" and multi_line is None:
+        raise ValueError("say whether fields of the CSV files may hold line breaks: multi_line")
     if table is not None:
         df = spark.table(table)
     elif format == "csv":
-        df = read_csv(spark, path, schema)
+        df = read_csv(spark, path, schema, multi_line=multi_line)
     else:
         reader = spark.read.format(format)
         df = (reader.schema(schema) if schema else reader).load(path)
@@ -75,6 +81,8 @@ def read_pairs(
     if source == "local":
         if csv_path:
             mapping = options.pop("mapping", None)
+            if "multi_line" not in options:
+                raise ValueError("say whether fields of the CSV file may hold line breaks: multi_line")
             df = to_pairs(read_csv(spark, csv_path, **options), mapping)
         elif data_dir:
             df = read_text_pairs(spark, data_dir, **options)
@@ -92,11 +100,11 @@ def read_pairs(
     return exact_sample(df, sample_size, sample_keys, seed, order_column="sample_order")
 
 
-def read_locked_test(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
-    """The test split as it was locked."""
+def read_locked_test(
+    spark: SparkSession, path: str, format: str = "parquet", schema: T.StructType = PAIR_SCHEMA
+) -> DataFrame:
+    """The test split as it was locked. CSV has no types of its own: ``schema`` says which columns
+    it holds, by default those of the pair table, and texts may hold line breaks."""
     if format == "csv":
-        return read_csv(spark, path)
+        return read_csv(spark, path, schema, multi_line=True)
     return spark.read.format(format).load(path)
-
-
-__all__ = ["PAIR_SCHEMA", "read_csv", "read_locked_test", "read_pairs", "read_table"]

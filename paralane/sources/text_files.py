@@ -12,7 +12,7 @@ import re
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -22,7 +22,6 @@ from paralane.registry import DIRECTIONS, FILE_LANGUAGES
 
 # Offsets of this many blocks, of 128 MB each by default, take some 200 MB.
 BROADCAST_BLOCKS = 1_000_000
-LINES_SCHEMA = "path string, block long, in_block long, line string"
 
 
 def _scan(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -33,29 +32,28 @@ def _scan(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _count_within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number the lines of each block. A task reads a block's lines in order, one block after
-    the other, so only the place in the last block is carried from batch to batch."""
+def _places_within_blocks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Number the rows of each block, given by a hash. A task reads a block's lines in order, one
+    block after the other, so only the place in the last block is carried from batch to batch."""
     last, seen = None, 0
     for batch in batches:
-        if not batch.num_rows:
+        blocks = batch.to_numpy()
+        if not len(blocks):
+            yield pd.Series(dtype="int64")
             continue
-        files = batch.column("path").dictionary_encode()
-        blocks = batch.column("block").to_numpy()
-        codes = files.indices.to_numpy()
-        begins = np.flatnonzero((np.diff(codes) != 0) | (np.diff(blocks) != 0)) + 1
-        starts = np.concatenate([[0], begins])
-        sizes = np.diff(np.concatenate([starts, [batch.num_rows]]))
-        place = np.arange(batch.num_rows) - np.repeat(starts, sizes)
-        first = (files.dictionary[int(codes[0])].as_py(), int(blocks[0]))
-        if first == last:
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(blocks) != 0) + 1])
+        sizes = np.diff(np.append(starts, len(blocks)))
+        place = np.arange(len(blocks)) - np.repeat(starts, sizes)
+        if blocks[0] == last:
             place[: sizes[0]] += seen
-        last = (files.dictionary[int(codes[-1])].as_py(), int(blocks[-1]))
-        seen = int(place[-1]) + 1
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("path"), batch.column("block"), pa.array(place), batch.column("line")],
-            names=["path", "block", "in_block", "line"],
-        )
+        last, seen = blocks[-1], int(place[-1]) + 1
+        yield pd.Series(place)
+
+
+def _place_in_block() -> Column:
+    """The place of a line in its block. Only a hash of the block goes to Python, not the line."""
+    places = F.pandas_udf(_places_within_blocks, "bigint").asNondeterministic()
+    return places(F.xxhash64("path", "block"))
 
 
 def _file_of(path: Column | str, suffix: str) -> Column:
@@ -108,7 +106,7 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str], suffix: str
     blocks_at_most = len(scan.inputFiles()) + 2 * scan.rdd.getNumPartitions()
     if blocks_at_most <= BROADCAST_BLOCKS:
         offsets = F.broadcast(offsets)
-    lines = scan.mapInArrow(_count_within_blocks, LINES_SCHEMA)
+    lines = scan.withColumn("in_block", _place_in_block())
     known = F.coalesce(
         "offset", F.raise_error(F.lit("a file was split differently in two scans of it")).cast("bigint")
     )

@@ -5,14 +5,13 @@ from pyspark.sql import functions as F
 
 from paralane.operators.rules import build_rules, kept, tag_rejections
 from paralane.operators.runs import run_record
-from paralane.operators.transforms import build_transforms
+from paralane.operators.transforms import apply_transforms, build_transforms
 from paralane.plans.evaluate import evaluate, evaluate_and_record
 from paralane.plans.prepare import prepare
 from paralane.registry import ENGLISH, MAITHILI, NEPALI
-from paralane.session import materialize, new_folder, shared_folder, spread
+from paralane.session import materialize, new_folder, remove_materialized, shared_folder, spread
 from paralane.sinks.files import lock_test_split
 from paralane.sources.tables import read_pairs
-from paralane.streaming import apply_transforms
 
 
 @pytest.fixture
@@ -98,3 +97,21 @@ def test_the_shared_folder_is_that_of_the_session(spark):
     assert folder == named if named else folder
     assert materialize(spark.range(3)).count() == 3
     assert new_folder(spark, "x").startswith(f"{folder}/x-")
+
+
+def test_materialized_tables_have_an_owner(spark, tmp_path):
+    own = str(tmp_path / "own")
+    materialize(spark.range(2), own)
+    made = materialize(spark.range(3))
+    (path,) = {f.rsplit("/", 1)[0] for f in made.inputFiles()}
+    assert remove_materialized(spark) >= 1 and remove_materialized(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert spark.read.parquet(own).count() == 2
+
+
+def test_rules_run_once_for_rows_and_report(spark, folder):
+    pairs = read_pairs(spark, "local", data_dir=folder)
+    done = prepare(pairs, KEYS, build_rules())
+    for df in done:
+        assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()

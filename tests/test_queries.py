@@ -19,10 +19,16 @@ def connection():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, connection, name):
     assert differences(spark, connection, FOLDER, name, entry.queries()[name], SQL[name]) == ""
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_all_queries_of_the_package_have_sql():
+    from paralane.plans.queries import QUERIES
+
+    assert set(QUERIES) <= set(SQL) <= set(entry.queries())

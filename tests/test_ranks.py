@@ -10,12 +10,13 @@ from paralane.operators.ranks import (
 )
 
 
-def place(key, seed=42):
-    return hashlib.sha256(f"{seed}|{key}".encode()).hexdigest()
+def place(*keys, seed=42):
+    parts = [str(seed), *("-" if key is None else f"{len(str(key))}:{key}" for key in keys)]
+    return hashlib.sha256("|".join(parts).encode()).hexdigest()
 
 
 def in_order(keys, seed=42):
-    return sorted(keys, key=lambda key: place(key, seed))
+    return sorted(keys, key=lambda key: place(key, seed=seed))
 
 
 def labels(n, train, val):
@@ -49,13 +50,22 @@ def test_seed_and_partitions(spark):
     assert sorted(one) == sorted(again) != sorted(other)
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
 def test_stratified_split(spark, limit):
+    """Whether the cuts are broadcast or joined does not matter."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        check_strata(spark)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def check_strata(spark):
     # One stratum with most rows, small ones, and one of nulls.
     df = spark.range(1000).withColumn(
         "s", F.when(F.col("id") < 700, "big").when(F.col("id") < 980, F.concat(F.lit("s"), F.col("id") % 40))
     )
-    found = {row.id: row.split for row in stratified_split(df, ["id"], ["s"], 0.8, 0.1, broadcast_limit=limit).collect()}
+    found = {row.id: row.split for row in stratified_split(df, ["id"], ["s"], 0.8, 0.1).collect()}
     assert len(found) == 1000
     members = {}
     for row in df.collect():
@@ -92,10 +102,32 @@ def test_rank(spark, digits):
 def test_several_keys(spark):
     df = spark.range(50).select((F.col("id") % 5).alias("a"), F.col("id").alias("b"))
     rows = exact_sample(df, 7, ["a", "b"]).collect()
-    keys = sorted(((i % 5, i) for i in range(50)), key=lambda k: place(f"{k[0]}|{k[1]}"))[:7]
+    keys = sorted(((i % 5, i) for i in range(50)), key=lambda k: place(*k))[:7]
     assert sorted((r.a, r.b) for r in rows) == sorted(keys)
 
 
+AWKWARD = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("x", None), ("", "x"), ("x", ""), (None, None), ("-", "x"), ("1:a", "b"), ("a", "1:b")]
+
+
+def test_keys_that_read_alike_are_told_apart(spark):
+    df = spark.createDataFrame(AWKWARD, "a string, b string")
+    for size in range(1, 11):
+        assert exact_sample(df, size, ["a", "b"]).count() == size
+    for rows in (exact_split(df, ["a", "b"], 0.2, 0.3), stratified_split(df, ["a", "b"], [], 0.2, 0.3)):
+        sizes = {r.split: r["count"] for r in rows.groupBy("split").count().collect()}
+        assert sizes == {"train": 2, "val": 3, "test": 5}
+    ranked = global_rank(df, shuffle_hash(["a", "b"])).orderBy("rank").collect()
+    assert [(r.a, r.b) for r in ranked] == sorted(AWKWARD, key=lambda key: place(*key))
+
+
+def test_rows_of_equal_keys_cannot_be_parted(spark):
+    df = spark.createDataFrame([("k",)] * 4 + [("l",)], "a string")
+    with pytest.raises(Exception, match="have the same key"):
+        exact_sample(df, 2, ["a"]).collect()
+    whole = 4 if place("k") < place("l") else 1
+    assert exact_sample(df, whole, ["a"]).count() == whole
+
+
 def test_splits_do_not_shuffle_the_table(spark):
     df = spark.range(100).withColumn("payload", F.lit("x"))
     plan = exact_split(df, ["id"])._jdf.queryExecution().optimizedPlan().toString()

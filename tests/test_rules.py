@@ -102,6 +102,23 @@ def test_user_rules(spark):
     assert reasons(spark, rows, rules) == ["no_x", "tgt_has_q", None]
 
 
+def test_python_rules_see_only_what_is_left(spark):
+    def no_short_sources(rows):
+        assert (rows["src"].str.split().map(len) >= 3).all()
+        return rows["tgt"] != "d e f"
+
+    rules = R.build_rules(extra=[R.vector_rule("not_def", no_short_sources, ["src", "tgt"]), ("last", F.col("src") != "k l m")])
+    rows = [("a", "x", "y"), ("a b c", "d e f", "y"), ("a b c", "d e g", "y"), ("k l m", "d e g", "y"), ("b", "d e f", "y")]
+    assert reasons(spark, rows, rules) == ["min_length", "not_def", None, "last", "min_length"]
+
+
+def test_names_of_rules_are_unique(spark):
+    with pytest.raises(ValueError, match="max_length"):
+        R.build_rules(extra=[("max_length", F.lit(True))])
+    with pytest.raises(ValueError, match="several rules"):
+        R.tag_rejections(pairs(spark, []), [R.min_length(), R.min_length(4)])
+
+
 def test_report(spark):
     rows = [edge[:3] for edge in EDGES] + [("a b c", "other words here", "eng_Latn")]
     rules = all_rules(reject_identical_pairs=False)

@@ -1,5 +1,6 @@
 import hashlib
 import json
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,24 +22,28 @@ def results(spark):
     )
 
 
-def python_hash(rows, n, seed=42):
+def python_hash(rows, n, seed=42, digits=4):
     def one(row):
         parts = ["-" if v is None else f"{len(str(v))}:{v}" for _, v in sorted(row.items())]
         return hashlib.sha256("|".join(parts).encode()).hexdigest()
 
     hashes = [one(row) for row in rows]
-    hashes.sort(key=lambda h: hashlib.sha256(f"{seed}|{h}".encode()).hexdigest())
-    return hashlib.sha256("\n".join(sorted(hashes[:n])).encode()).hexdigest()
+    place = {h: hashlib.sha256(f"{seed}|{h}".encode()).hexdigest() for h in hashes}
+    taken = Counter(sorted(hashes, key=place.get)[:n])
+    buckets = defaultdict(list)
+    for h, copies in taken.items():
+        buckets[place[h][:digits]].append(f"{h}:{copies}")
+    lines = sorted(f"{b}:{hashlib.sha256(chr(10).join(sorted(x)).encode()).hexdigest()}" for b, x in buckets.items())
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
 @pytest.mark.parametrize("n", [1, 37, 5000])
 def test_dataset_hash(spark, n):
     rows = [{"src": f"w{i % 200}" if i % 3 else "hot", "tgt": None if i % 3 else "same"} for i in range(900)]
     df = spark.createDataFrame([(r["src"], r["tgt"]) for r in rows], "src string, tgt string")
-    expected = python_hash(rows, n)
     for given in (df, df.repartition(7), df.select("tgt", "src")):
         for digits in (1, 4):
-            assert dataset_hash(given, n, digits=digits).first().dataset_hash == expected
+            assert dataset_hash(given, n, digits=digits).first().dataset_hash == python_hash(rows, n, digits=digits)
     assert dataset_hash(df, n, seed=7).first().dataset_hash == python_hash(rows, n, 7)
 
 
@@ -112,7 +117,12 @@ def test_stored_run(spark, tmp_path, results):
     df = spark.createDataFrame([("é", "b")], "src string, tgt string")
     record = R.with_results(R.run_record(df, run_id="12345678-90", environment={"ö": "ß"}), results)
     path = write_run(record, str(tmp_path), "12345678-90")
-    assert path.endswith("/12345678/run_metadata.json")
+    assert path.endswith("/12345678-90/run_metadata.json")
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        write_run(record, str(tmp_path), "12345678-90")
+    write_run(record.withColumn("run_id", F.lit("12345678-91")), str(tmp_path), "12345678-91")
+    assert read_runs(spark, str(tmp_path)).count() == 2
+    write_run(record, str(tmp_path), "12345678-90", overwrite=True)
     back = read_runs(spark, str(tmp_path)).first()
     assert back.run_id == "12345678-90" and back.environment == {"ö": "ß"}
     assert back.final_metrics == record.first().final_metrics and "12345678" in back._source_file

@@ -18,16 +18,16 @@ def test_csv_keeps_all_words(spark, tmp_path):
     path.write_text(
         'src,tgt,src_lang,tgt_lang,domain,extra\n"a, ""b""\nc",NA,null,None,"",1\n" x ",\\y,e,n,d,\n', encoding="utf-8"
     )
-    rows = read_csv(spark, str(path)).collect()
+    rows = read_csv(spark, str(path), multi_line=True).collect()
     assert [tuple(r)[:5] for r in rows] == ROWS
     assert rows[0].extra == "1"
-    assert [tuple(r)[:5] for r in read_pairs(spark, "local", csv_path=str(path)).collect()] == ROWS
+    assert [tuple(r)[:5] for r in read_pairs(spark, "local", csv_path=str(path), multi_line=True).collect()] == ROWS
 
 
 def test_csv_with_a_schema(spark, tmp_path):
     path = tmp_path / "pairs.csv"
     path.write_text("src,tgt,src_lang,tgt_lang,domain\na,b,c,d,e\n", encoding="utf-8")
-    assert tuple(read_csv(spark, str(path), PAIR_SCHEMA).first()) == ("a", "b", "c", "d", "e")
+    assert tuple(read_csv(spark, str(path), PAIR_SCHEMA, multi_line=True).first()) == ("a", "b", "c", "d", "e")
     path.write_text("tgt,src,src_lang,tgt_lang,domain\na,b,c,d,e\n", encoding="utf-8")
     with pytest.raises(Exception, match="CSV header"):
         read_csv(spark, str(path), PAIR_SCHEMA, multi_line=False).collect()
@@ -35,7 +35,11 @@ def test_csv_with_a_schema(spark, tmp_path):
 
 def test_a_missing_csv_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
-        read_pairs(spark, "local", csv_path=str(tmp_path / "none.csv")).count()
+        read_pairs(spark, "local", csv_path=str(tmp_path / "none.csv"), multi_line=True).count()
+    with pytest.raises(ValueError, match="multi_line"):
+        read_pairs(spark, "local", csv_path=str(tmp_path / "none.csv"))
+    with pytest.raises(ValueError, match="multi_line"):
+        read_table(spark, str(tmp_path / "none.csv"), format="csv")
 
 
 @pytest.mark.parametrize("format", ["parquet", "orc", "json"])
@@ -85,6 +89,9 @@ def test_locked_csv(spark, tmp_path, pairs):
     path = str(tmp_path / "locked")
     assert [tuple(r) for r in lock_test_split(split, path, format="csv").collect()] == [ROWS[1]]
     assert read_locked_test(spark, path, "csv").count() == 1
+    typed = split.withColumn("n", F.lit(7)).withColumn("split", F.lit("test"))
+    back = lock_test_split(typed, str(tmp_path / "typed"), format="csv")
+    assert dict(back.dtypes)["n"] == "int" and back.count() == 2
     with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
         lock_test_split(split, path, format="csv")
     assert lock_test_split(pairs, path, format="csv", overwrite=True).count() == 2

@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,17 +31,18 @@ def test_vocabulary(spark, pairs):
     assert {r.token: r.n for r in rows}["a"] == 3
 
 
-@pytest.mark.parametrize("hot, broadcast", [(1.0, 9), (0.0, 0), (0.2, 0), (2.0, 0)])
-@pytest.mark.parametrize("limit", [2, 4, 256])
-def test_encoding(spark, pairs, monkeypatch, hot, broadcast, limit):
+@pytest.mark.parametrize("hot, lookup", [(1.0, "broadcast"), (0.0, "join"), (0.2, "join"), (2.0, "join")])
+@pytest.mark.parametrize("limit", [2, 4, None])
+def test_encoding(spark, pairs, monkeypatch, hot, lookup, limit):
     """Whether words are looked up by broadcast or by shuffle does not matter."""
     monkeypatch.setattr(T, "HOT_SHARE", hot)
     known = python_vocabulary([r[2] for r in ROWS])
     vocab = T.vocabulary(pairs, ["tgt"])
-    rows = T.tokenize_words(pairs, vocab, ["i"], limit, tagged=False, broadcast_limit=broadcast).collect()
+    rows = T.tokenize_words(pairs, vocab, ["i"], limit, tagged=False, lookup=lookup).collect()
 
     def ids(text):
-        return [known.get(w, T.UNKNOWN_ID) for w in (text or "").split()][: limit - 1] + [T.EOS_ID]
+        found = [known.get(w, T.UNKNOWN_ID) for w in (text or "").split()]
+        return (found if limit is None else found[: limit - 1]) + [T.EOS_ID]
 
     found = {r.i: (r.input_ids, r.attention_mask, r.labels) for r in rows}
     assert found == {i: (ids(s), [1] * len(ids(s)), ids(t)) for i, s, t, *_ in ROWS}
@@ -51,6 +53,40 @@ def test_encoding_without_end(spark, pairs):
     assert {r.i: len(r.ids) for r in rows} == {1: 2, 2: 0, 3: 0, 4: 2}
 
 
+@pytest.mark.parametrize("lookup", ["broadcast", "join"])
+def test_rows_of_equal_keys_stay_apart(spark, lookup):
+    df = spark.createDataFrame([(1, "a b"), (1, "c"), (1, "c")], "i int, src string")
+    vocab = T.vocabulary(df, ["src"])
+    rows = T.encode_words(df, vocab, {"ids": "src"}, ["i"], lookup=lookup).collect()
+    known = python_vocabulary(["a b c"])
+    assert sorted(r.ids for r in rows) == sorted([[known["a"], known["b"], 2], [known["c"], 2], [known["c"], 2]])
+
+
+def test_lookups_stay_in_the_row(spark, pairs):
+    vocab = T.vocabulary(pairs, ["src"])
+    plan = T.tokenize_words(pairs, vocab, ["i"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_a_vocabulary_that_is_too_large_to_broadcast(spark, pairs):
+    with pytest.raises(ValueError, match="lookup='join'"):
+        T.tokenize_words(pairs, T.vocabulary(pairs, ["src"]), ["i"], broadcast_bytes=10)
+    with pytest.raises(ValueError, match="unknown lookup"):
+        T.tokenize_words(pairs, T.vocabulary(pairs, ["src"]), ["i"], lookup="guess")
+
+
+def test_masks_may_be_arrays(spark, pairs):
+    def make():
+        def tokenize(sources, targets, src_lang, tgt_lang):
+            ids = np.ones((len(sources), 3), dtype=np.int32)
+            return {"input_ids": ids, "attention_mask": ids, "labels": ids[:, :1]}
+
+        return tokenize
+
+    rows = T.tokenize_with(pairs, make, ["i"]).collect()
+    assert all(r.attention_mask == [1, 1, 1] and r.labels == [1] for r in rows) and len(rows) == 4
+
+
 def test_user_tokenizer(spark, pairs):
     def make():
         def tokenize(sources, targets, src_lang, tgt_lang):
