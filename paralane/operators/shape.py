@@ -59,7 +59,11 @@ def ingestion_summary(df: DataFrame, approximate: bool = False) -> DataFrame:
 
 
 def split_statistics(df: DataFrame, split: str = "split") -> DataFrame:
-    """One row: the size of each split, and the directions and domains, in order."""
+    """One row: the size of each split, and the directions and domains, in order.
+
+    Both are lists in one row, so they must be few: a domain is a subject or a source, of which
+    there are thousands at most. For a column such as a web host, group by it instead.
+    """
     direction: Column = F.concat(F.col("src_lang"), F.lit(" -> "), F.col("tgt_lang"))
     domains = (
         F.array_sort(F.collect_set("domain")) if "domain" in df.columns

@@ -142,3 +142,11 @@ def test_errors(spark, tmp_path):
     assert read_text_pairs(spark, str(tmp_path)).count() == 0
     with pytest.raises(ValueError):
         read_text_pairs(spark, str(tmp_path), require_rows=True)
+
+
+def test_lines_do_not_go_through_python(spark, tmp_path):
+    (tmp_path / "A_english.txt").write_text("a\nb\n", encoding="utf-8")
+    plan = numbered_lines(spark, str(tmp_path / "*_english.txt"), "_english.txt")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan
+    (call,) = {line.split("ArrowEvalPython")[1] for line in plan.split("\n") if "ArrowEvalPython" in line}
+    assert call.startswith(" [_places_within_blocks(xxhash64(") and "value" not in call.split("]")[0]
