@@ -58,6 +58,35 @@ def strings_as_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+class Seen:
+    """What was worked out for words, in two generations of at most ``size`` words.
+
+    Words that come again are moved to the new generation; when it is full, the old one goes.
+    """
+
+    def __init__(self, size: int, longest: int = 64) -> None:
+        self.size, self.longest = size, longest
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def all(self, lists: list[list], work) -> list[list]:
+        """The values of all words of some lists; ``work`` makes a dictionary for a list of new words."""
+        known = self.new
+        found = [list(map(known.get, words)) for words in lists]
+        open_ = [i for i, values in enumerate(found) if None in values]
+        missing = {word for i in open_ for word, value in zip(lists[i], found[i]) if value is None}
+        known.update({word: self.old[word] for word in missing if word in self.old})
+        known.update(work([word for word in missing if word not in known]))
+        for i in open_:
+            found[i] = list(map(known.__getitem__, lists[i]))
+        for word in missing:
+            if len(word) > self.longest:
+                del known[word]
+        if len(known) >= self.size:
+            self.old, self.new = known, {}
+        return found
+
+
 def batches_of(rows: Iterable, schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Arrow batches of at most ``size`` rows of an iterator of tuples."""
     block: list[tuple] = []

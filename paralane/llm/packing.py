@@ -5,7 +5,7 @@ import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -13,85 +13,82 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from paralane.llm.common import gapless, strings_as_bytes
+from paralane.llm.common import Seen, gapless, strings_as_bytes
 from paralane.session import materialize
 
-#: Where a word-end vocabulary cuts a lower-cased word of Latin-1 letters and marks (fixed values).
+#: Where a word-end vocabulary cuts lower-cased words of Latin-1 characters (fixed values); lines
+#: are kept apart.
 _LETTERS = "a-zA-Zªµº\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _DIGITS = "0-9²³¹¼½¾"
-PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}]+")
-_OTHER = re.compile("[^\x21-\x84\x86-\x9f\xa1-\xff]|<\\|")
+PARTS = re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}]+")
+_OTHER = re.compile("[^\n\x21-\x84\x86-\x9f\xa1-\xff]|<\\|")
 
 
 class WordEncoder:
     """The ids of whole texts by the tokenizers library, for a vocabulary that drops white space.
 
     Words between ASCII white space are independent of each other there, so each is encoded once
-    and then looked up, in two generations of at most ``size`` words. New words are encoded
-    together, and taken apart at the tokens that end a part of a word; words with other than Latin-1
-    characters are encoded one by one.
+    and then looked up. New words are encoded together, and taken apart at the tokens that end a
+    part of a word; words with other than Latin-1 characters are encoded one by one.
     """
 
     def __init__(self, path: str, size: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.size = Tokenizer.from_file(path), size
+        self.tokenizer, self.seen = Tokenizer.from_file(path), Seen(size)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         words = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(words.values()) + 1, dtype=bool)
         self.ends[[i for word, i in words.items() if word.endswith("</w>")]] = True
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype=np.uint32) for x in found]
 
+    def _together(self, words: list[bytes], lines: str) -> dict[bytes, bytes] | None:
+        """The ids of words of Latin-1 characters, or None if they cannot be told apart."""
+        parts = PARTS.findall(lines.lower())
+        breaks = np.array([i for i, part in enumerate(parts) if part == "\n"], dtype=np.int64)
+        ends = np.append(breaks - np.arange(len(breaks)), len(parts) - len(breaks))
+        ids = self._ids([lines])[0]
+        last = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
+        if len(ends) != len(words) or ends[-1] != len(last) - 1 or last[-1] != len(ids):
+            return None
+        cuts, flat = [0, *(4 * last[ends]).tolist()], ids.tobytes()
+        return {word: flat[a:b] for word, a, b in zip(words, cuts, cuts[1:])}
+
     def _work_out(self, words: list[bytes]) -> dict[bytes, bytes]:
-        together, alone, counts = [], [], []
-        for word in words:
-            text = word.decode()
-            if _OTHER.search(text):
-                alone.append((word, text))
-            else:
-                together.append((word, text))
-                counts.append(len(PARTS.findall(text.lower())))
-        out = {}
-        if together:
-            ids = self._ids(["\n".join(text for _, text in together)])[0]
-            last = np.flatnonzero(self.ends[ids]) + 1
-            ends = np.cumsum(counts)
-            if len(last) == ends[-1] and (not len(ids) or last[-1] == len(ids)):
-                cuts = [0, *last[ends - 1].tolist()]
-                flat = ids.tobytes()
-                out = {w: flat[4 * a : 4 * b] for (w, _), a, b in zip(together, cuts, cuts[1:])}
-            else:
-                alone += together
-        out.update((word, ids.tobytes()) for (word, _), ids in zip(alone, self._ids([text for _, text in alone])))
+        if not words:
+            return {}
+        lines, alone = b"\n".join(words).decode(), []
+        if _OTHER.search(lines):
+            alone = [word for word in words if _OTHER.search(word.decode())]
+            other = set(alone)
+            words = [word for word in words if word not in other]
+            lines = b"\n".join(words).decode()
+        out = self._together(words, lines) if words else {}
+        if out is None:
+            out, alone = {}, [*alone, *words]
+        out.update((word, ids.tobytes()) for word, ids in zip(alone, self._ids([word.decode() for word in alone])))
         return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, as unsigned 32-bit little-endian numbers."""
-        cut = [text.split() for text in texts]
-        known = self.new
-        missing = {word for words in cut for word in words if word not in known}
-        known.update({word: self.old[word] for word in missing if word in self.old})
-        known.update(self._work_out([word for word in missing if word not in known]))
-        out = [b"".join(map(known.__getitem__, words)) for words in cut]
-        for word in missing:
-            if len(word) > 64:
-                del known[word]
-        if len(known) >= self.size:
-            self.old, self.new = known, {}
-        return out
+        return list(map(b"".join, self.seen.all([text.split() for text in texts], self._work_out)))
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker, which goes on with the words it has seen."""
+    return WordEncoder(path)
 
 
 def _pieces(
     batches: Iterator[pa.RecordBatch], path: str, at: int, capacity: int, end_id: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
-    encoder, with_ids = WordEncoder(path), "ids" in schema.names
+    encoder, with_ids = word_encoder(path), "ids" in schema.names
     end = np.uint32(end_id).tobytes()
     for batch in batches:
         texts, begin = strings_as_bytes(batch.column(at)), 0
