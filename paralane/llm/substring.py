@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from paralane.llm.common import mixed, partitions_of, strings_as_bytes, text_or_empty
 from paralane.llm.fm_index import FMIndex
@@ -19,11 +19,13 @@ INDEX_WORDS = 1 << 18
 RUN_WINDOWS = 32
 ANCHOR_WORDS = 5
 LAST_ID = 2**63 - 1
+#: An anchor in so many blocks is hot: its windows are sent one by one, each to a shard of its own.
+HOT_BLOCKS = 512
 
 _OCCURRENCE = StructType([StructField("anchor", LongType()), StructField("block", IntegerType()), StructField("low", LongType()), StructField("high", LongType())])
-_REPEATED = StructType([StructField("block", IntegerType()), StructField("anchor", LongType())])
-_SEGMENT = StructType([StructField("anchor", LongType()), StructField("block", IntegerType()), StructField("words", BinaryType()), StructField("low", LongType()), StructField("high", LongType())])
-_FOUND = StructType([StructField("block", IntegerType()), StructField("anchor", LongType()), StructField("segment", LongType()), StructField("first_ids", ArrayType(LongType()))])
+_REPEATED = StructType([StructField("block", IntegerType()), StructField("anchor", LongType()), StructField("hot", BooleanType())])
+_SEGMENT = StructType([StructField("shard", LongType()), StructField("hot_anchor", LongType()), StructField("block", IntegerType()), StructField("words", BinaryType()), StructField("low", LongType()), StructField("high", LongType())])
+_FOUND = StructType([StructField("block", IntegerType()), StructField("shard", LongType()), StructField("hot_anchor", LongType()), StructField("segment", LongType()), StructField("first_ids", ArrayType(LongType()))])
 
 
 @dataclass
@@ -72,10 +74,18 @@ class Runs:
         first = np.flatnonzero(inside % RUN_WINDOWS == 0)
         return cls(words, ends, valid[first], np.diff(np.append(first, len(valid))), anchor[first], row[first])
 
-    def segment(self, i: int, window: int) -> bytes:
-        """All words of a run's windows."""
-        begin = self.begin[i]
-        return b" ".join(self.words[begin : begin + self.count[i] + window - 1])
+    def segments(self, i: int, window: int, hot: bool) -> list[tuple[int, int, bytes]]:
+        """What is sent of a run: (first window, shard, words).
+
+        All its words go to the shard of its anchor. The windows of a hot anchor go one by one, to the
+        shards of their own hashes: where many documents share a passage, the runs at its ends differ
+        from document to document, and one shard would get them all.
+        """
+        begin, count = int(self.begin[i]), int(self.count[i])
+        if not hot:
+            return [(begin, int(self.anchor[i]), b" ".join(self.words[begin : begin + count + window - 1]))]
+        windows = [(at, b" ".join(self.words[at : at + window])) for at in range(begin, begin + count)]
+        return [(at, xxhash.xxh64_intdigest(words) - (1 << 63), words) for at, words in windows]
 
 
 def _ids(column: pa.ChunkedArray) -> np.ndarray:
@@ -109,8 +119,8 @@ def _gathered(batches) -> pa.Table | None:
     return pa.Table.from_batches(held) if held else None
 
 
-def _repeated(batches):
-    """Of anchors that several documents have, the blocks that have them."""
+def _repeated(batches, hot_blocks: int):
+    """Of anchors that several documents have, the blocks that have them, and whether they are hot."""
     table = _gathered(batches)
     if table is None:
         return
@@ -119,29 +129,38 @@ def _repeated(batches):
     anchor = anchor[order]
     first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
     several = np.minimum.reduceat(low[order], first) < np.maximum.reduceat(high[order], first)
-    kept = order[np.repeat(several, np.diff(np.append(first, len(anchor))))]
-    found = _table(_REPEATED, block[kept], table.column(0).to_numpy()[kept])
+    blocks = np.diff(np.append(first, len(anchor)))
+    kept = np.repeat(several, blocks)
+    found = _table(_REPEATED, block[order[kept]], anchor[kept], np.repeat(blocks >= hot_blocks, blocks)[kept])
     yield from found.to_batches(max_chunksize=1 << 16)
 
 
 def _segments(docs: pa.Table, repeated: pa.Table, id_column: str, text_column: str, window: int) -> pa.Table:
-    """A block's distinct runs of words at repeated anchors, each with its smallest and largest id."""
+    """A block's distinct runs (or windows) at repeated anchors, each with its smallest and largest id."""
     if not docs.num_rows or not repeated.num_rows:
-        return _table(_SEGMENT, [], [], [], [], [])
+        return _table(_SEGMENT, [], [], [], [], [], [])
     runs = Runs.of(_texts(docs.column(text_column)), window)
     ids = _ids(docs.column(id_column))
-    wanted = np.flatnonzero(np.isin(runs.anchor, repeated.column("anchor").to_numpy()))
-    seen: dict[bytes, list] = {}
-    for i, anchor, id_ in zip(wanted.tolist(), runs.anchor[wanted].tolist(), ids[runs.row[wanted]].tolist()):
-        words = runs.segment(i, window)
-        known = seen.get(words)
-        if known is None:
-            seen[words] = [anchor, id_, id_]
-        else:
-            known[1], known[2] = min(known[1], id_), max(known[2], id_)
-    anchors, low, high = zip(*seen.values()) if seen else ((), (), ())
+    wanted, hot = _at(runs, repeated)
+    seen: dict[tuple[int, bytes], list] = {}
+    for i, is_hot, id_ in zip(wanted.tolist(), hot.tolist(), ids[runs.row[wanted]].tolist()):
+        for _, shard, words in runs.segments(i, window, is_hot):
+            known = seen.get((shard, words))
+            if known is None:
+                seen[shard, words] = [int(runs.anchor[i]) if is_hot else None, id_, id_]
+            else:
+                known[1], known[2] = min(known[1], id_), max(known[2], id_)
+    shards, words = zip(*seen) if seen else ((), ())
+    hot_anchors, low, high = zip(*seen.values()) if seen else ((), (), ())
     block = [docs.column("__block")[0].as_py()] * len(seen)
-    return _table(_SEGMENT, anchors, block, list(seen), low, high)
+    return _table(_SEGMENT, shards, hot_anchors, block, words, low, high)
+
+
+def _at(runs: Runs, repeated: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The runs at repeated anchors, and whether these are hot."""
+    anchors, hot = repeated.column("anchor").to_numpy(), repeated.column("hot").to_numpy()
+    wanted = np.flatnonzero(np.isin(runs.anchor, anchors))
+    return wanted, np.isin(runs.anchor[wanted], anchors[hot.astype(bool)])
 
 
 def first_ids(segments: list[list[bytes]], low: list[int], window: int) -> list[np.ndarray]:
@@ -171,19 +190,20 @@ def first_ids(segments: list[list[bytes]], low: list[int], window: int) -> list[
     return np.split(result, np.cumsum(counts)[:-1])
 
 
-def _matched(batches, window: int):
-    """Index the segments of a shard and tell the blocks where their windows first occur.
+def _matched(batches, window: int, index_words: int):
+    """Index the segments of some shards and tell the blocks where their windows first occur.
 
-    Equal windows have equal anchors, so indexes are cut between anchors. A segment whose windows occur in
+    Equal windows have equal shards, so indexes are cut between shards. A segment whose windows occur in
     no smaller document than its block's largest one is not reported.
     """
     table = _gathered(batches)
     if table is None:
         return
-    anchor = table.column("anchor").to_numpy()
-    order = np.argsort(anchor, kind="stable")
+    shard = table.column("shard").to_numpy()
+    order = np.argsort(shard, kind="stable")
     block, words = table.column("block").to_pylist(), table.column("words").to_pylist()
     low, high = table.column("low").to_pylist(), table.column("high").to_pylist()
+    hot = table.column("hot_anchor").to_pylist()
     digest = xxhash.xxh3_64_intdigest
 
     def found(rows: list[int]) -> pa.Table:
@@ -193,17 +213,17 @@ def _matched(batches, window: int):
         firsts = dict(zip(distinct, first_ids([x.split(b" ") for x in distinct], list(distinct.values()), window)))
         told = [i for i in rows if firsts[words[i]].min() < high[i]]
         return _table(
-            _FOUND, [block[i] for i in told], anchor[told], [digest(words[i]) - (1 << 63) for i in told], [firsts[words[i]] for i in told]
+            _FOUND, [block[i] for i in told], shard[told], [hot[i] for i in told], [digest(words[i]) - (1 << 63) for i in told], [firsts[words[i]] for i in told]
         )
 
     rows, size, last = [], 0, None
     for i in order.tolist():
-        if size > INDEX_WORDS and anchor[i] != last:
+        if size > index_words and shard[i] != last:
             yield from found(rows).to_batches(max_chunksize=1 << 14)
             rows, size = [], 0
         rows.append(i)
         size += words[i].count(b" ") + 2
-        last = anchor[i]
+        last = shard[i]
     if rows:
         yield from found(rows).to_batches(max_chunksize=1 << 14)
 
@@ -216,18 +236,21 @@ def _cleaned(docs: pa.Table, found: pa.Table, id_column: str, text_column: str,
     ids = _ids(docs.column(id_column))
     runs = Runs.of(texts, window)
     known = dict(zip(
-        zip(found.column("anchor").to_pylist(), found.column("segment").to_pylist()), _lists(found.column("first_ids"))
+        zip(found.column("shard").to_pylist(), found.column("segment").to_pylist()), _lists(found.column("first_ids"))
     ))
     change = np.zeros(len(runs.words) + 1, dtype=np.int64)
-    anchors = found.column("anchor").to_numpy() if found.num_rows else np.empty(0, dtype=np.int64)
-    wanted = np.flatnonzero(np.isin(runs.anchor, anchors))
     digest = xxhash.xxh3_64_intdigest
-    for i, anchor, id_ in zip(wanted.tolist(), runs.anchor[wanted].tolist(), ids[runs.row[wanted]].tolist()):
-        firsts = known.get((anchor, digest(runs.segment(i, window)) - (1 << 63)))
-        if firsts is not None:
-            at = runs.begin[i] + np.flatnonzero(firsts < id_)
-            np.add.at(change, at, 1)
-            np.add.at(change, at + window, -1)
+    shards = np.array(found.column("shard").to_pylist(), dtype=np.int64)
+    hot_anchors = np.array([x for x in set(found.column("hot_anchor").to_pylist()) if x is not None], dtype=np.int64)
+    for hot in (False, True):
+        wanted = np.flatnonzero(np.isin(runs.anchor, hot_anchors if hot else shards))
+        for i, id_ in zip(wanted.tolist(), ids[runs.row[wanted]].tolist()):
+            for begin, shard, words in runs.segments(i, window, hot):
+                firsts = known.get((shard, digest(words) - (1 << 63)))
+                if firsts is not None:
+                    at = begin + np.flatnonzero(firsts < id_)
+                    np.add.at(change, at, 1)
+                    np.add.at(change, at + window, -1)
     gone = np.cumsum(change[:-1]) > 0
     before = np.concatenate(([0], np.cumsum(gone)))
     begins = np.concatenate(([0], runs.ends[:-1]))
@@ -252,7 +275,10 @@ def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
-def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 13) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 13,
+    hot_blocks: int = HOT_BLOCKS, index_words: int = INDEX_WORDS,
+) -> DataFrame:
     """All columns of ``docs`` and __n_words, __n_removed and __kept (the words that stay, one space between).
 
     Words stand between spaces and U+0009 to U+000D and are compared unchanged. A word goes if a window
@@ -266,8 +292,10 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     distinct runs are put into an FM-index, in which each window is searched backwards through a wavelet
     matrix; where it matches elsewhere at full length, the smallest id is that of the suffixes in its
     interval. Blocks get the answers for their runs and drop words. Work grows with the text, not with pairs
-    of shards, and a passage that a third of all documents share is sent once per block. The texts
-    are shuffled once: all three passes over blocks read the same exchange.
+    of shards. A passage that a third of all documents share is sent once per block; its ends, where the
+    runs differ, are sent window by window to shards of their own (from ``hot_blocks`` blocks on). An
+    index has some ``index_words`` words. The texts are shuffled once: all three passes over blocks
+    read the same exchange.
     """
     total = docs.agg(F.sum(F.octet_length(text_or_empty(text_column)))).first()[0] or 0
     blocks = max(2 * partitions_of(docs), -(-total // BLOCK_BYTES))
@@ -284,23 +312,28 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     def segments(block: pa.Table, repeated: pa.Table) -> pa.Table:
         return _segments(block, repeated, id_column, text_column, window)
 
+    def repeated_of(batches):
+        return _repeated(batches, hot_blocks)
+
     def matched(batches):
-        return _matched(batches, window)
+        return _matched(batches, window, index_words)
 
     def cleaned(block: pa.Table, found: pa.Table) -> pa.Table:
         return _cleaned(block, found, id_column, text_column, window, arrow_rest)
 
     anchors = dealt.groupBy("__block").applyInArrow(occurrences, _OCCURRENCE)
-    repeated = anchors.repartition("anchor").mapInArrow(_repeated, _REPEATED)
+    repeated = anchors.repartition("anchor").mapInArrow(repeated_of, _REPEATED)
     runs = dealt.groupBy("__block").cogroup(repeated.groupBy("block")).applyInArrow(segments, _SEGMENT)
-    found = runs.repartition("anchor").mapInArrow(matched, _FOUND)
+    found = runs.repartition("shard").mapInArrow(matched, _FOUND)
     return dealt.groupBy("__block").cogroup(found.groupBy("block")).applyInArrow(cleaned, rest)
 
 
-def substring_digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 13) -> DataFrame:
+def substring_digests(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 13, **options
+) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every document; see ``without_repeats``."""
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return without_repeats(rows, "doc_id", "text", window).select(
+    return without_repeats(rows, "doc_id", "text", window, **options).select(
         "doc_id", F.col("__n_words").alias("n_words"), F.col("__n_removed").alias("n_removed"),
         F.sha2("__kept", 256).alias("kept_sha256"),
     )

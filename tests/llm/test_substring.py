@@ -38,8 +38,8 @@ def passages(seed, n=60, words=30):
         yield random.randrange(10**6), random.choice([" ", "\n", "\t "]).join(parts)
 
 
-def run(spark, rows, window=13):
-    return sorted(map(tuple, substring_digests(awkward(spark, rows), window=window).collect()), key=str)
+def run(spark, rows, window=13, **options):
+    return sorted(map(tuple, substring_digests(awkward(spark, rows), window=window, **options).collect()), key=str)
 
 
 @pytest.mark.parametrize("window", [13, 3])
@@ -53,8 +53,14 @@ def test_awkward_rows(spark):
     assert run(spark, rows) == brute(rows)
 
 
-def test_small_indexes_and_runs(spark, monkeypatch):
-    monkeypatch.setattr(substring, "INDEX_WORDS", 50)
+@pytest.mark.parametrize("hot_blocks", [1, 3])
+def test_hot_anchors_and_small_indexes(spark, hot_blocks):
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [*passages(7), *((10**7 + i, f"before{i} {passage} after{i} " + "a " * (i % 20)) for i in range(60)), (None, passage)]
+    assert run(spark, rows, hot_blocks=hot_blocks, index_words=100) == brute(rows)
+
+
+def test_first_ids():
     rows = list(passages(5, 40))
     split = [text.split() for _, text in rows if len(text.split()) >= 13]
     low = [i for i, text in rows if len(text.split()) >= 13]
