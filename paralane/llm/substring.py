@@ -17,7 +17,7 @@ BLOCK_BYTES = 8 << 20
 INDEX_WORDS = 1 << 18
 #: Windows in a run at most, and words that make an anchor.
 RUN_WINDOWS = 32
-ANCHOR_WORDS = 5
+ANCHOR_WORDS = 4
 LAST_ID = 2**63 - 1
 #: An anchor in so many blocks is hot: its windows are sent one by one, each to a shard of its own.
 HOT_BLOCKS = 512
@@ -286,7 +286,7 @@ def without_repeats(
     judged on the input. Null texts have no words; texts shorter than a window stay whole; repeats
     inside a document, or between rows of one id, stay; a null id is larger than all others.
 
-    Blocks of documents are cut into runs of windows with one anchor, the smallest hash of five words in a
+    Blocks of documents are cut into runs of windows with one anchor, the smallest hash of four words in a
     window. Anchors that only one document has are left behind (they are summed up per block before they
     are shuffled); for the others the run's words go to the shard of the anchor, once per block. There the
     distinct runs are put into an FM-index, in which each window is searched backwards through a wavelet
