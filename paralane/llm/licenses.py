@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 @dataclass(frozen=True)
 class Template:
     """A licence's wording. ``key`` must stand word for word; ``least`` is the share of words, at
-    their places in the template, from which on the rest counts as found."""
+    their places in the template, from which on the rest counts as found (0 if the key is enough)."""
 
     label: str
     text: str
@@ -29,7 +29,7 @@ class Template:
 #: Phrases that stand for a licence wherever their words follow each other (fixed values).
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Openings of public licence texts (fixed values).
+#: Openings of public licence texts, and short notices whose key phrase is enough (fixed values).
 TEMPLATES = (
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge"),
     Template("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "licensed under the apache license"),
@@ -38,6 +38,20 @@ TEMPLATES = (
     Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "distribute this software for any purpose"),
     Template("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     Template("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license", "creative commons attribution noncommercial"),
+    Template("mit", "the mit license", "mit license", 0.0),
+    Template("apache-2", "the apache license 2 0", "apache license 2", 0.0),
+    Template("bsd", "under the bsd license", "the bsd license", 0.0),
+    Template("bsd", "the 3 clause bsd license", "clause bsd license", 0.0),
+    Template("bsd", "the bsd 3 clause license", "bsd 3 clause", 0.0),
+    Template("bsd", "the bsd 2 clause license", "bsd 2 clause", 0.0),
+    Template("gpl", "licensed under the gnu general public license version", "gnu general public license", 0.0),
+    Template("gpl", "under the gnu gpl version", "the gnu gpl", 0.0),
+    Template("gpl", "licensed under the gpl version", "under the gpl", 0.0),
+    Template("isc", "under the isc license", "the isc license", 0.0),
+    Template("mpl-2", "the mozilla public license version 2 0", "mozilla public license version 2", 0.0),
+    Template("mpl-2", "the mozilla public license v 2 0", "mozilla public license v 2", 0.0),
+    Template("mpl-2", "the mozilla public license 2 0", "mozilla public license 2", 0.0),
+    Template("cc-by-nc", "under the creative commons attribution noncommercial license", "creative commons attribution noncommercial", 0.0),
 )
 
 #: What separates words: all of ASCII but letters and digits (fixed value).
@@ -65,14 +79,14 @@ def rarest(docs: DataFrame, text_column: str, vocabulary: Sequence[str]) -> dict
     return dict.fromkeys(vocabulary, 0) | {r["word"]: r["count"] for r in counts}
 
 
-def _anchors(words: Sequence[str], frequency: dict[str, int], most: int) -> list[tuple[str, int]]:
-    """The rarest words of a template, each at its first place."""
-    distinct = sorted(set(words), key=lambda word: (frequency[word], word))
-    return [(word, list(words).index(word)) for word in distinct[:most]]
+def _anchor(words: Sequence[str], frequency: dict[str, int]) -> tuple[str, int]:
+    """The rarest word of a phrase and its first place. A phrase stands nowhere if no document has that word."""
+    word = min(words, key=lambda word: (frequency[word], word))
+    return word, list(words).index(word)
 
 
 def _starts(hits: Column, word: str, place: int) -> Column:
-    """Where a template would begin, by the postings of one of its words."""
+    """Where a phrase would begin, by the postings of one of its words."""
     return F.transform(F.filter(hits, lambda hit: hit["word"] == word), lambda hit: hit["at"] - place)
 
 
@@ -90,16 +104,14 @@ def scan_licenses(
     text_column: str = "text",
     phrases: dict[str, str] | None = None,
     templates: Sequence[Template] = TEMPLATES,
-    anchors: int = 3,
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every document.
 
     A first scan counts in how many documents each licence word occurs. In a second one, every text's
-    postings of the rarest words are looked up, and their positions give the places where a phrase or
-    template would begin. A phrase is looked up by its rarest word, and all its words are verified, so every
-    place is found. A template begins where two of its ``anchors`` rarest words agree; its key
-    phrase is verified word for word, and then the share of its other words. Nothing is shuffled
-    but the counts.
+    postings of the rarest words are looked up, and their positions give the places where a phrase
+    would begin. A phrase is looked up by its rarest word, and all its words are verified, so every
+    place is found. So is the key phrase of a template; then the share of the template's words at their
+    places around it is tested. Nothing is shuffled but the counts.
 
     n_base counts the places of all phrases; first_word and last_word are the smallest and largest word
     (from 0) at which one begins, null if there is none. base_labels has the phrases' labels, labels also
@@ -108,12 +120,12 @@ def scan_licenses(
     are scanned whole, and repeated rows give repeated results. Other columns are not read.
     """
     phrases = PHRASES if phrases is None else phrases
-    wordings = [phrase.split() for phrase in phrases] + [t.words for t in templates]
+    wordings = [phrase.split() for phrase in phrases] + [t.key.split() for t in templates]
     vocabulary = sorted({word for words in wordings for word in words})
     frequency = rarest(docs, text_column, vocabulary)
-    by_phrase = [(label, phrase.split(), _anchors(phrase.split(), frequency, 1)[0]) for phrase, label in phrases.items()]
-    by_template = [(t, _anchors(t.words, frequency, anchors)) for t in templates]
-    looked_up = sorted({a[0] for _, _, a in by_phrase} | {word for _, some in by_template for word, _ in some})
+    by_phrase = [(label, phrase.split(), _anchor(phrase.split(), frequency)) for phrase, label in phrases.items()]
+    by_template = [(t, _anchor(t.key.split(), frequency)) for t in templates]
+    looked_up = sorted({a[0] for _, _, a in by_phrase} | {a[0] for _, a in by_template})
 
     def places(words: Column, hits: Column, wording: list[str], anchor: tuple[str, int]) -> Column:
         whole = F.lit(wording)
@@ -122,14 +134,9 @@ def scan_licenses(
             lambda start: (start >= 0) & (F.slice(words, F.greatest(start, F.lit(0)) + 1, len(wording)) == whole),
         )
 
-    def share(words: Column, hits: Column, template: Template, some: list[tuple[str, int]]) -> Column:
-        starts = [_starts(hits, *anchor) for anchor in some]
-        agreed = F.array_distinct(F.flatten(F.array(*(
-            F.array_intersect(starts[i], starts[j]) for i in range(len(starts)) for j in range(i + 1, len(starts))
-        ))))
-        key = template.key.split()
-        verified = F.filter(agreed, lambda start: _share(words, start + template.key_at, key) == 1.0)
-        shares = F.transform(verified, lambda start: _share(words, start, template.words))
+    def share(words: Column, hits: Column, template: Template, anchor: tuple[str, int]) -> Column:
+        verified = places(words, hits, template.key.split(), anchor)
+        shares = F.transform(verified, lambda key: _share(words, key - template.key_at, template.words))
         return F.coalesce(F.array_max(F.filter(shares, lambda x: x >= template.least)), F.lit(0.0))
 
     def scanned(words: Column) -> Column:
@@ -140,7 +147,7 @@ def scan_licenses(
         return _let(hits, lambda found: F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.array(*(places(words, found, wording, anchor) for _, wording, anchor in by_phrase)).alias("places"),
-            F.array(*(share(words, found, t, some) for t, some in by_template)).cast("array<double>").alias("shares"),
+            F.array(*(share(words, found, t, anchor) for t, anchor in by_template)).cast("array<double>").alias("shares"),
         ))
 
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))

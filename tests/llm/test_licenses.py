@@ -68,6 +68,26 @@ def test_templates_add_labels(spark):
         assert found[300 + i]["labels"] == "" and found[300 + i]["score"] == 0.0
 
 
+def test_short_notices(spark):
+    line = "This work is licensed under the GNU General Public License, version 3."  # of the given tables
+    notices = {
+        line: "gpl", "Licensed under the GNU GPL version 2": "gpl", "GNU General Public License": "gpl",
+        "License: BSD-3-Clause": "bsd", "MIT License": "mit", "Apache License 2.0": "apache-2", "under the ISC license": "isc",
+        "Mozilla Public License, Version 2.0": "mpl-2", "Creative Commons Attribution-NonCommercial 4.0": "cc-by-nc",
+        "Mozilla Public License, Version 1.1": "", "GNU public general license": "", "All rights reserved.": "",
+    }
+    found = check(spark, [*enumerate(notices), (50, f"{LONG}\n{line}\n{LONG}"), (51, line.replace("3", "two"))])
+    assert [found[i]["labels"] for i in range(len(notices))] == list(notices.values())
+    assert [(found[i]["labels"], found[i]["score"]) for i in (0, 50, 51)] == [("gpl", 1.0)] * 3
+
+
+def test_a_key_phrase_is_found_whatever_words_other_documents_have(spark):
+    gpl = next(t for t in TEMPLATES if t.label == "gpl")
+    rarest = ("and", "as", "by")  # at equal frequencies the first of the alphabet
+    text = " ".join("changed" if word in rarest else word for word in gpl.words)
+    assert [(r["labels"], r["score"]) for r in scan_licenses(awkward(spark, [(1, text)]), templates=[gpl]).collect()] == [("gpl", 21 / 24)]
+
+
 def test_no_python_in_the_plan(spark):
     plan = scan_licenses(awkward(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
