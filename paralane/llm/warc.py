@@ -62,27 +62,39 @@ def captures(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
     Of pages whose payloads are equal and have ``least_bytes`` or more, that with the largest page_id
     is the response; smaller payloads are all responses. Payloads are equal if length, SHA-1 and
-    SHA-256 are. Rows that share the largest page_id are all responses; a null page_id is smaller than
-    any other.
+    SHA-256 are. Rows that share the largest page_id are all responses, and the others refer to one of
+    them; a null page_id is smaller than any other.
+
+    ``row_name`` tells rows apart that have no page_id or repeat one; it is null for others. Rows are
+    written once with it, when this is called, so that ``refers_to`` (page_id and row_name) names a row.
     """
     payload = text_or_empty("html")
     rows = pages.select(
         "page_id", _one_line(F.col("url").cast("string")).alias("url"), payload.alias("html"),
         F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload.cast("binary")).alias("sha1"),
-        F.sha2(payload.cast("binary"), 256).alias("sha256"),
+        F.sha2(payload.cast("binary"), 256).alias("sha256"), F.uuid().alias("uuid"),
     )
-    groups = rows.select("page_id", "payload_bytes", "sha1", "sha256").groupBy("payload_bytes", "sha1", "sha256").agg(
-        F.max("page_id").alias("newest"), F.count("*").alias("copies")
+    ids = pages.filter(F.col("page_id").isNotNull()).groupBy(F.col("page_id").cast("string").alias("key"))
+    repeated = materialize(ids.agg(F.count("*").alias("rows")).filter(F.col("rows") > 1))
+    # Rows without a page_id are spread under keys that begin with a space, as no page_id does.
+    rows = rows.withColumn("key", F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit(" "), "uuid")))
+    shared = F.col("page_id").isNull() | F.col("rows").isNotNull()
+    rows = materialize(rows.join(repeated, "key", "left").withColumn("row_name", F.when(shared, F.col("uuid"))).drop("key", "rows", "uuid"))
+    groups = rows.groupBy("payload_bytes", "sha1", "sha256").agg(
+        F.max(F.struct("page_id", "row_name")).alias("newest"), F.count("*").alias("copies")
     )
     several = groups.filter((F.col("copies") > 1) & (F.col("payload_bytes") >= least_bytes)).drop("copies")
+    older = F.col("newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest.page_id"))
     return rows.join(materialize(several), ["payload_bytes", "sha1", "sha256"], "left").select(
-        "page_id", "url", "html", "payload_bytes", base32_of_hex(F.col("sha1")).alias("digest"),
-        F.when(~F.col("page_id").eqNullSafe(F.col("newest")), F.col("newest")).alias("refers_to"),
+        "page_id", "row_name", "url", "html", "payload_bytes", base32_of_hex(F.col("sha1")).alias("digest"),
+        F.when(older, F.col("newest")).alias("refers_to"),
     )
 
 
-def _uri(page_id: Column, part: str) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(f":{part}>"))
+def _uri(page_id: Column, part: str, row_name: Column) -> Column:
+    """A record's id: that of its page, and the row's name if others have the page_id too."""
+    page = F.coalesce(page_id.cast("string"), F.lit("null"))
+    return F.concat(F.lit("<urn:page:"), page, F.lit(f":{part}"), F.coalesce(F.concat(F.lit(":"), row_name), F.lit("")), F.lit(">"))
 
 
 def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", least_bytes: int = 0) -> None:
@@ -91,7 +103,7 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     ``pages`` has page_id, url and html; the html, in UTF-8, is the payload. Records end with two line
     breaks, which is how Spark's text writer ends them, so no payload passes through Python. Files get as
     many records as make some 32 MB on average. Null html is an empty payload, a null url is left out,
-    and repeated rows are records of their own.
+    and repeated rows are records of their own. All record ids differ.
     """
     rows = captures(pages, least_bytes)
     spread = pages.agg(F.sum(F.octet_length(text_or_empty("html"))), F.count("*")).first()
@@ -101,14 +113,15 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     response = F.concat(F.lit(http), F.octet_length(body).cast("string"), F.lit(END + END), body)
     bare = F.concat(F.lit(http), F.octet_length(body).cast("string"), F.lit(END + END))
     revisit = F.col("refers_to").isNotNull()
-    own, uri = _uri(F.col("page_id"), "capture"), F.col("url")
+    page_id, row_name, uri = F.col("page_id"), F.col("row_name"), F.col("url")
+    own = _uri(page_id, "capture", row_name)
     digest = F.concat(F.lit("sha1:"), F.col("digest"))
     stored = _record(
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
         _header(
             ("WARC-Record-ID", own), ("WARC-Date", date), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", digest),
             ("WARC-Profile", F.when(revisit, F.lit(REVISIT))),
-            ("WARC-Refers-To", F.when(revisit, _uri(F.col("refers_to"), "capture"))),
+            ("WARC-Refers-To", F.when(revisit, _uri(F.col("refers_to.page_id"), "capture", F.col("refers_to.row_name")))),
             ("Content-Type", "application/http; msgtype=response"),
         ),
         F.when(revisit, bare).otherwise(response),
@@ -116,7 +129,7 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     request = _record(
         "request",
         _header(
-            ("WARC-Record-ID", _uri(F.col("page_id"), "request")), ("WARC-Date", date), ("WARC-Target-URI", uri),
+            ("WARC-Record-ID", _uri(page_id, "request", row_name)), ("WARC-Date", date), ("WARC-Target-URI", uri),
             ("WARC-Concurrent-To", own), ("Content-Type", "application/http; msgtype=request"),
         ),
         F.concat(F.lit("GET "), F.coalesce(uri, F.lit("/")), F.lit(f" HTTP/1.1{END}{END}")),
@@ -124,7 +137,7 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     metadata = _record(
         "metadata",
         _header(
-            ("WARC-Record-ID", _uri(F.col("page_id"), "metadata")), ("WARC-Date", date), ("WARC-Target-URI", uri),
+            ("WARC-Record-ID", _uri(page_id, "metadata", row_name)), ("WARC-Date", date), ("WARC-Target-URI", uri),
             ("WARC-Concurrent-To", own), ("Content-Type", "application/warc-fields"),
         ),
         F.concat(F.lit("pageId: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(f"{END}payloadBytes: "), F.col("payload_bytes").cast("string"), F.lit(END)),

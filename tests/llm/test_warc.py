@@ -44,6 +44,23 @@ def test_a_null_id_is_smaller_than_others(spark):
     ]
 
 
+def test_rows_of_one_id_keep_their_records(spark, tmp_path):
+    rows = [(None, None, "x"), (2, None, "x"), (None, None, "zzz"), (3, None, "zzz"), (4, "u", "long"), (4, "v", "other"), (1, None, "other"), (4, "u", "long"), (0, None, "long")]
+    found = archived_pages(pages(spark, rows)).collect()
+    assert sorted((tuple(r)[:2] + tuple(r)[3:] for r in found), key=str) == sorted([
+        (None, 1, "revisit", 2), (2, 1, "response", None), (None, 3, "revisit", 3), (3, 3, "response", None), (4, 4, "response", None),
+        (4, 5, "response", None), (1, 5, "revisit", 4), (4, 4, "response", None), (0, 4, "revisit", 4),
+    ], key=str)
+    write_archives(pages(spark, rows), str(tmp_path / "warc"))
+    stored = read_records(spark, str(tmp_path / "warc")).collect()
+    whole = {r["record_id"]: r for r in stored}
+    assert len(whole) == len(stored) == 3 * len(rows)
+    revisits = [r for r in stored if r["record_type"] == "revisit"]
+    assert len(revisits) == 4 and all(whole[r["refers_to"]]["digest"] == r["digest"] for r in revisits)
+    sides = assemble(read_records(spark, str(tmp_path / "warc"))).select("request.record_id", "metadata.record_id").collect()
+    assert len({x for pair in sides for x in pair}) == 2 * len(rows)
+
+
 def test_one_nested_row_per_capture(spark, tmp_path):
     write_archives(pages(spark, ROWS[:-1]), str(tmp_path / "warc"))
     rows = read_records(spark, str(tmp_path / "warc"))
