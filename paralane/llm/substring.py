@@ -275,6 +275,17 @@ def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
+def _dealt(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, int]:
+    """Documents with their __block, and how many blocks there are.
+
+    Blocks follow id and text, so rows without an id, or of one id, are spread too; only rows that repeat
+    both stay together.
+    """
+    total = docs.agg(F.sum(F.octet_length(text_or_empty(text_column)))).first()[0] or 0
+    blocks = max(2 * partitions_of(docs), -(-total // BLOCK_BYTES))
+    return docs.withColumn("__block", F.pmod(F.xxhash64(id_column, text_column), F.lit(blocks)).cast("int")), blocks
+
+
 def without_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 13,
     hot_blocks: int = HOT_BLOCKS, index_words: int = INDEX_WORDS,
@@ -297,9 +308,7 @@ def without_repeats(
     index has some ``index_words`` words. The texts are shuffled once: all three passes over blocks
     read the same exchange.
     """
-    total = docs.agg(F.sum(F.octet_length(text_or_empty(text_column)))).first()[0] or 0
-    blocks = max(2 * partitions_of(docs), -(-total // BLOCK_BYTES))
-    dealt = docs.withColumn("__block", F.pmod(F.xxhash64(id_column), F.lit(blocks)).cast("int"))
+    dealt, _ = _dealt(docs, id_column, text_column)
     rest = StructType([
         *(StructField(f.name, f.dataType, True) for f in docs.schema),
         StructField("__n_words", LongType()), StructField("__n_removed", LongType()), StructField("__kept", StringType()),

@@ -60,6 +60,14 @@ def test_hot_anchors_and_small_indexes(spark, hot_blocks):
     assert run(spark, rows, hot_blocks=hot_blocks, index_words=100) == brute(rows)
 
 
+def test_rows_of_one_id_are_dealt_to_several_blocks(spark):
+    rows = [(None if i % 3 else 7, text) for i, (_, text) in enumerate(passages(8))] + list(passages(9, 20))
+    blocks = substring._dealt(awkward(spark, rows), "doc_id", "text")[0].groupBy("doc_id").agg({"__block": "collect_set"}).collect()
+    found = {r[0]: len(r[1]) for r in blocks}
+    assert found[None] > 3 and found[7] > 3
+    assert run(spark, rows) == brute(rows)
+
+
 def test_first_ids():
     rows = list(passages(5, 40))
     split = [text.split() for _, text in rows if len(text.split()) >= 13]
