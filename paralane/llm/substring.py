@@ -19,8 +19,9 @@ INDEX_WORDS = 1 << 18
 RUN_WINDOWS = 32
 ANCHOR_WORDS = 4
 LAST_ID = 2**63 - 1
-#: An anchor in so many blocks is hot: its windows are sent one by one, each to a shard of its own.
-HOT_BLOCKS = 512
+#: An anchor in this share of all blocks is hot: its windows are sent one by one, each to a shard of its own.
+#: A block has 8 MB of a large table, so that is an anchor that some two documents of a block have, at any size.
+HOT_SHARE = 0.9
 
 _OCCURRENCE = StructType([StructField("anchor", LongType()), StructField("block", IntegerType()), StructField("low", LongType()), StructField("high", LongType())])
 _REPEATED = StructType([StructField("block", IntegerType()), StructField("anchor", LongType()), StructField("hot", BooleanType())])
@@ -286,9 +287,14 @@ def _dealt(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame
     return docs.withColumn("__block", F.pmod(F.xxhash64(id_column, text_column), F.lit(blocks)).cast("int")), blocks
 
 
+def _hot_from(blocks: int) -> int:
+    """In how many of all blocks an anchor is hot."""
+    return max(2, int(np.ceil(HOT_SHARE * blocks)))
+
+
 def without_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 13,
-    hot_blocks: int = HOT_BLOCKS, index_words: int = INDEX_WORDS,
+    hot_blocks: int | None = None, index_words: int = INDEX_WORDS,
 ) -> DataFrame:
     """All columns of ``docs`` and __n_words, __n_removed and __kept (the words that stay, one space between).
 
@@ -304,11 +310,12 @@ def without_repeats(
     matrix; where it matches elsewhere at full length, the smallest id is that of the suffixes in its
     interval. Blocks get the answers for their runs and drop words. Work grows with the text, not with pairs
     of shards. A passage that a third of all documents share is sent once per block; its ends, where the
-    runs differ, are sent window by window to shards of their own (from ``hot_blocks`` blocks on). An
-    index has some ``index_words`` words. The texts are shuffled once: all three passes over blocks
+    runs differ, are sent window by window to shards of their own (from ``hot_blocks`` blocks on, by
+    default ``HOT_SHARE`` of all). An index has some ``index_words`` words. The texts are shuffled once: all three passes over blocks
     read the same exchange.
     """
-    dealt, _ = _dealt(docs, id_column, text_column)
+    dealt, blocks = _dealt(docs, id_column, text_column)
+    hot_blocks = _hot_from(blocks) if hot_blocks is None else hot_blocks
     rest = StructType([
         *(StructField(f.name, f.dataType, True) for f in docs.schema),
         StructField("__n_words", LongType()), StructField("__n_removed", LongType()), StructField("__kept", StringType()),

@@ -68,6 +68,18 @@ def test_rows_of_one_id_are_dealt_to_several_blocks(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_anchors_are_hot_by_their_share_of_blocks(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(substring, "_hot_from", lambda blocks, of=substring._hot_from: asked.append((blocks, of(blocks))) or of(blocks))
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, f"before{i} {passage} after{i}") for i in range(200)]
+    assert run(spark, rows) == brute(rows)
+    [(blocks, hot)] = asked
+    held = {r[0] for r in substring._dealt(awkward(spark, rows), "doc_id", "text")[0].select("__block").distinct().collect()}
+    assert 2 <= hot <= len(held) == blocks
+    assert [substring._hot_from(n) for n in (1, 10, 100, 4000)] == [2, 9, 90, 3600]
+
+
 def test_first_ids():
     rows = list(passages(5, 40))
     split = [text.split() for _, text in rows if len(text.split()) >= 13]
