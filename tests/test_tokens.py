@@ -173,3 +173,12 @@ def test_a_filter_on_predictions_does_not_translate_again(spark, pairs):
     made = translate_table(pairs, lambda: lambda texts, s, t: texts).where("prediction <> ''")
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython [predict") == 1
+
+
+@pytest.mark.parametrize("name", ["token_ids", "padded_token_batches", "prepared_tokens"])
+def test_queries_take_vocabularies_of_any_size(spark, monkeypatch, name):
+    from paralane.plans.queries import QUERIES
+
+    *others, _ = T.encode_words.__defaults__
+    monkeypatch.setattr(T.encode_words, "__defaults__", (*others, 0))  # no vocabulary may be broadcast
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
