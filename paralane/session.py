@@ -35,9 +35,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_MADE: list[str] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing has used yet; ``remove_materialized`` knows it."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete what was written to a ``new_folder`` path, once nothing reads it any more."""
+    if path in _MADE:
+        _MADE.remove(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -50,9 +63,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
-_MADE: list[str] = []
-
-
 def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     """Compute a table once, now, so that operators that read it twice or thrice reuse it.
 
@@ -62,19 +72,16 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     """
     if path is None:
         path = new_folder(df.sparkSession, "table")
-        _MADE.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remove_materialized(spark: SparkSession) -> int:
-    """Delete the tables that this session's ``materialize`` has put into the shared folder.
+    """Delete the tables that this session has put into the shared folder.
 
     To be called when no result that reads them is needed any more. Returns how many there were.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     count = len(_MADE)
     while _MADE:
-        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
-        path.getFileSystem(conf).delete(path, True)
+        remove_folder(spark, _MADE[-1])
     return count
