@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paralane.llm import bpe, exact, licenses, packing, quality, sharding, simhash, substring, topk, warc
+from paralane.llm import bpe, divergence, exact, licenses, packing, quality, sharding, simhash, substring, topk, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,11 +52,16 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents"))
 
 
+def op11_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit_sources(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_minimax_shards, op2_bpe_round_trip, op3_maxscore_top10, op4_warc_captures, op5_packed_sequences,
         op6_quality_scores, op7_simhash_groups, op8_substring_dedup, op9_exact_groups, op10_license_scan,
+        op11_source_audit,
     )
 }
 
@@ -92,4 +97,48 @@ WITH plain AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM ranked
 """
 
-ORACLES: dict[str, str] = {"op3_maxscore_top10": _TOP, "op9_exact_groups": _EXACT}
+#: Terms in ten documents of their language; gaps of smoothed shares, by source.
+_AUDIT = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), words AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+    SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+), sizes AS (
+    SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), totals AS (
+    SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source
+), groups AS (
+    SELECT lang, source, coalesce(v, 0) AS v, coalesce(total, 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN sizes USING (lang) LEFT JOIN totals USING (lang, source)
+), of_lang AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 2)) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * any_value(v)) AS q
+    FROM counts JOIN sizes USING (lang) GROUP BY lang, term
+), grid AS (
+    SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // (g.total + 2 * g.v) AS p
+    FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value
+    FROM grid JOIN of_lang USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op11_source_audit": _AUDIT, "op3_maxscore_top10": _TOP, "op9_exact_groups": _EXACT}
