@@ -14,6 +14,12 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def finite(vector: Column) -> Column:
+    """Whether a vector of doubles is not null and holds no null or non-finite component."""
+    infinite = float("inf")
+    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != infinite))
+
+
 def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paralane.llm import bpe, divergence, exact, licenses, packing, quality, sharding, simhash, substring, topk, warc
+from paralane.llm import bpe, divergence, exact, jaccard, licenses, packing, quality, sharding, simhash, substring, topk, vector_codes, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,12 +56,20 @@ def op11_source_audit(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit_sources(_table(spark, folder, "documents"))
 
 
+def op12_jaccard_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_groups(_table(spark, folder, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_minimax_shards, op2_bpe_round_trip, op3_maxscore_top10, op4_warc_captures, op5_packed_sequences,
         op6_quality_scores, op7_simhash_groups, op8_substring_dedup, op9_exact_groups, op10_license_scan,
-        op11_source_audit,
+        op11_source_audit, op12_jaccard_groups, op13_vector_codes,
     )
 }
 
@@ -141,4 +149,68 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op11_source_audit": _AUDIT, "op3_maxscore_top10": _TOP, "op9_exact_groups": _EXACT}
+#: Sets of three-word shingles, links between different sets, and what links lead to.
+_JACCARD = r"""
+WITH RECURSIVE words AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' ')) END)) AS s
+    FROM words
+), nodes AS (
+    SELECT s, min(r) AS node FROM sets WHERE len(s) > 0 GROUP BY s
+), tokens AS (
+    SELECT node, len(s) AS n, hash(t) AS t FROM (SELECT node, s, unnest(s) AS t FROM nodes)
+), meets AS (
+    SELECT a.node AS a, b.node AS b, count(*) AS overlap, any_value(a.n) AS na, any_value(b.n) AS nb
+    FROM tokens a JOIN tokens b ON a.t = b.t AND a.node <> b.node GROUP BY a.node, b.node
+), links AS (
+    SELECT a, b FROM meets WHERE 100 * overlap >= 90 * (na + nb - overlap)
+), reached(node, other) AS (
+    SELECT node, node FROM nodes UNION SELECT reached.node, links.b FROM reached JOIN links ON links.a = reached.other
+), ids AS (
+    SELECT node, s, doc_id FROM nodes JOIN sets USING (s)
+), named AS (
+    SELECT reached.node, min(doc_id) AS component_id FROM reached JOIN ids ON ids.node = reached.other GROUP BY reached.node
+)
+SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, CASE WHEN len(sets.s) = 0 THEN sets.doc_id ELSE component_id END AS component_id
+FROM sets LEFT JOIN nodes ON nodes.s = sets.s LEFT JOIN named USING (node)
+"""
+
+_MOVE = """
+), near{n} AS (
+    SELECT r, part, arg_min(entry, (list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), entry)) AS entry
+    FROM points JOIN book{n} USING (part) GROUP BY r, part
+), mean{m} AS (
+    SELECT part, entry, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS c
+    FROM (SELECT part, entry, i, sum(x[i])::DOUBLE AS s, count(*) AS n
+          FROM points JOIN near{n} USING (r, part), range(1, 17) t(i) GROUP BY part, entry, i)
+    GROUP BY part, entry
+), book{m} AS (
+    SELECT part, entry, coalesce(mean{m}.c, book{n}.c) AS c FROM book{n} LEFT JOIN mean{m} USING (part, entry)"""
+
+#: Codebooks of 256 entries a part, moved four times; for vectors of 64 components.
+_CODES = r"""
+WITH usable AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), points AS MATERIALIZED (
+    SELECT r, part, v[16 * part + 1 : 16 * part + 16] AS x FROM usable, range(4) t(part)
+), book0 AS (
+    SELECT part, r - 1 AS entry, x AS c FROM points WHERE r <= 256""" + "".join(_MOVE.format(n=n, m=n + 1) for n in range(4)) + r"""
+), nearest AS (
+    SELECT r, part, min((list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), entry)) AS best
+    FROM points JOIN book4 USING (part) GROUP BY r, part
+), coded AS (
+    SELECT r, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM nearest GROUP BY r
+), books AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book4
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM usable JOIN coded USING (r), books
+"""
+
+ORACLES: dict[str, str] = {"op13_vector_codes": _CODES, "op12_jaccard_groups": _JACCARD, "op11_source_audit": _AUDIT, "op3_maxscore_top10": _TOP, "op9_exact_groups": _EXACT}
