@@ -62,11 +62,12 @@ def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inne
 
 
 def _cuts(
-    hashed: DataFrame, bounds: Mapping[str, Column], strata: Sequence[str], digits: int
+    hashed: DataFrame, bounds: Mapping[str, Column], strata: Sequence[str], digits: int, ends: DataFrame | None = None
 ) -> DataFrame:
     """The hash at each bound's rank: one row per stratum, one column per bound.
 
-    A bound is a Column over ``__rows``. Its cut is null where the rank is past the last row.
+    A bound is a Column over ``__rows``, or over the columns of ``ends``, which has a row per stratum. Its
+    cut is null where the rank is past the last row.
     """
     strata = list(strata)
     wanted = F.array(
@@ -76,8 +77,9 @@ def _cuts(
     inside = (F.col("__rank") >= F.col("__before")) & (
         F.col("__rank") < F.col("__before") + F.col("__size")
     )
+    buckets = histogram(hashed, strata, digits)
     targets = (
-        histogram(hashed, strata, digits)
+        (buckets if ends is None else _join(buckets, ends, strata))
         .select("*", F.inline(wanted))
         .where(inside)
         .groupBy(*strata, BUCKET)
@@ -179,6 +181,107 @@ def stratified_split(
     return _join(hashed, cuts, strata, "left").select(*df.columns, label.alias("split"))
 
 
+def grouped_split(
+    df: DataFrame,
+    group: Sequence[Column | str],
+    train: float = 0.90,
+    val: float = 0.05,
+    seed: int = 42,
+    digits: int = 4,
+) -> DataFrame:
+    """Add ``split`` so that all rows of a group, such as the directions of one sentence, have the same.
+
+    Groups are ordered by the hash of their key; null keys are keys like others. A group belongs to the
+    split in which its first row would fall, so the first split has at least floor(train * n) rows, and
+    fewer than that and the rows of one group more, if it is not empty; so have the first two together.
+
+    A histogram of the rows by bucket of the hash finds the bucket that holds a bound; only there are
+    groups told apart and counted. Counts are made before a shuffle, so a group may have any share of the
+    rows; rows are labelled by their hash, without a shuffle. ``df`` is read three times.
+    """
+    hashed = df.withColumn(HASH, shuffle_hash(group, seed))
+    last = _last_groups(hashed.select(HASH), _split_bounds(train, val), digits)
+    place = F.col(HASH)
+    label = (
+        F.when(place <= F.coalesce(last.select("train_end").scalar(), F.lit("")), "train")
+        .when(place <= F.coalesce(last.select("val_end").scalar(), F.lit("")), "val")
+        .otherwise("test")
+    )
+    return hashed.withColumn("split", label).drop(HASH)
+
+
+def _last_groups(hashed: DataFrame, bounds: Mapping[str, Column], digits: int) -> DataFrame:
+    """One row: for each bound, the hash of the last group with fewer rows before it than the bound."""
+    wanted = F.array(
+        *[F.struct(F.lit(name).alias("__name"), rank.cast("bigint").alias("__rank")) for name, rank in bounds.items()]
+    )
+    holds = (F.col("__before") < F.col("__rank")) & (F.col("__rank") <= F.col("__before") + F.col("__size"))
+    targets = histogram(hashed, [], digits).select("*", F.inline(wanted)).where(holds)
+    targets = targets.select(BUCKET, "__name", (F.col("__rank") - F.col("__before")).alias("__inside"))
+    near = hashed.withColumn(BUCKET, F.substring(HASH, 1, digits)).join(F.broadcast(targets), BUCKET)
+    sizes = near.groupBy("__name", "__inside", HASH).agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.partitionBy("__name").orderBy(HASH).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
+    reached = sizes.where(F.col("__before") < F.col("__inside"))
+    return reached.agg(*[F.max(F.when(F.col("__name") == name, F.col(HASH))).alias(name) for name in bounds])
+
+
+def proportional_split(
+    df: DataFrame,
+    keys: Sequence[Column | str],
+    strata: Sequence[str] = ("src_lang", "tgt_lang", "domain"),
+    train: float = 0.90,
+    val: float = 0.05,
+    seed: int = 42,
+    digits: int = 4,
+) -> DataFrame:
+    """``exact_split`` whose splits are also in proportion within strata, however small these are.
+
+    The whole has the sizes of ``exact_split``. Strata stand one after the other, in the order of their
+    keys' hash, and each gets what the running totals owe it: its part of train differs from its share by
+    less than one row, its part of val by less than two. So strata too small for a validation row of
+    their own take turns. Rows of a stratum follow their hash.
+
+    Strata are never collected: their running totals are made by bucket of the hash. They and the cuts, a row
+    per stratum each, are computed and written when this is called, as in ``stratified_split``.
+    """
+    strata = list(strata)
+    hashed = df.withColumn(HASH, shuffle_hash(keys, seed))
+    ends = materialize(_apportioned(df, strata, train, val, seed, digits))
+    bounds = {"train_end": F.col("__train"), "val_end": F.col("__train") + F.col("__val")}
+    cuts = materialize(_cuts(hashed.select(*strata, HASH), bounds, strata, digits, ends))
+    label = _split_label(F.col("train_end"), F.col("val_end"))
+    return _join(hashed, cuts, strata, "left").select(*df.columns, label.alias("split"))
+
+
+def _apportioned(df: DataFrame, strata: Sequence[str], train: float, val: float, seed: int, digits: int) -> DataFrame:
+    """Rows of train and val for each stratum: what is due up to its end, less what was due before it."""
+    sizes = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("__n")).withColumn(HASH, shuffle_hash(strata, seed))
+    sizes = materialize(sizes.withColumn(BUCKET, F.substring(HASH, 1, digits)))
+    whole = Window.partitionBy()
+    totals = sizes.groupBy(BUCKET).agg(F.sum("__n").alias("__size"))  # at most 16 ** digits rows
+    totals = totals.withColumns({
+        "__before": F.coalesce(F.sum("__size").over(whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "__rows": F.sum("__size").over(whole),
+    }).withColumns(_split_bounds(train, val))
+    upto = Window.partitionBy(BUCKET).orderBy(HASH)
+    placed = sizes.join(F.broadcast(totals), BUCKET).withColumn("__end", F.col("__before") + F.sum("__n").over(upto))
+    placed = placed.withColumns({"__begin": F.col("__end") - F.col("__n"), "__rest": F.col("__rows") - F.col("train_end")})
+
+    def due(count: str, share: Column, of: str) -> Column:
+        """floor(count * share / of), in decimals that hold the product."""
+        exact = F.col(count).cast("decimal(19,0)") * share.cast("decimal(19,0)")
+        return F.when(F.col(of) == 0, F.lit(0)).otherwise(F.floor((exact - exact % F.col(of)) / F.col(of))).cast("bigint")
+
+    for edge in ("begin", "end"):
+        placed = placed.withColumn(f"__train_{edge}", due(f"__{edge}", F.col("train_end"), "__rows"))
+        placed = placed.withColumn(f"__other_{edge}", F.col(f"__{edge}") - F.col(f"__train_{edge}"))
+        placed = placed.withColumn(f"__val_{edge}", due(f"__other_{edge}", F.col("val_end") - F.col("train_end"), "__rest"))
+    return placed.select(
+        *strata, (F.col("__train_end") - F.col("__train_begin")).alias("__train"), (F.col("__val_end") - F.col("__val_begin")).alias("__val")
+    )
+
+
 def global_rank(
     df: DataFrame, place: Column, rank_column: str = "rank", digits: int = 4
 ) -> DataFrame:

@@ -276,6 +276,34 @@ split AS (
   FROM ranked)"""
 
 
+def grouped_by(keys: list[str], train: float, val: float, of: str = "pairs") -> str:
+    names = ", ".join(keys)
+    return f"""
+sizes AS (SELECT {names}, count(*) AS n, {place(*keys)} AS h FROM {of} GROUP BY {names}),
+placed AS (SELECT {names}, sum(n) OVER (ORDER BY h) - n AS before, sum(n) OVER () AS rows FROM sizes),
+split AS (
+  SELECT {of}.*, CASE WHEN before < floor({train}::double * rows) THEN 'train'
+                      WHEN before < floor({train + val!r}::double * rows) THEN 'val' ELSE 'test' END AS split
+  FROM {of} JOIN placed USING ({names}))"""
+
+
+def apportioned_by(stratum: str, train: float, val: float) -> str:
+    return f"""
+sizes AS (
+  SELECT {stratum} AS s, count(*) AS n, {place(stratum)} AS h FROM pairs GROUP BY {stratum}),
+ends AS (
+  SELECT s, sum(n) OVER (ORDER BY h) AS e, sum(n) OVER (ORDER BY h) - n AS b, sum(n) OVER () AS rows,
+         floor({train}::double * sum(n) OVER ())::hugeint AS t, floor({train + val!r}::double * sum(n) OVER ())::hugeint AS tv FROM sizes),
+due AS (
+  SELECT s, e * t // rows AS te, b * t // rows AS tb, (e - e * t // rows) * (tv - t) // (rows - t) AS ve,
+         (b - b * t // rows) * (tv - t) // (rows - t) AS vb FROM ends),
+ranked AS (
+  SELECT *, {stratum} AS s, row_number() OVER (PARTITION BY {stratum} ORDER BY {place('doc_id', 'pos')}) AS rank FROM pairs),
+split AS (
+  SELECT ranked.*, CASE WHEN rank <= te - tb THEN 'train' WHEN rank <= te - tb + ve - vb THEN 'val' ELSE 'test' END AS split
+  FROM ranked JOIN due USING (s))"""
+
+
 CHAT = """
 chat AS (
   SELECT a.conv_id, a.turn, a.text AS src, b.text AS tgt
@@ -486,6 +514,17 @@ sample AS (SELECT *, {place('doc_id', 'pos')} AS place FROM pairs ORDER BY place
     "stratified_pairs": _with(
         PAIRS + "," + split_by(BOTH, 0.8, 0.1), "SELECT doc_id, pos, split FROM split"
     ),
+    "grouped_split_pairs": _with(
+        PAIRS + "," + grouped_by(["doc_id"], 0.9, 0.05), "SELECT doc_id, pos, split FROM split"
+    ),
+    "grouped_split_directions": _with(
+        PAIRS + ", both_ways AS (SELECT doc_id, pos, way FROM pairs, (VALUES ('there'), ('back')) AS w(way)),"
+        + grouped_by(["doc_id", "pos"], 0.8, 0.1, "both_ways"),
+        "SELECT doc_id, pos, way, split FROM split",
+    ),
+    "proportional_strata_split": _with(
+        PAIRS + "," + apportioned_by("doc_id // 10", 0.8, 0.1), "SELECT doc_id, pos, split FROM split"
+    ),
     "ranked_pairs": _with(
         PAIRS,
         f"SELECT doc_id, pos, row_number() OVER (ORDER BY {place('doc_id', 'pos')}) - 1 AS rank FROM pairs",

@@ -11,7 +11,7 @@ from paralane.operators import rules as R, scores, shape, tokens
 from paralane.operators.dedup import keep_first
 from paralane.operators.fingerprint import dataset_hash, whole_dataset_hash
 from paralane.operators.ranks import (
-    exact_sample, exact_split, global_rank, shuffle_hash, stratified_split,
+    exact_sample, exact_split, global_rank, grouped_split, proportional_split, shuffle_hash, stratified_split,
 )
 from paralane.operators.runs import best_scores, compare_runs, final_metrics, run_record, with_results
 from paralane.operators.transforms import apply_transforms, build_transforms
@@ -286,6 +286,31 @@ def many_strata_split(spark, folder):
     return stratified_split(pairs, KEYS, ["block"], 0.8, 0.1).select(*KEYS, "split")
 
 
+@query
+def grouped_split_pairs(spark, folder):
+    """All lines of a document in one split."""
+    return grouped_split(V.line_pairs(spark, folder), ["doc_id"]).select(*KEYS, "split")
+
+
+@query
+def grouped_split_directions(spark, folder):
+    """Both directions of a pair of lines in one split."""
+    pairs = V.line_pairs(spark, folder)
+    back = pairs.select(
+        *KEYS, F.col("tgt").alias("src"), F.col("src").alias("tgt"), F.col("tgt_lang").alias("src_lang"),
+        F.col("src_lang").alias("tgt_lang"), "domain",
+    )
+    both = pairs.withColumn("way", F.lit("there")).unionByName(back.withColumn("way", F.lit("back")))
+    return grouped_split(both, KEYS, 0.8, 0.1).select(*KEYS, "way", "split")
+
+
+@query
+def proportional_strata_split(spark, folder):
+    """A stratum for every ten documents, with a validation row for every ten rows over all of them."""
+    pairs = V.line_pairs(spark, folder).withColumn("block", F.floor(F.col("doc_id") / 10))
+    return proportional_split(pairs, KEYS, ["block"], 0.8, 0.1).select(*KEYS, "split")
+
+
 @query
 def ranked_pairs(spark, folder):
     pairs = V.line_pairs(spark, folder).select(*KEYS)

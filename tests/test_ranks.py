@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from paralane.operators.dedup import keep_first
 from paralane.operators.ranks import (
-    exact_sample, exact_split, global_rank, shuffle_hash, stratified_split,
+    exact_sample, exact_split, global_rank, grouped_split, proportional_split, shuffle_hash, stratified_split,
 )
 
 
@@ -153,3 +153,54 @@ def test_a_hot_key_is_limited_before_the_shuffle(spark):
     assert "Partial" in first._jdf.queryExecution().executedPlan().toString()
     assert first.where("src = 'hot'").collect()[0].id == 0
     assert first.count() == 10000 - 3334 + 1
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+@pytest.mark.parametrize("train, val", [(0.8, 0.1), (0.9, 0.05), (0.0, 0.0), (1.0, 0.0), (0.0, 1.0)])
+def test_grouped_split(spark, digits, train, val):
+    """One group with a third of all rows, one of nulls, and small ones."""
+    group = [None if i < 7 else "hot" if i < 340 else f"g{i % 150}" for i in range(1000)]
+    df = spark.createDataFrame(list(enumerate(group)), "id long, g string")
+    found = grouped_split(df, ["g"], train, val, digits=digits)
+    assert found.columns == ["id", "g", "split"]
+    of_group, sizes = {}, {"train": 0, "val": 0, "test": 0}
+    for row in found.collect():
+        assert of_group.setdefault(row.g, row.split) == row.split
+        sizes[row.split] += 1
+    wanted, before = {}, 0
+    for g in sorted(set(group), key=lambda g: place(g)):
+        wanted[g] = "train" if before < floor(train * 1000) else "val" if before < floor((train + val) * 1000) else "test"
+        before += group.count(g)
+    assert of_group == wanted
+    assert sum(sizes.values()) == 1000
+
+
+def test_grouped_split_of_few_rows(spark):
+    assert grouped_split(spark.range(0), ["id"]).collect() == []
+    assert [row.split for row in grouped_split(spark.range(1), ["id"]).collect()] == ["test"]
+    one = spark.range(50).withColumn("g", F.lit(1))
+    assert {row.split for row in grouped_split(one, ["g"]).collect()} == {"train"}
+
+
+@pytest.mark.parametrize("train, val", [(0.8, 0.1), (0.9, 0.05), (1.0, 0.0), (0.0, 0.0), (0.5, 0.5)])
+def test_proportional_split(spark, train, val):
+    """Strata of one to ten rows, a large one and one of nulls."""
+    stratum = [None if i < 5 else "big" if i < 300 else f"s{i % 97}" if i < 900 else f"one{i}" for i in range(1000)]
+    df = spark.createDataFrame(list(enumerate(stratum)), "id long, s string")
+    found = proportional_split(df, ["id"], ["s"], train, val)
+    assert found.columns == ["id", "s", "split"]
+    rows = found.collect()
+    whole = [row.split for row in rows]
+    a, b = floor(train * 1000), floor((train + val) * 1000)
+    assert [whole.count(name) for name in ("train", "val", "test")] == [a, b - a, 1000 - b]
+    for s in set(stratum):
+        own = {row.id: row.split for row in rows if row.s == s}
+        counts = [list(own.values()).count(name) for name in ("train", "val", "test")]
+        assert abs(counts[0] - train * len(own)) < 1 and abs(counts[1] - val * len(own)) < 2
+        ordered = [own[i] for i in in_order(own)]
+        assert ordered == ["train"] * counts[0] + ["val"] * counts[1] + ["test"] * counts[2]
+
+
+def test_proportional_split_of_no_rows(spark):
+    df = spark.range(0).withColumn("s", F.lit("a"))
+    assert proportional_split(df, ["id"], ["s"]).collect() == []
