@@ -84,14 +84,13 @@ def _ids_by_word(table: Broadcast) -> dict[str, int]:
     return dict(zip(known.column("token").to_pylist(), known.column("token_id").to_pylist()))
 
 
-def _row_local(df: DataFrame, vocab: DataFrame, texts: Mapping[str, Column], room: int | None, end: list[int], limit: int) -> Column:
-    """A struct of id arrays. The vocabulary is broadcast; its size in bytes is checked first."""
-    vocab = materialize(vocab.select("token", "token_id"))
-    size = vocab.agg(F.sum(F.octet_length("token") + 12).alias("bytes")).first()["bytes"] or 0
-    if size > limit:
-        raise ValueError(
-            f"the vocabulary has {size} bytes, more than the {limit} to be broadcast; use lookup='join'"
-        )
+def _bytes_of(vocab: DataFrame) -> int:
+    """What a vocabulary takes when it is sent to the workers."""
+    return vocab.agg(F.sum(F.octet_length("token") + 12).alias("bytes")).first()["bytes"] or 0
+
+
+def _row_local(df: DataFrame, vocab: DataFrame, texts: Mapping[str, Column], room: int | None, end: list[int]) -> Column:
+    """A struct of id arrays by a vocabulary that is broadcast."""
     table = df.sparkSession.sparkContext.broadcast(vocab.toArrow())
     schema = T.StructType([T.StructField(name, T.ArrayType(T.IntegerType())) for name in texts])
 
@@ -160,18 +159,27 @@ def encode_words(
     the unknown id. Nothing is cut unless ``max_length`` says so; it counts the end id. Rows stay
     rows, whether or not their keys are unique.
 
-    The vocabulary is computed when this is called. With ``lookup='broadcast'`` words are looked up
-    inside their row, without a shuffle; a vocabulary of more than ``broadcast_bytes`` is an error
-    then. ``lookup='join'`` shuffles words instead, for vocabularies of any size.
+    The vocabulary is computed and its size in bytes taken when this is called. With ``lookup='auto'`` one of at
+    most ``broadcast_bytes`` is broadcast, and words are looked up inside their row, without a shuffle; a
+    larger one is joined, and words are shuffled. ``lookup='broadcast'`` makes a larger one an error
+    instead, and ``lookup='join'`` always joins. The rows are the same.
     """
     room = max_length if max_length is None else max_length - 1 if eos else max_length
     end = [EOS_ID] if eos else []
     texts = {name: X.text_or_empty(text) for name, text in columns.items()}
+    if lookup not in ("auto", "broadcast", "join"):
+        raise ValueError(f"unknown lookup {lookup!r}; use 'auto', 'broadcast' or 'join'")
+    if lookup != "join":
+        vocab = materialize(vocab.select("token", "token_id"))
+        size = _bytes_of(vocab)
+        if size > broadcast_bytes and lookup == "broadcast":
+            raise ValueError(
+                f"the vocabulary has {size} bytes, more than the {broadcast_bytes} to be broadcast; use lookup='join'"
+            )
+        lookup = "join" if size > broadcast_bytes else "broadcast"
     if lookup == "join":
         return _joined(df, vocab, texts, keys, room, end)
-    if lookup != "broadcast":
-        raise ValueError(f"unknown lookup {lookup!r}; use 'broadcast' or 'join'")
-    found = _row_local(df, vocab, texts, room, end, broadcast_bytes)
+    found = _row_local(df, vocab, texts, room, end)
     return df.select(*keys, found.alias("__ids")).select(*keys, "__ids.*")
 
 

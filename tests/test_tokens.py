@@ -182,3 +182,13 @@ def test_queries_take_vocabularies_of_any_size(spark, monkeypatch, name):
     *others, _ = T.encode_words.__defaults__
     monkeypatch.setattr(T.encode_words, "__defaults__", (*others, 0))  # no vocabulary may be broadcast
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+@pytest.mark.parametrize("limit, plan", [(1 << 20, False), (10, True)])
+def test_the_vocabulary_size_decides_the_lookup(spark, pairs, limit, plan):
+    """A small vocabulary is looked up in the row, a larger one joined; no size is an error."""
+    vocab = T.vocabulary(pairs, ["src", "tgt"])
+    chosen = T.tokenize_words(pairs, vocab, ["i"], tagged=False, lookup="auto", broadcast_bytes=limit)
+    joined = T.tokenize_words(pairs, vocab, ["i"], tagged=False, lookup="join")
+    assert sorted(map(str, chosen.collect())) == sorted(map(str, joined.collect()))
+    assert ("Join" in chosen._jdf.queryExecution().toString()) is plan
