@@ -93,14 +93,16 @@ class Seen:
         return found
 
 
-def batches_of(rows: Iterable, schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of at most ``size`` rows of an iterator of tuples."""
+def batches_of(rows: Iterable, schema: pa.Schema, size: int = 4096, most: int = 64 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of an iterator of tuples: at most ``size`` rows, closed once texts and bytes reach ``most``."""
     block: list[tuple] = []
+    held = 0
     for row in rows:
         block.append(row)
-        if len(block) == size:
+        held += sum(len(value) for value in row if isinstance(value, (str, bytes)))
+        if len(block) == size or held >= most:
             yield to_batch(block, schema)
-            block = []
+            block, held = [], 0
     if block:
         yield to_batch(block, schema)
 

@@ -59,3 +59,15 @@ def test_table_compares_contents():
         content = str(i).encode()
         table.add(table.find(i * 7, content)[1], i * 7, content, (0,), (), 1, 1)
     assert all(table.find(i * 7, str(i).encode())[0] == i + 2 for i in range(3000))
+
+
+def test_batches_are_closed_by_bytes():
+    import pyarrow as pa
+
+    from paralane.llm.common import batches_of
+
+    schema = pa.schema([("text", pa.string()), ("data", pa.binary()), ("n", pa.int64())])
+    rows = [("x" * 3_000_000, None, i) for i in range(60)] + [(None, b"y" * 3_000_000, i) for i in range(60)] + [(None, None, i) for i in range(50)]
+    batches = list(batches_of(iter(rows), schema, 40))
+    assert [n for b in batches for n in b.column("n").to_pylist()] == [n for _, _, n in rows]
+    assert max(b.nbytes for b in batches) < 70_000_000 and max(b.num_rows for b in batches) == 40
