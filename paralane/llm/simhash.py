@@ -53,10 +53,11 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], at: int, words: int, schema
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 4) -> DataFrame:
-    """doc_id and the 64-bit fingerprint of the whole text, as a signed long."""
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    schema = StructType([rows.schema["doc_id"], StructField("fingerprint", LongType())])
-    return rows.mapInArrow(partial(_fingerprints, at=1, words=words, schema=to_arrow_schema(schema)), schema)
+    """doc_id, the 64-bit hash of the text and the 64-bit fingerprint of the whole text, as signed longs."""
+    text = F.col(text_column).cast("string")
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    schema = StructType([rows.schema["doc_id"], rows.schema["text_hash"], StructField("fingerprint", LongType())])
+    return rows.mapInArrow(partial(_fingerprints, at=2, words=words, schema=to_arrow_schema(schema)), schema)
 
 
 @lru_cache(maxsize=256)
@@ -162,6 +163,18 @@ def near_links(distinct: DataFrame, radius: int = 4) -> DataFrame:
     return routed.repartition("bucket").mapInArrow(links, schema)
 
 
+def _grouped(docs: DataFrame, id_column: str, text_column: str, words: int, radius: int) -> DataFrame:
+    """doc_id, text_hash, fingerprint, root (a fingerprint that names the component) and component_id."""
+    prints = materialize(fingerprints(docs, id_column, text_column, words))
+    nodes = materialize(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
+    roots = components(near_links(nodes.select("fingerprint"), radius))
+    linked = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
+        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
+    )
+    named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.join(linked.join(named, "root").select("fingerprint", "root", "component_id"), "fingerprint")
+
+
 def simhash_groups(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 4, radius: int = 4
 ) -> DataFrame:
@@ -174,15 +187,7 @@ def simhash_groups(
     Null ids are linked too, but name a component only if it has no other id. Repeated rows stay.
     Copies of a fingerprint count once in the search, so a hot group costs one fingerprint.
     """
-    prints = materialize(fingerprints(docs, id_column, text_column, words))
-    nodes = materialize(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    roots = components(near_links(nodes.select("fingerprint"), radius))
-    linked = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = linked.join(named, "root").select("fingerprint", "component_id")
-    return prints.join(of_print, "fingerprint").select(
+    return _grouped(docs, id_column, text_column, words, radius).select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -190,8 +195,11 @@ def simhash_groups(
 def simhash_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The document with the smallest id of each group of near-duplicates, with all its columns.
 
-    Rows that repeat the smallest id count as one document and stay together.
+    Null ids come last. Where several texts of a group have that id, or all ids are null, the one with the
+    smallest text hash stays; rows equal in id and text stay together. An id that is the smallest of one
+    group and not of another stays in the first only. Null texts count as empty; no rows: no result.
     """
-    groups = simhash_groups(docs, id_column, text_column)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs[id_column].eqNullSafe(kept["__kept"]), "left_semi")
+    groups = _grouped(docs, id_column, text_column, 4, 4).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = groups.groupBy("root").agg(F.min("doc_id").alias("__kept"), F.min("text_hash").alias("__text_hash"))
+    same = docs[id_column].eqNullSafe(kept["__kept"]) & (F.xxhash64(docs[text_column].cast("string")) == kept["__text_hash"])
+    return docs.join(kept, same, "left_semi")

@@ -117,3 +117,15 @@ def test_components_of_paths_stars_and_cycles(spark):
 def test_no_rows(spark):
     assert simhash_groups(awkward(spark, [])).count() == 0
     assert simhash_dedup(awkward(spark, [])).count() == 0
+
+
+def test_ids_that_repeat_or_are_null_keep_one_row_of_each_group(spark):
+    text = " ".join(f"word{i}" for i in range(400))
+    near, other = text + " more", "quite another text of some words " * 3
+    rows = [(3, text), (5, near), (5, other), (None, near + " x"), (None, other + "y z"), (None, "alone here"), (7, None), (7, "")]
+    prints = [brute_print(t) for _, t in rows]
+    assert all((prints[0] ^ prints[i]).bit_count() <= 4 for i in (1, 3))
+    kept = sorted((r["doc_id"], r["text"]) for r in simhash_dedup(awkward(spark, rows)).collect() if r["doc_id"] is not None)
+    assert [i for i, _ in kept] == [3, 5, 7] and kept[1][1] == other
+    assert [r["text"] for r in simhash_dedup(awkward(spark, [(None, text), (None, near)])).collect()] in ([text], [near])
+    assert [r["text"] for r in simhash_dedup(awkward(spark, [(3, text), (None, near), (None, other)])).collect() if r["doc_id"] is None] == [other]
