@@ -7,10 +7,12 @@ from math import ceil, exp, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
+from paralane.llm.bloom import Bloom
 from paralane.llm.common import mixed, strings_as_bytes
 from paralane.llm.components import components
 from paralane.llm.signature_tree import SignatureTree
@@ -20,8 +22,6 @@ from paralane.session import materialize, new_folder, remove_folder
 #: Sets and tokens that a tree may have; larger groups are parted.
 TREE_SETS = 4096
 TREE_TOKENS = 4 << 20
-#: Empty parts are dealt anew at most so many times.
-DEEPEST = 8
 
 LINKS = StructType().add("a", BinaryType()).add("b", BinaryType())
 
@@ -61,16 +61,27 @@ class Bands:
         return [band, band + 1] if size * self.below // self.above >= self.start(band + 1) else [band]
 
     @lru_cache(maxsize=None)
-    def parts(self, band: int) -> tuple[int, int]:
-        """The number of parts, and how many of them a set may leave empty.
+    def parts(self, band: int) -> tuple[int, int, int]:
+        """The number of parts, how many of them a set may leave empty, and how often it is cut anew beyond that.
 
         So many parts are added that of two linked sets' equal parts more are left than either has empty
-        ones, in all but very few sets.
+        ones, in all but very few sets. Where hardly any part is empty, none is added. Where parts would have
+        hardly a token, nothing is cut anew, and empty parts count like others.
         """
         least = 2 * (self.start(band + 1) - 1) * (self.below - self.above) // (self.below + self.above) + 1
-        empty = least * exp(-self.start(band) / least)
-        spare = ceil(empty + 6 * sqrt(empty)) if empty > 0.05 else 0
-        return least + spare, spare
+        first = -(-self.start(band) * self.above // self.below)
+        if least == 1:
+            return 1, 0, 0
+        if least * exp(-first / least) < 0.5:
+            return least, 0, 8
+        spare = 0
+        while spare < least:
+            empty = (least + spare) * exp(-first / (least + spare))
+            enough = ceil(empty + 6 * sqrt(empty))
+            if enough <= spare:
+                return least + spare, spare, 1
+            spare = enough
+        return least, 0, 0
 
 
 def routes(tokens: np.ndarray, bands: Bands) -> np.ndarray:
@@ -78,27 +89,29 @@ def routes(tokens: np.ndarray, bands: Bands) -> np.ndarray:
 
     Parts without tokens would bring together whatever has none there, so they are left out, unless
     there are more than the band allows for. Then sets with such a part are cut anew, among those with
-    the same empty part, and so on: a pair that agrees in it agrees in a part of that cut.
+    the same empty part: a pair that agrees in it agrees in a part of that cut.
     """
     spread = mixed(tokens.view(np.uint64))
     out = []
 
-    def cut(seed: np.uint64, parts: int, spare: int, depth: int) -> None:
+    def cut(seed: np.uint64, parts: int, spare: int, again: int) -> None:
         values = mixed(spread + seed)
         sums = np.zeros(parts, dtype=np.uint64)
         part = ((values >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
         np.add.at(sums, part, values)
         keys = mixed(mixed(seed + np.arange(1, parts + 1, dtype=np.uint64)) + sums)
         empty = np.bincount(part, minlength=parts) == 0
-        if depth >= DEEPEST:
+        if empty.sum() <= spare:
+            out.append(keys[~empty])
+        elif again == 0:
             out.append(keys)
-            return
-        out.append(keys[~empty])
-        for key in keys[empty] if empty.sum() > spare else ():
-            cut(key, parts, spare, depth + 1)
+        else:
+            out.append(keys[~empty])
+            for key in keys[empty]:
+                cut(key, parts, spare, again - 1)
 
     for band in bands.of(len(tokens)):
-        cut(mixed(np.array([band], dtype=np.uint64) + np.uint64(1 << 40))[0], *bands.parts(band), 0)
+        cut(mixed(np.array([band], dtype=np.uint64) + np.uint64(1 << 40))[0], *bands.parts(band))
     return np.concatenate(out)
 
 
@@ -120,21 +133,20 @@ def _sets(batches: Iterator[pa.RecordBatch], schema: pa.Schema, words: int, shar
         )
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], schema: pa.Schema, words: int) -> Iterator[pa.RecordBatch]:
-    """The tokens of the sets that are asked for, once per task."""
+def _tokens(batches: Iterator[pa.RecordBatch], schema: pa.Schema, words: int, asked: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Digest and tokens of the texts of rows that may be asked for, once per task."""
     seen = set()
     for batch in batches:
-        rows, found = [], []
-        for i, (text, digest) in enumerate(zip(strings_as_bytes(batch.column("text")), batch.column("node").to_pylist())):
-            if digest in seen:
-                continue
+        rows = np.flatnonzero(asked.value.holds(batch.column(0).to_numpy()))
+        digests, found = [], []
+        for text in strings_as_bytes(batch.column(1).take(pa.array(rows))):
             tokens = tokens_of(text, words)
-            if digest_of(tokens) == digest:
+            digest = digest_of(tokens)
+            if digest not in seen:
                 seen.add(digest)
-                rows.append(i)
+                digests.append(digest)
                 found.append(tokens.tobytes())
-        kept = batch.select(["home", "part", "node"]).take(pa.array(rows, type=pa.int64()))
-        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(found, type=pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(digests, type=pa.binary()), pa.array(found, type=pa.binary())], schema=schema)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[dict[str, list]]:
@@ -263,11 +275,13 @@ def jaccard_groups(
         F.ceil(F.greatest(F.count(F.lit(1)) / tree_sets, F.sum("n") / tree_tokens)).cast("int").alias("parts")
     ).filter("parts > 1")
     asked = homes.join(sizes, "home", "left").select(
-        "home", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"), "node", "row"
+        "home", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"), "node"
     )
-    token_schema = StructType().add("home", LongType()).add("part", IntegerType()).add("node", BinaryType()).add("tokens", BinaryType())
-    read = partial(_tokens, schema=to_arrow_schema(token_schema), words=words)
-    tokens = materialize(rows.select("row", "text").join(asked, "row").mapInArrow(read, token_schema), token_path)
+    filter_ = spark.sparkContext.broadcast(Bloom.of(homes.select(F.col("row").alias("hash")), homes.count()))
+    token_schema = StructType().add("node", BinaryType()).add("tokens", BinaryType())
+    read = partial(_tokens, schema=to_arrow_schema(token_schema), words=words, asked=filter_)
+    found = rows.select("row", "text").mapInArrow(read, token_schema)
+    tokens = materialize(found.join(asked, "node").select("home", "part", "node", "tokens"), token_path)
     links = materialize(_linked(tokens, ["home", "part"], share, False))
     roots = components(links)
     more = _open_links(tokens, members.select("route", "node"), roots, share)
