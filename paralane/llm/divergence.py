@@ -1,18 +1,21 @@
 """Source divergence audit: term prefixes refined level by level, then exact scores of sources."""
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import partial
+from itertools import compress
+from operator import ne
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructType
 
+from paralane.llm.bloom import Bloom
 from paralane.llm.common import strings_as_bytes, text_or_empty
 from paralane.session import materialize, new_folder, remove_folder
 
@@ -21,19 +24,19 @@ TERM_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
 )
 
-_INTS, _STRINGS = ArrayType(IntegerType()), ArrayType(StringType())
-BLOCK_SCHEMA = (
-    StructType().add("langs", _STRINGS).add("sources", _STRINGS).add("doc_groups", _INTS).add("terms", ArrayType(BinaryType()))
-    .add("doc_starts", _INTS).add("term_ids", _INTS).add("term_counts", _INTS)
-)
+#: Numbers and terms are kept as plain bytes, which cost Spark nothing per element.
+_NUMBERS = {"doc_groups": np.int32, "doc_starts": np.int64, "term_ends": np.int32, "term_ids": np.int32, "term_counts": np.int32}
+BLOCK_SCHEMA = StructType().add("langs", ArrayType(StringType())).add("sources", ArrayType(StringType())).add("terms", BinaryType())
+for _name in _NUMBERS:
+    BLOCK_SCHEMA = BLOCK_SCHEMA.add(_name, BinaryType())
 LEVEL_SCHEMA = StructType().add("lang", StringType()).add("prefix", BinaryType()).add("whole", BooleanType()).add("docs", LongType())
 COUNT_SCHEMA = StructType().add("lang", StringType()).add("source", StringType()).add("term", BinaryType()).add("n", LongType())
 
 #: Sources of one side of a block of pairs, and terms of a block on average.
 TILE = 64
 TERMS = 4096
-#: Entries that a task's counts may have before they are sent on.
-ROOM = 1 << 19
+#: Bytes of text in a block of documents.
+BLOCK_BYTES = 12 << 20
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -43,34 +46,46 @@ def terms_of(text: bytes) -> list[bytes]:
 class Block:
     """Documents as ids of the block's sorted distinct terms, each document's ascending."""
 
+    CHUNK = 1 << 18
+
     def __init__(self) -> None:
         self.groups: dict[tuple[str, str], int] = {}
         self.doc_groups: list[int] = []
-        self.words: dict[bytes, int] = {}
-        self.ids: list[list[int]] = []
-        self.counts: list[list[int]] = []
+        self.sizes: list[int] = []
+        self.words: list[bytes] = []
+        self.chunks: list[pa.Array] = []
         self.bytes = 0
 
     def add(self, text: bytes, lang: str, source: str) -> None:
         self.doc_groups.append(self.groups.setdefault((lang, source), len(self.groups)))
-        counted = Counter(terms_of(text))
-        words = self.words
-        self.ids.append([words.setdefault(word, len(words)) for word in counted])
-        self.counts.append(list(counted.values()))
+        words = terms_of(text)
+        self.sizes.append(len(words))
+        self.words += words
         self.bytes += len(text) + 64
+        if len(self.words) >= self.CHUNK:
+            self.close()
+
+    def close(self) -> None:
+        self.chunks.append(pa.array(self.words, type=pa.binary()))
+        self.words = []
 
     def row(self) -> dict:
-        order = sorted(self.words)
-        rank = np.empty(len(order), dtype=np.int32)
-        rank[[self.words[word] for word in order]] = np.arange(len(order), dtype=np.int32)
-        sizes = np.array([len(ids) for ids in self.ids], dtype=np.int64)
-        ids = rank[np.fromiter((i for own in self.ids for i in own), dtype=np.int64, count=sizes.sum())]
-        counts = np.fromiter((n for own in self.counts for n in own), dtype=np.int32, count=sizes.sum())
-        sort = np.lexsort((ids, np.repeat(np.arange(len(sizes)), sizes)))
+        self.close()
+        coded = pa.concat_arrays(self.chunks).dictionary_encode()
+        order = pc.sort_indices(coded.dictionary).to_numpy()
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        docs, terms = len(self.sizes), max(1, len(order))
+        key = np.repeat(np.arange(docs), self.sizes) * terms + rank[coded.indices.to_numpy()]
+        pairs, counts = np.unique(key, return_counts=True)
+        words = coded.dictionary.take(pa.array(order)).to_pylist()
+        numbers = {
+            "doc_groups": self.doc_groups, "doc_starts": np.searchsorted(pairs, np.arange(docs + 1) * terms),
+            "term_ends": np.cumsum([0, *map(len, words)]), "term_ids": pairs % terms, "term_counts": counts,
+        }
         return {
-            "langs": [lang for lang, _ in self.groups], "sources": [source for _, source in self.groups],
-            "doc_groups": self.doc_groups, "terms": order, "doc_starts": np.concatenate(([0], np.cumsum(sizes))),
-            "term_ids": ids[sort], "term_counts": counts[sort],
+            "langs": [lang for lang, _ in self.groups], "sources": [source for _, source in self.groups], "terms": b"".join(words),
+            **{name: np.asarray(values, dtype=_NUMBERS[name]).tobytes() for name, values in numbers.items()},
         }
 
 
@@ -92,64 +107,30 @@ def _blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema, block_bytes: i
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Blocks as lists of bytes and strings and as numpy arrays."""
-    numbers = ("doc_groups", "doc_starts", "term_ids", "term_counts")
+    """Blocks as lists of strings, an array of terms and numpy arrays of numbers."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield {
-                name: batch.column(name)[i].values.to_numpy(zero_copy_only=False) if name in numbers else batch.column(name)[i].as_py()
-                for name in batch.schema.names
-            }
-
-
-class Bloom:
-    """Which (lang, prefix) pairs may have survived: a bitmap whose size does not follow the data."""
-
-    PROBES = 5
-    LARGEST = 1 << 26
-
-    def __init__(self, bits: int, words: np.ndarray, places: np.ndarray) -> None:
-        self.bits = bits
-        self.words = np.zeros(bits // 64, dtype=np.uint64)
-        self.words[places] = words
-
-    @classmethod
-    def of(cls, rows: DataFrame, count: int) -> "Bloom":
-        """Bits are set by Spark and or-ed per 64-bit word; at most 2 ** 20 words reach the driver."""
-        bits = 1 << min(cls.LARGEST.bit_length() - 1, max(10, (12 * count).bit_length()))
-        hash_ = F.xxhash64("lang", "prefix")
-        low, high = hash_.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(hash_, 32)
-        probes = F.array(*[F.pmod(low + i * high, F.lit(bits)) for i in range(cls.PROBES)])
-        set_ = rows.select(F.explode(probes).alias("at")).groupBy(F.shiftright("at", 6).alias("place")).agg(
-            F.bit_or(F.expr("shiftleft(1L, cast(at % 64 AS int))")).alias("word")
-        ).toArrow()
-        return cls(bits, set_["word"].to_numpy().view(np.uint64), set_["place"].to_numpy())
-
-    def may_hold(self, lang_hash: int, prefixes: list[bytes]) -> np.ndarray:
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter((digest(p, lang_hash) for p in prefixes), dtype=np.uint64, count=len(prefixes))
-        low, high = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32)
-        held = np.ones(len(prefixes), dtype=bool)
-        for i in range(self.PROBES):
-            at = (low + np.uint64(i) * high) % np.uint64(self.bits)
-            held &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-        return held
-
-
-def lang_hash(lang: str) -> int:
-    """The seed with which Spark's xxhash64 goes on to a second column."""
-    return xxhash.xxh64_intdigest(lang.encode(), 42)
+            block = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+            ends = block.pop("term_ends")
+            terms = pa.Array.from_buffers(pa.binary(), len(ends) // 4 - 1, [None, pa.py_buffer(ends), pa.py_buffer(block["terms"])])
+            yield {name: np.frombuffer(value, dtype=_NUMBERS[name]) if name in _NUMBERS else value for name, value in block.items()} | {"terms": terms}
+
+
+def hashes_of(lang: str, terms: list[bytes]) -> np.ndarray:
+    """Spark's xxhash64 of the two columns: the hash of the first is the seed of the second."""
+    seed, digest = xxhash.xxh64_intdigest(lang.encode(), 42), xxhash.xxh64_intdigest
+    return np.fromiter((digest(term, seed) for term in terms), dtype=np.uint64, count=len(terms))
 
 
 def _alive(terms: list[bytes], lang: str, parent: int, survivors: Broadcast | None) -> np.ndarray:
-    """Terms longer than ``parent`` bytes whose prefix of that length may have survived."""
-    longer = np.fromiter((len(term) > parent for term in terms), dtype=bool, count=len(terms))
+    """Which of some sorted terms are longer than ``parent`` bytes and may have a surviving prefix of that length."""
+    longer = np.fromiter(map(len, terms), dtype=np.int64, count=len(terms)) > parent
     if survivors is None or not longer.any():
         return longer
     at = np.flatnonzero(longer)
     parents = [terms[i][:parent] for i in at.tolist()]
-    first = [i == 0 or parents[i] != parents[i - 1] for i in range(len(parents))]  # terms are sorted
-    held = survivors.value.may_hold(lang_hash(lang), [p for p, new in zip(parents, first) if new])
+    first = np.fromiter(map(ne, parents, [None, *parents[:-1]]), dtype=bool, count=len(parents))
+    held = survivors.value.holds(hashes_of(lang, list(compress(parents, first))))
     longer[at] = held[np.cumsum(first) - 1]
     return longer
 
@@ -159,73 +140,57 @@ def _level(batches: Iterator[pa.RecordBatch], schema: pa.Schema, parent: int, wi
 
     Only what has a surviving prefix of ``parent`` bytes is counted.
     """
-    held: dict[str, Counter] = defaultdict(Counter)
-
-    def emitted() -> Iterator[pa.RecordBatch]:
-        for lang, counted in held.items():
-            keys = list(counted)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(keys)), pa.array([key for key, _ in keys], type=pa.binary()),
-                pa.array([whole for _, whole in keys], type=pa.bool_()), pa.array(list(counted.values()), type=pa.int64()),
-            ], schema=schema)
-
     for block in _read(batches):
-        terms, starts = block["terms"], block["doc_starts"]
+        ids, starts = block["term_ids"], block["doc_starts"]
         docs = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        lang_of_doc = np.array(block["langs"], dtype=object)[block["doc_groups"]]
-        keys = [(term[:width], len(term) <= width) for term in terms]
-        first = np.fromiter((i == 0 or keys[i] != keys[i - 1] for i in range(len(keys))), dtype=bool, count=len(keys))
-        key_of_term = np.cumsum(first) - 1
-        distinct = [key for key, new in zip(keys, first.tolist()) if new]
-        for lang in dict.fromkeys(block["langs"]):
+        langs = list(dict.fromkeys(block["langs"]))
+        lang_of_doc = np.array([langs.index(lang) for lang in block["langs"]])[block["doc_groups"]]
+        for number, lang in enumerate(langs):
+            own = np.flatnonzero((lang_of_doc == number)[docs])
+            used, local = np.unique(ids[own], return_inverse=True)
+            terms = block["terms"].take(pa.array(used)).to_pylist()
             alive = _alive(terms, lang, parent, survivors)
-            own = (lang_of_doc == lang)[docs] & alive[block["term_ids"]]
-            key, doc = key_of_term[block["term_ids"][own]], docs[own]
-            if not len(key):
+            if not alive.any():
                 continue
+            terms = list(compress(terms, alive))
+            keys = [(term[:width], len(term) <= width) for term in terms]
+            first = np.fromiter(map(ne, keys, [None, *keys[:-1]]), dtype=bool, count=len(keys))
+            key_of_term = np.full(len(used), -1)
+            key_of_term[alive] = np.cumsum(first) - 1
+            key, doc = key_of_term[local], docs[own]
+            key, doc = key[key >= 0], doc[key >= 0]
             new = np.concatenate(([True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
-            counts = np.bincount(key[new], minlength=len(distinct))
-            counted = held[lang]
-            for i in np.flatnonzero(counts).tolist():
-                counted[distinct[i]] += int(counts[i])
-        if sum(map(len, held.values())) > ROOM:
-            yield from emitted()
-            held.clear()
-    yield from emitted()
+            prefixes, whole = zip(*compress(keys, first))
+            yield pa.RecordBatch.from_arrays([
+                pa.repeat(pa.scalar(lang), len(prefixes)), pa.array(prefixes, type=pa.binary()), pa.array(whole),
+                pa.array(np.bincount(key[new], minlength=len(prefixes)), type=pa.int64()),
+            ], schema=schema)
 
 
 def _counts(batches: Iterator[pa.RecordBatch], schema: pa.Schema, kept: Broadcast) -> Iterator[pa.RecordBatch]:
     """Occurrences of what may be a kept term, per language and source."""
-    held: dict[tuple[str, str], Counter] = defaultdict(Counter)
-
-    def emitted() -> Iterator[pa.RecordBatch]:
-        for (lang, source), counted in held.items():
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(counted)), pa.array([source] * len(counted)),
-                pa.array(list(counted), type=pa.binary()), pa.array(list(counted.values()), type=pa.int64()),
-            ], schema=schema)
-
     for block in _read(batches):
-        terms, starts = block["terms"], block["doc_starts"]
+        ids, counts, starts, terms = block["term_ids"], block["term_counts"], block["doc_starts"], block["terms"]
         group_of = np.repeat(block["doc_groups"], np.diff(starts))
-        alive = {lang: kept.value.may_hold(lang_hash(lang), terms) for lang in dict.fromkeys(block["langs"])}
-        for group, (lang, source) in enumerate(zip(block["langs"], block["sources"])):
-            own = (group_of == group) & alive[lang][block["term_ids"]]
-            n = np.bincount(block["term_ids"][own], weights=block["term_counts"][own], minlength=len(terms))
-            counted = held[lang, source]
-            for i in np.flatnonzero(n).tolist():
-                counted[terms[i]] += int(n[i])
-        if sum(map(len, held.values())) > ROOM:
-            yield from emitted()
-            held.clear()
-    yield from emitted()
+        group_lang = np.array(block["langs"], dtype=object)
+        for lang in dict.fromkeys(block["langs"]):
+            own = np.flatnonzero((group_lang == lang)[group_of])
+            used, local = np.unique(ids[own], return_inverse=True)
+            alive = kept.value.holds(hashes_of(lang, terms.take(pa.array(used)).to_pylist()))
+            own, local = own[alive[local]], local[alive[local]]
+            pair, place = np.unique(group_of[own].astype(np.int64) * len(used) + local, return_inverse=True)
+            n = np.bincount(place, weights=counts[own], minlength=len(pair))
+            yield pa.RecordBatch.from_arrays([
+                pa.repeat(pa.scalar(lang), len(pair)), pa.array(block["sources"]).take(pa.array(pair // len(used))) if len(pair) else pa.array([], type=pa.string()),
+                terms.take(pa.array(used[pair % len(used)])) if len(pair) else pa.array([], type=pa.binary()), pa.array(n.astype(np.int64)),
+            ], schema=schema)
 
 
 def _documents(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     return docs.select(text_or_empty(text).alias("text"), text_or_empty(lang).alias("lang"), text_or_empty(source).alias("source"))
 
 
-def term_blocks(docs: DataFrame, block_bytes: int = 8 << 20, path: str | None = None) -> DataFrame:
+def term_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, path: str | None = None) -> DataFrame:
     """Documents as blocks of term ids, written once; a document is never parted."""
     make = partial(_blocks, schema=to_arrow_schema(BLOCK_SCHEMA), block_bytes=block_bytes)
     return materialize(docs.mapInArrow(make, BLOCK_SCHEMA), path)
@@ -234,7 +199,7 @@ def term_blocks(docs: DataFrame, block_bytes: int = 8 << 20, path: str | None =
 def kept_terms(blocks: DataFrame, least: int = 10, first: int = 3) -> DataFrame:
     """The (lang, term, docs) with at least ``least`` distinct documents of the language.
 
-    Levels have prefixes of ``first`` bytes, then twice as many each time. A level counts, in each task
+    Levels have prefixes of ``first`` bytes, then twice as many each time. A level counts, in each block
     and then over all, the distinct documents of every prefix whose parent survived, and discards
     those below ``least``; a prefix has no fewer documents than any term it begins. Terms that are
     no longer than the level's width are whole and settled. It ends when no open prefix is left.
@@ -253,7 +218,7 @@ def kept_terms(blocks: DataFrame, least: int = 10, first: int = 3) -> DataFrame:
         left = open_.count()
         if not left:
             return kept
-        survivors = spark.sparkContext.broadcast(Bloom.of(open_.select("lang", "prefix"), left))
+        survivors = spark.sparkContext.broadcast(Bloom.of(open_.select(F.xxhash64("lang", "prefix").alias("hash")), left))
         parent, width = width, 2 * width
 
 
@@ -354,7 +319,7 @@ def _terms(counts: DataFrame, groups: DataFrame, most: int) -> DataFrame:
 
 def audit_sources(
     docs: DataFrame, text_column: str = "text", lang_column: str = "lang", source_column: str = "source",
-    least: int = 10, most: int = 10, block_bytes: int = 8 << 20,
+    least: int = 10, most: int = 10, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """How sources of a language differ in their terms: lang, source, part, item, value, rank.
 
@@ -366,14 +331,14 @@ def audit_sources(
     without a second source no pairs; an empty table gives an empty result. Other columns are not read.
 
     Documents are read once and written as blocks of term ids; each level reads those. Counts are
-    added up per task before a shuffle, so a hot source or term sends one row per task and key.
+    added up per block before a shuffle, so a hot source or term sends one row per block and key.
     """
     spark: SparkSession = docs.sparkSession
     rows = _documents(docs, text_column, lang_column, source_column)
     path = new_folder(spark, "blocks")
     blocks = term_blocks(rows, block_bytes, path)
     kept = materialize(kept_terms(blocks, least))
-    seen = spark.sparkContext.broadcast(Bloom.of(kept.select("lang", F.col("term").alias("prefix")), kept.count()))
+    seen = spark.sparkContext.broadcast(Bloom.of(kept.select(F.xxhash64("lang", "term").alias("hash")), kept.count()))
     count = partial(_counts, schema=to_arrow_schema(COUNT_SCHEMA), kept=seen)
     counts = blocks.mapInArrow(count, COUNT_SCHEMA).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
     counts = materialize(counts.join(kept.select("lang", "term"), ["lang", "term"], "left_semi"))
