@@ -196,7 +196,7 @@ def term_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, path: str | Non
     return materialize(docs.mapInArrow(make, BLOCK_SCHEMA), path)
 
 
-def kept_terms(blocks: DataFrame, least: int = 10, first: int = 3) -> DataFrame:
+def kept_terms(blocks: DataFrame, least: int = 10, first: int = 6) -> DataFrame:
     """The (lang, term, docs) with at least ``least`` distinct documents of the language.
 
     Levels have prefixes of ``first`` bytes, then twice as many each time. A level counts, in each block
