@@ -537,6 +537,19 @@ sample AS (SELECT *, {place('doc_id', 'pos')} AS place FROM pairs ORDER BY place
         PAIRS + "," + split_by("", 0.9, 0.05),
         "SELECT doc_id, pos, src, tgt, domain FROM split WHERE split = 'test'",
     ),
+    "leaked_source_texts": _with(
+        PAIRS + "," + split_by("", 0.9, 0.05),
+        "SELECT doc_id, pos, split FROM split WHERE split <> 'test' "
+        "AND src IN (SELECT src FROM split WHERE split = 'test')",
+    ),
+    "leak_report": _with(
+        PAIRS + "," + split_by("", 0.9, 0.05) + ", locked AS (SELECT * FROM split WHERE split = 'test')",
+        "SELECT split, count(*) AS n_rows, "
+        "count(*) FILTER ((src, tgt) IN (SELECT (src, tgt) FROM locked)) AS leaked_pairs, "
+        "count(*) FILTER (src IN (SELECT src FROM locked)) AS leaked_sources, "
+        "count(*) FILTER (tgt IN (SELECT tgt FROM locked)) AS leaked_targets "
+        "FROM split WHERE split <> 'test' GROUP BY split",
+    ),
     "csv_conversations": _with(
         CHAT,
         "SELECT conv_id, turn, src, tgt, 'NA' AS src_lang, 'null' AS tgt_lang, 'general' AS domain FROM chat",

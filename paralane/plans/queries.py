@@ -10,6 +10,7 @@ from paralane.functions.unicode import normalize_text
 from paralane.operators import rules as R, scores, shape, tokens
 from paralane.operators.dedup import keep_first
 from paralane.operators.fingerprint import dataset_hash, whole_dataset_hash
+from paralane.operators.leaks import leak_report as report_leaks, leaked_rows
 from paralane.operators.ranks import (
     exact_sample, exact_split, global_rank, grouped_split, proportional_split, shuffle_hash, stratified_split,
 )
@@ -333,6 +334,25 @@ def locked_test_csv(spark, folder):
     return locked.select(*KEYS, "src", "tgt", "domain")
 
 
+def _split_and_lock(spark, folder):
+    split = materialize(exact_split(V.line_pairs(spark, folder), KEYS))
+    return split.where("split <> 'test'"), lock_test_split(split, new_folder(spark, "locked"))
+
+
+@query
+def leaked_source_texts(spark, folder):
+    """Rows to learn from whose source text is in the locked test split too."""
+    others, locked = _split_and_lock(spark, folder)
+    return leaked_rows(others, locked, ["src"]).select(*KEYS, "split")
+
+
+@query
+def leak_report(spark, folder):
+    others, locked = _split_and_lock(spark, folder)
+    checks = {"leaked_pairs": ["src", "tgt"], "leaked_sources": ["src"], "leaked_targets": ["tgt"]}
+    return report_leaks(others, locked, checks)
+
+
 @query
 def csv_conversations(spark, folder):
     """Texts with quotes, commas and line breaks through CSV."""
