@@ -37,6 +37,8 @@ TILE = 64
 TERMS = 4096
 #: Bytes of text in a block of documents.
 BLOCK_BYTES = 12 << 20
+#: Documents whose texts are held as Python values at a time.
+SLICE = 256
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -95,13 +97,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema, block_bytes: i
         return pa.RecordBatch.from_arrays([pa.array([row[f.name]], type=f.type) for f in schema], schema=schema)
 
     block = Block()
-    for batch in batches:
+    slices = (batch.slice(at, SLICE) for batch in batches for at in range(0, batch.num_rows, SLICE))
+    for batch in slices:
         langs, sources = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         for text, lang, source in zip(strings_as_bytes(batch.column(0)), langs, sources):
             block.add(text, lang, source)
             if block.bytes >= block_bytes:
                 yield batch_of(block)
                 block = Block()
+                pa.default_memory_pool().release_unused()
     if block.doc_groups:
         yield batch_of(block)
 
@@ -135,6 +139,13 @@ def _alive(terms: list[bytes], lang: str, parent: int, survivors: Broadcast | No
     return longer
 
 
+def _used(ids: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids in order, and each id's place among them."""
+    mark = np.zeros(terms, dtype=bool)
+    mark[ids] = True
+    return np.flatnonzero(mark), (np.cumsum(mark, dtype=np.int32) - 1)[ids]
+
+
 def _level(batches: Iterator[pa.RecordBatch], schema: pa.Schema, parent: int, width: int, survivors: Broadcast | None) -> Iterator[pa.RecordBatch]:
     """Distinct documents of each language per prefix of ``width`` bytes, or term if it is no longer.
 
@@ -142,12 +153,15 @@ def _level(batches: Iterator[pa.RecordBatch], schema: pa.Schema, parent: int, wi
     """
     for block in _read(batches):
         ids, starts = block["term_ids"], block["doc_starts"]
-        docs = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        docs = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
+        if parent:
+            longer = (pc.binary_length(block["terms"]).to_numpy() > parent)[ids]
+            ids, docs = ids[longer], docs[longer]
         langs = list(dict.fromkeys(block["langs"]))
         lang_of_doc = np.array([langs.index(lang) for lang in block["langs"]])[block["doc_groups"]]
         for number, lang in enumerate(langs):
             own = np.flatnonzero((lang_of_doc == number)[docs])
-            used, local = np.unique(ids[own], return_inverse=True)
+            used, local = _used(ids[own], len(block["terms"]))
             terms = block["terms"].take(pa.array(used)).to_pylist()
             alive = _alive(terms, lang, parent, survivors)
             if not alive.any():
@@ -175,14 +189,15 @@ def _counts(batches: Iterator[pa.RecordBatch], schema: pa.Schema, kept: Broadcas
         group_lang = np.array(block["langs"], dtype=object)
         for lang in dict.fromkeys(block["langs"]):
             own = np.flatnonzero((group_lang == lang)[group_of])
-            used, local = np.unique(ids[own], return_inverse=True)
+            used, local = _used(ids[own], len(terms))
             alive = kept.value.holds(hashes_of(lang, terms.take(pa.array(used)).to_pylist()))
             own, local = own[alive[local]], local[alive[local]]
-            pair, place = np.unique(group_of[own].astype(np.int64) * len(used) + local, return_inverse=True)
-            n = np.bincount(place, weights=counts[own], minlength=len(pair))
+            pairs = pa.table({"pair": group_of[own].astype(np.int64) * len(used) + local, "n": counts[own].astype(np.int64)})
+            pairs = pairs.group_by("pair", use_threads=False).aggregate([("n", "sum")])
+            pair, n = pairs["pair"].to_numpy(), pairs["n_sum"].to_numpy()
             yield pa.RecordBatch.from_arrays([
                 pa.repeat(pa.scalar(lang), len(pair)), pa.array(block["sources"]).take(pa.array(pair // len(used))) if len(pair) else pa.array([], type=pa.string()),
-                terms.take(pa.array(used[pair % len(used)])) if len(pair) else pa.array([], type=pa.binary()), pa.array(n.astype(np.int64)),
+                terms.take(pa.array(used[pair % len(used)])) if len(pair) else pa.array([], type=pa.binary()), pa.array(n, type=pa.int64()),
             ], schema=schema)
 
 
