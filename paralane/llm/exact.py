@@ -202,5 +202,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that stay, with the columns of ``docs``."""
-    return distinct_contents(docs, id_column, text_column).select(*docs.columns)
+    """The documents that stay, with the columns of ``docs``, whatever their names. Null texts count as empty."""
+    plain = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    kept = distinct_contents(docs.toDF(*plain.values()), plain[id_column], plain[text_column])
+    return kept.select(*(F.col(own).alias(name) for name, own in plain.items()))

@@ -188,7 +188,10 @@ def quality_scores(
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The documents that score ``threshold`` or more, with the columns of ``docs``."""
+    """The documents that score ``threshold`` or more, with the columns of ``docs``, whatever their names.
+
+    Null texts are scored as empty ones; null ids have no label, but a score. Repeated rows stay or go
+    together; no rows give no rows.
+    """
     score = scored(fit_quality(docs, labels, id_column, text_column))
-    marked = docs.withColumn("__score", score(F.col(text_column).cast("string")))
-    return marked.filter(F.col("__score") >= threshold).drop("__score")
+    return docs.filter(score(F.col(text_column).cast("string")) >= threshold)

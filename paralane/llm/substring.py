@@ -298,6 +298,7 @@ def without_repeats(
 ) -> DataFrame:
     """All columns of ``docs`` and __n_words, __n_removed and __kept (the words that stay, one space between).
 
+    ``docs`` may not have these three columns, or one named __block; ``substring_dedup`` takes any names.
     Words stand between spaces and U+0009 to U+000D and are compared unchanged. A word goes if a window
     of ``window`` words covers it whose sequence also starts in a document with a smaller id. Windows are
     judged on the input. Null texts have no words; texts shorter than a window stay whole; repeats
@@ -358,14 +359,17 @@ def substring_digests(
 def substring_dedup(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 13, length_column: str | None = None
 ) -> DataFrame:
-    """All documents, with the words that stay; a text that loses none is left as it is.
+    """All documents, with the words that stay; a text that loses none, or is null, is left as it is.
 
-    ``length_column``, if there is one, holds the text's characters and is kept up to date.
+    ``length_column``, if there is one, holds the text's characters and is kept up to date. Other columns
+    may have any names.
     """
-    cleaned = without_repeats(docs, id_column, text_column, window)
+    plain = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    id_, text, length = plain[id_column], plain[text_column], plain.get(length_column)
+    cleaned = without_repeats(docs.toDF(*plain.values()), id_, text, window)
     changed = F.col("__n_removed") > 0
-    new = {text_column: F.when(changed, F.col("__kept")).otherwise(F.col(text_column))}
-    if length_column in docs.columns:
-        length = F.char_length("__kept").cast(docs.schema[length_column].dataType)
-        new[length_column] = F.when(changed, length).otherwise(F.col(length_column))
-    return cleaned.select(*(new[name].alias(name) if name in new else name for name in docs.columns))
+    new = {text: F.when(changed, F.col("__kept")).otherwise(F.col(text))}
+    if length:
+        characters = F.char_length("__kept").cast(docs.schema[length_column].dataType)
+        new[length] = F.when(changed, characters).otherwise(F.col(length))
+    return cleaned.select(*(new.get(own, F.col(own)).alias(name) for name, own in plain.items()))
