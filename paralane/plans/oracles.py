@@ -554,6 +554,10 @@ sample AS (SELECT *, {place('doc_id', 'pos')} AS place FROM pairs ORDER BY place
         CHAT,
         "SELECT conv_id, turn, src, tgt, 'NA' AS src_lang, 'null' AS tgt_lang, 'general' AS domain FROM chat",
     ),
+    "split_csv_conversations": _with(
+        CHAT,
+        "SELECT conv_id, turn, src, tgt, 'NA' AS src_lang, 'null' AS tgt_lang, 'general' AS domain FROM chat",
+    ),
     "table_formats": _with(
         PAIRS,
         "SELECT src_lang, tgt_lang, count(*) AS n, sum(length(src) + length(tgt))::bigint AS chars, "

@@ -353,8 +353,7 @@ def leak_report(spark, folder):
     return report_leaks(others, locked, checks)
 
 
-@query
-def csv_conversations(spark, folder):
+def _through_csv(spark, folder, multi_line):
     """Texts with quotes, commas and line breaks through CSV."""
     path = new_folder(spark, "csv")
     written = V.chat_pairs(spark, folder).withColumns({"src_lang": F.lit("NA"), "tgt_lang": F.lit("null")})
@@ -362,11 +361,22 @@ def csv_conversations(spark, folder):
         path, header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
-    pairs = read_pairs(spark, "local", csv_path=path, multi_line=True)
+    pairs = read_pairs(spark, "local", csv_path=path, multi_line=multi_line)
     keys = [F.col(k).cast("long").alias(k) for k in ("conv_id", "turn")]
     return pairs.select(*keys, "src", "tgt", "src_lang", "tgt_lang", "domain")
 
 
+@query
+def csv_conversations(spark, folder):
+    return _through_csv(spark, folder, True)
+
+
+@query
+def split_csv_conversations(spark, folder):
+    """The same from files that are split among tasks."""
+    return _through_csv(spark, folder, "split")
+
+
 @query
 def table_formats(spark, folder):
     """The same pairs through Parquet, ORC and JSON, counted by direction."""

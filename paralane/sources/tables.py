@@ -1,12 +1,14 @@
 """Pair tables in files of other formats, and the choice of a source."""
 
 from collections.abc import Mapping, Sequence
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from paralane.operators.ranks import exact_sample
 from paralane.operators.shape import require_columns, to_pairs
 from paralane.registry import PAIR_SCHEMA
+from paralane.sources.csv_blocks import read_csv_blocks
 from paralane.sources.text_files import read_text_pairs
 
 # No field of a CSV file reads as null: "NA" and "null" are words like others.
@@ -23,15 +25,18 @@ CSV_OPTIONS = {
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, *, multi_line: bool
+    spark: SparkSession, path: str, schema: T.StructType | None = None, *, multi_line: bool | Literal["split"]
 ) -> DataFrame:
     """A CSV file with a header. All columns are text, unless a schema is given, which must have
     the header's names.
 
     ``multi_line`` says whether quoted fields may hold line breaks: if so, a file is read by one
-    task; if not, Spark splits large files. There is no default, as either may be wrong. Parquet has
-    neither limit and is better between jobs.
+    task; if not, Spark splits large files. There is no default, as either may be wrong. ``"split"``
+    takes such fields from large files that are split, see ``read_csv_blocks``. Parquet has no such
+    limits and is better between jobs.
     """
+    if multi_line == "split":
+        return read_csv_blocks(spark, path, schema)
     reader = spark.read.options(**{**CSV_OPTIONS, "multiLine": multi_line})
     return reader.schema(schema).csv(path) if schema else reader.csv(path)
 
@@ -43,7 +48,7 @@ def read_table(
     format: str = "parquet",
     mapping: Mapping[str, str] | None = None,
     schema: T.StructType | None = None,
-    multi_line: bool | None = None,
+    multi_line: bool | Literal["split"] | None = None,
 ) -> DataFrame:
     """A columnar, JSON or CSV dataset, or a table of the catalog, in the pair shape.
 
