@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from paralane.functions import text as X
 from paralane.operators.ranks import global_rank
 from paralane.operators.scores import LABEL_PADDING
+from paralane.operators.word_index import indexed_ids, write_word_index
 from paralane.session import materialize
 
 # The special ids of the built-in vocabulary.
@@ -162,13 +163,21 @@ def encode_words(
     The vocabulary is computed and its size in bytes taken when this is called. With ``lookup='auto'`` one of at
     most ``broadcast_bytes`` is broadcast, and words are looked up inside their row, without a shuffle; a
     larger one is joined, and words are shuffled. ``lookup='broadcast'`` makes a larger one an error
-    instead, and ``lookup='join'`` always joins. The rows are the same.
+    instead, and ``lookup='join'`` always joins. ``lookup='index'`` writes the vocabulary, of whatever size, as
+    sorted files into the shared folder; words are looked up there inside their row, so none is shuffled and
+    nothing broadcast. The rows are the same.
     """
     room = max_length if max_length is None else max_length - 1 if eos else max_length
     end = [EOS_ID] if eos else []
     texts = {name: X.text_or_empty(text) for name, text in columns.items()}
-    if lookup not in ("auto", "broadcast", "join"):
-        raise ValueError(f"unknown lookup {lookup!r}; use 'auto', 'broadcast' or 'join'")
+    if lookup not in ("auto", "broadcast", "join", "index"):
+        raise ValueError(f"unknown lookup {lookup!r}; use 'auto', 'broadcast', 'join' or 'index'")
+    if lookup == "index":
+        words = {name: X.words(text) if room is None else F.slice(X.words(text), 1, room) for name, text in texts.items()}
+        found = indexed_ids(write_word_index(vocab), words, UNKNOWN_ID)
+        tail = F.lit(end).cast("array<int>")
+        rows = df.select(*keys, found.alias("__ids"))
+        return rows.select(*keys, *[F.concat(F.col("__ids")[name], tail).alias(name) for name in texts])
     if lookup != "join":
         vocab = materialize(vocab.select("token", "token_id"))
         size = _bytes_of(vocab)
