@@ -64,9 +64,7 @@ class Shard:
         behind = np.concatenate(([0], np.cumsum(low[order])))
 
         def traversed(terms: np.ndarray) -> np.ndarray:
-            part = np.zeros_like(query)
-            part[terms] = query[terms]
-            return (part @ postings)[rows]
+            return (query[terms] @ postings[terms])[rows]
 
         done, threshold = len(order), None
         if len(rows) > k:
@@ -124,7 +122,7 @@ def top_k(
     every: int = 100,
     scale: float = 1024.0,
     shard_rows: int = 2048,
-    block_rows: int = 512,
+    block_rows: int = 16384,
 ) -> DataFrame:
     """The ``k`` best candidates of each query, exactly: query_id, rank (from 1), vec_id and score.
 
