@@ -54,6 +54,13 @@ TEMPLATES = (
     Template("cc-by-nc", "under the creative commons attribution noncommercial license", "creative commons attribution noncommercial", 0.0),
 )
 
+#: Words that deny a licence which is named shortly after them (fixed values).
+DENIALS = ("not", "never", "neither", "nor", "isn", "aren", "cannot", "without")
+#: How many words before a key phrase are read for a denial.
+DENIAL_REACH = 4
+#: By how many of its words, those with the highest IDF, a wording is looked up.
+ANCHORS = 3
+
 #: What separates words: all of ASCII but letters and digits (fixed value).
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -79,15 +86,29 @@ def rarest(docs: DataFrame, text_column: str, vocabulary: Sequence[str]) -> dict
     return dict.fromkeys(vocabulary, 0) | {r["word"]: r["count"] for r in counts}
 
 
-def _anchor(words: Sequence[str], frequency: dict[str, int]) -> tuple[str, int]:
-    """The rarest word of a phrase and its first place. A phrase stands nowhere if no document has that word."""
-    word = min(words, key=lambda word: (frequency[word], word))
-    return word, list(words).index(word)
+def _anchors(words: Sequence[str], frequency: dict[str, int], most: int = ANCHORS) -> list[tuple[str, int]]:
+    """The words of a phrase with the highest IDF, that is in the fewest documents, and their first places.
+
+    A phrase stands nowhere if no document has one of them.
+    """
+    rarest_first = sorted(set(words), key=lambda word: (frequency[word], word))
+    return [(word, list(words).index(word)) for word in rarest_first[:most]]
+
+
+def _starts(hits: Column, anchors: Sequence[tuple[str, int]]) -> Column:
+    """Where a phrase would begin: the places on which the postings of its words agree, taken relative to
+    the word's place in the phrase. Rarer words come first, so what is intersected is short."""
+    found = None
+    for word, place in anchors:
+        own = F.transform(F.filter(hits, lambda hit: hit["word"] == word), lambda hit: hit["at"] - F.lit(place))
+        found = own if found is None else F.array_intersect(found, own)
+    return found
 
 
-def _starts(hits: Column, word: str, place: int) -> Column:
-    """Where a phrase would begin, by the postings of one of its words."""
-    return F.transform(F.filter(hits, lambda hit: hit["word"] == word), lambda hit: hit["at"] - place)
+def _denied(words: Column, key: Column, reach: int = DENIAL_REACH) -> Column:
+    """Whether one of the ``reach`` words before a key phrase denies it."""
+    begin = F.greatest(key - reach, F.lit(0))
+    return F.arrays_overlap(F.slice(words, begin + 1, key - begin), F.lit(list(DENIALS)))
 
 
 def _share(words: Column, start: Column, template: Sequence[str]) -> Column:
@@ -108,10 +129,13 @@ def scan_licenses(
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every document.
 
     A first scan counts in how many documents each licence word occurs. In a second one, every text's
-    postings of the rarest words are looked up, and their positions give the places where a phrase
-    would begin. A phrase is looked up by its rarest word, and all its words are verified, so every
-    place is found. So is the key phrase of a template; then the share of the template's words at their
-    places around it is tested. Nothing is shuffled but the counts.
+    postings of the words with the highest IDF are looked up: ``ANCHORS`` words of each phrase and of each
+    template's mandatory key phrase. Their positions relative to the wording are intersected, which gives
+    the places where it would begin, and there all its words are verified. A wording that stands whole has
+    all its words at one start, so no place is lost. Then the share of the template's words at their places
+    around its key phrase is tested. A template whose key phrase is denied up to ``DENIAL_REACH`` words
+    before it ("this is not under the gpl") gives no label at that place; phrases count wherever they
+    stand. Nothing is shuffled but the counts.
 
     n_base counts the places of all phrases; first_word and last_word are the smallest and largest word
     (from 0) at which one begins, null if there is none. base_labels has the phrases' labels, labels also
@@ -123,19 +147,19 @@ def scan_licenses(
     wordings = [phrase.split() for phrase in phrases] + [t.key.split() for t in templates]
     vocabulary = sorted({word for words in wordings for word in words})
     frequency = rarest(docs, text_column, vocabulary)
-    by_phrase = [(label, phrase.split(), _anchor(phrase.split(), frequency)) for phrase, label in phrases.items()]
-    by_template = [(t, _anchor(t.key.split(), frequency)) for t in templates]
-    looked_up = sorted({a[0] for _, _, a in by_phrase} | {a[0] for _, a in by_template})
+    by_phrase = [(label, phrase.split(), _anchors(phrase.split(), frequency)) for phrase, label in phrases.items()]
+    by_template = [(t, _anchors(t.key.split(), frequency)) for t in templates]
+    looked_up = sorted({word for *_, anchors in (*by_phrase, *by_template) for word, _ in anchors})
 
-    def places(words: Column, hits: Column, wording: list[str], anchor: tuple[str, int]) -> Column:
+    def places(words: Column, hits: Column, wording: list[str], anchors: list[tuple[str, int]]) -> Column:
         whole = F.lit(wording)
         return F.filter(
-            _starts(hits, *anchor),
+            _starts(hits, anchors),
             lambda start: (start >= 0) & (F.slice(words, F.greatest(start, F.lit(0)) + 1, len(wording)) == whole),
         )
 
-    def share(words: Column, hits: Column, template: Template, anchor: tuple[str, int]) -> Column:
-        verified = places(words, hits, template.key.split(), anchor)
+    def share(words: Column, hits: Column, template: Template, anchors: list[tuple[str, int]]) -> Column:
+        verified = F.filter(places(words, hits, template.key.split(), anchors), lambda key: ~_denied(words, key))
         shares = F.transform(verified, lambda key: _share(words, key - template.key_at, template.words))
         return F.coalesce(F.array_max(F.filter(shares, lambda x: x >= template.least)), F.lit(0.0))
 
@@ -146,8 +170,8 @@ def scan_licenses(
         )
         return _let(hits, lambda found: F.struct(
             F.size(words).cast("long").alias("n_words"),
-            F.array(*(places(words, found, wording, anchor) for _, wording, anchor in by_phrase)).alias("places"),
-            F.array(*(share(words, found, t, anchor) for t, anchor in by_template)).cast("array<double>").alias("shares"),
+            F.array(*(places(words, found, wording, anchors) for _, wording, anchors in by_phrase)).alias("places"),
+            F.array(*(share(words, found, t, anchors) for t, anchors in by_template)).cast("array<double>").alias("shares"),
         ))
 
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))

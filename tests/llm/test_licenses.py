@@ -2,7 +2,7 @@ import random
 import re
 
 from helpers import LONG, ROWS, awkward
-from paralane.llm.licenses import PHRASES, TEMPLATES, scan_licenses
+from paralane.llm.licenses import DENIALS, PHRASES, TEMPLATES, scan_licenses
 
 
 def brute(text):
@@ -95,3 +95,56 @@ def test_no_python_in_the_plan(spark):
 
 def test_no_rows(spark):
     assert run(spark, []) == []
+
+
+def brute_template(text, templates):
+    """labels and score of the templates, by trying every place."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+    labels, best = set(), 0.0
+    for t in templates:
+        key = t.key.split()
+        for k in range(len(words) - len(key) + 1):
+            if words[k : k + len(key)] != key or set(words[max(0, k - 4) : k]) & set(DENIALS):
+                continue
+            start = k - t.key_at
+            same = sum(0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(t.words))
+            if same / len(t.words) >= t.least:
+                labels.add(t.label)
+                best = max(best, same / len(t.words))
+    return labels, best
+
+
+def test_labels_and_scores_against_brute_force(spark):
+    random.seed(8)
+    pool = sorted({w for t in TEMPLATES for w in t.words} | {"x", "not", "never"})
+    rows = []
+    for i in range(250):
+        parts = []
+        for _ in range(random.randint(0, 5)):
+            words = random.choice(TEMPLATES).words
+            for _ in range(random.randint(0, 4)):
+                words[random.randrange(len(words))] = random.choice(pool)
+            cut = random.choice((0, 0, 2))
+            parts += words[cut:] + [random.choice(pool) for _ in range(random.randint(0, 6))]
+        rows.append((i, " ".join(parts)))
+    found = check(spark, rows)
+    several = 0
+    for i, text in rows:
+        labels, score = brute_template(text, TEMPLATES)
+        base = set(filter(None, found[i]["base_labels"].split(",")))
+        assert set(filter(None, found[i]["labels"].split(","))) == labels | base
+        assert found[i]["score"] == (1.0 if base else score)
+        several += len(labels) > 1
+    assert several > 30  # rows with more than one label do occur
+
+
+def test_denied_licences_get_no_label(spark):
+    denied = [
+        "This is not the MIT License.", "It was never released under the ISC license", "neither the GNU GPL nor the BSD license",
+        "this isn't under the GPL", "not licensed under the GNU General Public License version 3",
+    ]
+    granted = ["This is not free. It comes with a copy of the MIT License.", "MIT License, not the ISC license"]
+    found = check(spark, list(enumerate([*denied, *granted, "not under the MIT license"])))
+    assert [found[i]["labels"] for i in range(len(denied))] == [""] * len(denied)
+    assert [found[len(denied) + i]["labels"] for i in range(2)] == ["mit", "mit"]
+    assert found[len(denied) + 2]["labels"] == "mit"  # a base phrase counts wherever it stands
