@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from paralane.session import new_folder
+from paralane.session import materialize, new_folder
 
 #: Words that one file holds, about; a file takes 20 bytes a word.
 SLICE_WORDS = 1 << 20
@@ -103,7 +103,7 @@ def write_word_index(vocab: DataFrame, slice_words: int = SLICE_WORDS) -> WordIn
     Tokens are distinct; a null token is left out. No words: an index that finds nothing.
     """
     folder = new_folder(vocab.sparkSession, "words")
-    known = vocab.where(F.col("token").isNotNull()).select(_key(F.col("token")).alias("hash"), "token_id")
+    known = materialize(vocab.where(F.col("token").isNotNull()).select(_key(F.col("token")).alias("hash"), "token_id"))
     slices = min(MOST_SLICES, max(1, -(-known.count() // slice_words)))
     upper = F.shiftrightunsigned("hash.key", 48)
     known = known.select(F.floor(upper * slices / MOST_SLICES).cast("int").alias("slice"), "hash.*", "token_id")

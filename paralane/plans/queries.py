@@ -602,7 +602,7 @@ def _shown(df, names):
 @query
 def token_ids(spark, folder):
     """Ids of sources and targets; words that only targets have are unknown."""
-    return _shown(_token_table(spark, folder, lookup="auto"), tokens.TOKEN_COLUMNS)
+    return _shown(_token_table(spark, folder, lookup="index"), tokens.TOKEN_COLUMNS)
 
 
 @query
@@ -617,7 +617,7 @@ def padded_token_batches(spark, folder):
     vocab = tokens.vocabulary(pairs, [X.tagged_input()])
     # Pairs are ranked first: words are looked up inside the ranked rows.
     ranked = global_rank(pairs, shuffle_hash(KEYS))
-    batches = tokens.padded_batches(tokens.tokenize_words(ranked, vocab, [*KEYS, "rank"], lookup="auto"), batch_size=16)
+    batches = tokens.padded_batches(tokens.tokenize_words(ranked, vocab, [*KEYS, "rank"], lookup="index"), batch_size=16)
     names = [*tokens.TOKEN_COLUMNS, "decoder_input_ids"]
     return _shown(batches, names).select(*KEYS, "batch_id", *names)
 
@@ -674,7 +674,7 @@ def prepared_tokens(spark, folder):
     """Ids of the training and validation pairs, by the words of the training sources."""
     rows = _prepared(spark, folder).rows
     vocab = tokens.vocabulary(rows.where("split = 'train'"), [X.tagged_input()])
-    table = tokens.tokenize_words(rows.where("split <> 'test'"), vocab, [*KEYS, "split"], lookup="auto")
+    table = tokens.tokenize_words(rows.where("split <> 'test'"), vocab, [*KEYS, "split"], lookup="index")
     return _shown(table, tokens.TOKEN_COLUMNS).select(*KEYS, "split", *tokens.TOKEN_COLUMNS)
 
 
