@@ -6,20 +6,23 @@ leave the row, so nothing of their number is shuffled.
 
 import re
 import string
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
-from paralane.functions.text import text_or_empty
+from paralane.functions.text import WHITESPACE, text_or_empty
 
 BLEU_ORDER = 4
 CHAR_ORDER = 6
-PUNCTUATION = frozenset(string.punctuation)
 # Characters handled at a time, so that the tables of codes fit into the processor's cache. A
 # longer row is still handled whole.
 SLICE = 50_000
+# Words whose pieces a task remembers. They only spare work: when there are more, it begins anew.
+KNOWN_WORDS = 1 << 16
 
 
 # The steps of the 13a tokenizer, in order. The last four act on the inside of
@@ -33,13 +36,13 @@ WORD_STEPS = (
 )
 
 
-def _words_13a(text: str) -> list[str]:
-    """The words that the international tokenization of translation scoring starts from."""
+def _text_13a(text: str) -> str:
+    """The text whose words the international tokenization of translation scoring takes apart."""
     text = text.rstrip().replace("<skipped>", "").replace("-\n", "")
     if "&" in text:
         for entity, character in ENTITIES:
             text = text.replace(entity, character)
-    return text.split()
+    return text
 
 
 def _pieces_13a(word: str) -> list[str]:
@@ -52,22 +55,7 @@ def _pieces_13a(word: str) -> list[str]:
 
 
 def tokenize_13a(text: str) -> list[str]:
-    return [piece for word in _words_13a(text) for piece in _pieces_13a(word)]
-
-
-def _edge_pieces(word: str) -> list[str]:
-    """A word with one punctuation mark taken off its end, or else off its beginning."""
-    if len(word) == 1:
-        return [word]
-    if word[-1] in PUNCTUATION:
-        return [word[:-1], word[-1]]
-    if word[0] in PUNCTUATION:
-        return [word[0], word[1:]]
-    return [word]
-
-
-def edge_split(text: str) -> list[str]:
-    return [piece for word in text.split() for piece in _edge_pieces(word)]
+    return [piece for word in _text_13a(text).split() for piece in _pieces_13a(word)]
 
 
 def _code_points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -83,25 +71,103 @@ def _dense(sides: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple:
     return (parts[0], sides[0][1]), (parts[1], sides[1][1]), max(len(distinct), 1)
 
 
-class _PieceIds(dict):
-    """The ids of the pieces of a word. Each distinct word of a slice is taken apart once."""
+def _table(characters: str) -> np.ndarray:
+    """Whether a code point is among some characters; its last entry stands for all above."""
+    table = np.zeros(max(map(ord, characters)) + 2, dtype=bool)
+    table[list(map(ord, characters))] = True
+    return table
+
+
+SPACES, PUNCTUATION, STOPS = _table(WHITESPACE), _table(string.punctuation), _table(".,")
+
+
+def _among(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return table[np.minimum(codes, len(table) - 1)]
+
+
+@lru_cache(maxsize=None)
+def _alphanumeric(bits: int) -> np.ndarray:
+    """Whether code points of so many bits are letters or digits."""
+    return np.array([chr(code).isalnum() for code in range(min(1 << bits, 0x110000))])
 
-    def __init__(self, pieces: Callable[[str], list[str]]):
-        self.pieces, self.ids = pieces, {}
 
-    def __missing__(self, word: str) -> list[int]:
-        found = [self.ids.setdefault(piece, len(self.ids)) for piece in self.pieces(word)]
-        self[word] = found
+def _letters(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The characters of some texts that are no whitespace, where among them the texts end, after
+    a zero, and where the words begin."""
+    codes, sizes = _code_points(texts)
+    solid = ~_among(codes, SPACES)
+    before = np.concatenate([[False], solid])
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    before[ends] = False
+    place = np.concatenate([[0], np.cumsum(solid)])
+    return codes[solid], place[ends], place[np.flatnonzero(solid & ~before[:-1])]
+
+
+def _spans(letters: np.ndarray, starts: np.ndarray) -> pa.DictionaryArray:
+    """Equal spans of letters get equal numbers. A span ends where the next one starts."""
+    offsets = np.append(starts, len(letters)) * 4
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters.astype("<u4"))]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+
+
+def _edge_starts(letters: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The starts of words, and of what is left of them or taken off: one punctuation mark at a word's
+    end, or else at its beginning."""
+    ends = np.append(starts, len(letters))[1:]
+    long = ends - starts > 1
+    last = long & _among(letters[ends - 1], PUNCTUATION)
+    first = long & ~last & _among(letters[starts], PUNCTUATION)
+    return np.sort(np.concatenate([starts, ends[last] - 1, starts[first] + 1]))
+
+
+class _Cuts(dict):
+    """The places inside of words where the 13a tokenizer cuts them."""
+
+    def __missing__(self, word: bytes) -> np.ndarray:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        pieces = _pieces_13a(word.decode("utf-32-le", "surrogatepass"))
+        found = self[word] = np.cumsum([0, *map(len, pieces)])[1:-1]
         return found
 
-    def arrays(self, rows: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        sizes, flat = [], []
-        for row in rows:
-            before = len(flat)
-            for word in row:
-                flat += self[word]
-            sizes.append(len(flat) - before)
-        return np.array(flat, dtype=np.int64), np.array(sizes, dtype=np.int64)
+
+def _starts_13a(letters: np.ndarray, starts: np.ndarray, cuts: _Cuts) -> np.ndarray:
+    """The starts of the pieces of words. The tokenizer adds spaces, so pieces are spans of a word.
+
+    Words of letters and digits are whole, also before a last stop. Of the others each distinct one
+    of a slice is looked up.
+    """
+    ends = np.append(starts, len(letters))[1:]
+    marks = ~_alphanumeric(int(letters.max(initial=0)).bit_length())[letters]
+    before = np.concatenate([[0], np.cumsum(marks)])
+    n_marks, sizes = before[ends] - before[starts], ends - starts
+    stopped = (sizes > 1) & (n_marks == 1) & _among(letters[ends - 1], STOPS)
+    others = np.flatnonzero((sizes > 1) & (n_marks > 0) & ~stopped)
+    begins, sizes = starts[others], sizes[others]
+    offsets = np.cumsum(sizes) - sizes
+    words = _spans(letters[np.repeat(begins - offsets, sizes) + np.arange(sizes.sum())], offsets)
+    known = [cuts[word] for word in words.dictionary.to_pylist()]
+    codes = words.indices.to_numpy()
+    counts = np.array([len(some) for some in known], dtype=np.int64)
+    flat = np.concatenate([*known, np.empty(0, dtype=np.int64)])
+    spans, firsts = counts[codes], np.cumsum(counts) - counts
+    inner = flat[np.repeat(firsts[codes] - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())]
+    return np.sort(np.concatenate([starts, ends[stopped] - 1, np.repeat(begins, spans) + inner]))
+
+
+def _sides(units: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Predictions and references, texts of which there are equally many, apart."""
+    middle = len(ends) // 2
+    sizes = np.diff(ends)
+    parts = np.split(units, [ends[middle]])
+    return [(parts[0], sizes[:middle]), (parts[1], sizes[middle:])]
+
+
+def _pieces(letters: np.ndarray, ends: np.ndarray, starts: np.ndarray) -> tuple:
+    """Both sides as numbers of the pieces that start at some letters, and how many numbers there are."""
+    numbered = _spans(letters, starts)
+    units = numbered.indices.to_numpy().astype(np.int64)
+    return *_sides(units, np.searchsorted(starts, ends)), max(len(numbered.dictionary), 1)
 
 
 def _overlap(
@@ -112,37 +178,54 @@ def _overlap(
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per order, three arrays by row: n-grams predicted, n-grams in the reference, matches.
 
-    The code of an n-gram is its row and units as the digits of one integer, so codes are
-    exact. Before they outgrow 62 bits they are replaced by dense ones.
+    The code of a place is its row and the units that begin there, as the digits of one integer,
+    with zeros after the end of the text, so codes are exact. Sorted once, the n-grams of every
+    order lie together, as beginnings of the longest. Before codes outgrow 62 bits they are
+    replaced by their ranks, which keep the order.
     """
-    units = np.concatenate([predicted[0], reference[0]])
+    units = np.concatenate([predicted[0], reference[0]]) + 1
     sizes = np.concatenate([predicted[1], reference[1]])
-    n_rows = len(predicted[1])
-    side = np.repeat(np.arange(2 * n_rows) >= n_rows, sizes).astype(np.int64)
+    n_rows, width = len(predicted[1]), int(alphabet).bit_length()
+    side = np.repeat(np.arange(2 * n_rows) >= n_rows, sizes)
     codes = np.repeat(np.arange(2 * n_rows) % max(n_rows, 1), sizes)
-    # How many n-grams begin at a unit or after it, in its text.
+    # How many units a text has from a place on.
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(units))
-    start = np.arange(len(units))
-    rows, bound, span = np.arange(n_rows), n_rows, 1
+    bits, ranked = n_rows.bit_length(), {}
+    for order in range(1, max_order + 1):
+        if bits + width > 62:
+            ranked[order - 1], codes = np.unique(codes, return_inverse=True)
+            bits = len(ranked[order - 1]).bit_length()
+        codes, bits = codes << width, bits + width
+        inside = len(units) - order + 1
+        if inside > 0:
+            codes[:inside] |= np.where(left[:inside] >= order, units[order - 1 :], 0)
+    ordered = np.sort(codes << 1 | side)
+    seen = np.concatenate([[0], np.cumsum(ordered & 1)])
+    grams = ordered >> 1
+    begins = np.flatnonzero(np.diff(grams, prepend=-1))
+    grams = grams[begins]
+
+    def shorter(codes: np.ndarray, order: int) -> np.ndarray:
+        codes = codes >> width
+        return ranked[order - 1][codes] if order - 1 in ranked else codes
+
+    row_of = grams
+    for order in range(max_order, 0, -1):
+        row_of = shorter(row_of, order)
+    matches = {}
+    for order in range(max_order, 0, -1):
+        ends = np.append(begins[1:], len(ordered))
+        wanted = seen[ends] - seen[begins]
+        clipped = np.minimum(wanted, ends - begins - wanted)
+        shared = np.flatnonzero((clipped > 0) & (grams & ((1 << width) - 1) > 0))
+        counted = np.bincount(row_of[shared], weights=clipped[shared], minlength=n_rows)
+        matches[order] = counted.astype(np.int64)
+        grams = shorter(grams, order)
+        first = np.diff(grams, prepend=-1) != 0
+        begins, grams, row_of = begins[first], grams[first], row_of[first]
     for order in range(1, max_order + 1):
-        inside = left[start] >= order
-        start, codes = start[inside], codes[inside]
-        if bound * alphabet >= 1 << 61:
-            codes, distinct = pd.factorize(codes)
-            rows, bound, span = rows[distinct // span], max(len(distinct), 1), 1
-        codes = codes * alphabet + units[start + order - 1]
-        bound, span = bound * alphabet, span * alphabet
-        # Sorted, an n-gram's copies in the prediction come right before those in the reference.
-        ordered = np.sort(codes * 2 + side[start])
-        begins = np.flatnonzero(np.diff(ordered, prepend=-1))
-        copies = np.diff(begins, append=len(ordered))
-        grams = ordered[begins]
-        shared = np.flatnonzero((np.diff(grams) == 1) & (grams[:-1] % 2 == 0))
-        clipped = np.minimum(copies[shared], copies[shared + 1])
-        row_of = rows[grams[shared] // 2 // span]
-        matches = np.bincount(row_of, weights=clipped, minlength=n_rows).astype(np.int64)
         totals = np.maximum(sizes - order + 1, 0)
-        yield totals[:n_rows], totals[n_rows:], matches
+        yield totals[:n_rows], totals[n_rows:], matches[order]
 
 
 def _slices(lengths: np.ndarray) -> Iterator[slice]:
@@ -182,12 +265,12 @@ def _integers(names: Sequence[str]) -> T.StructType:
 
 def bleu_sums(prediction: Column | str, reference: Column | str) -> Column:
     """A struct of the lengths, clipped matches and totals of a row's word 1- to 4-grams."""
-    names = bleu_fields()
+    names, cuts = bleu_fields(), _Cuts()
 
     def sums(predictions, references):
-        known = _PieceIds(_pieces_13a)
-        sides = [known.arrays(map(_words_13a, side)) for side in (predictions, references)]
-        orders = list(_overlap(*sides, len(known.ids) + 1, BLEU_ORDER))
+        letters, ends, starts = _letters(list(map(_text_13a, [*predictions, *references])))
+        *sides, alphabet = _pieces(letters, ends, _starts_13a(letters, starts, cuts))
+        orders = list(_overlap(*sides, alphabet, BLEU_ORDER))
         return [sides[0][1], sides[1][1], *[o[2] for o in orders], *[o[0] for o in orders]]
 
     @F.pandas_udf(_integers(names))
@@ -212,12 +295,10 @@ def chrf_sums(prediction: Column | str, reference: Column | str, word_order: int
         ]
 
     def sums(predictions, references):
-        letters = [_code_points(["".join(t.split()) for t in side]) for side in (predictions, references)]
-        values = counted(_overlap(*_dense(letters), CHAR_ORDER))
+        letters, ends, starts = _letters([*predictions, *references])
+        values = counted(_overlap(*_dense(_sides(letters, ends)), CHAR_ORDER))
         if word_order:
-            known = _PieceIds(_edge_pieces)
-            sides = [known.arrays(map(str.split, side)) for side in (predictions, references)]
-            values += counted(_overlap(*sides, len(known.ids) + 1, word_order))
+            values += counted(_overlap(*_pieces(letters, ends, _edge_starts(letters, starts)), word_order))
         return values
 
     @F.pandas_udf(_integers(names))

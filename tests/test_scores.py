@@ -190,3 +190,30 @@ def test_row_sums_are_added_before_the_shuffle(spark, random_pairs):
     df = spark.createDataFrame(random_pairs, "prediction string, tgt string").withColumn("g", F.lit(1))
     plan = S.score_groups(S.with_row_sums(df), ["g"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_sum" in plan
+
+
+def test_pieces_of_a_slice_are_those_of_each_text(random_pairs, monkeypatch):
+    choose = random.Random(2)
+    units = "ab5.,- \n\t&;!'कु\u3000$_/\u00b2\x1f😀\u4e2d"
+    texts = ["".join(choose.choice(units) for _ in range(choose.randint(0, 14))) for _ in range(4000)]
+    texts += [text for pair in random_pairs for text in pair]
+    assert all(not len(part) for part in O._letters(["", " "])[::2])
+    monkeypatch.setattr(O, "KNOWN_WORDS", 50)
+
+    def pieces(letters, ends, starts):
+        inside = [starts[(starts >= a) & (starts < b)] for a, b in zip(ends, ends[1:])]
+        whole = "".join(map(chr, letters))
+        return [[whole[a:b] for a, b in zip(at, [*at[1:], end])] for at, end in zip(inside, ends[1:])]
+
+    letters, ends, starts = O._letters(list(map(O._text_13a, texts)))
+    assert pieces(letters, ends, O._starts_13a(letters, starts, O._Cuts())) == list(map(O.tokenize_13a, texts))
+    letters, ends, starts = O._letters(texts)
+    assert pieces(letters, ends, O._edge_starts(letters, starts)) == list(map(python_edges, texts))
+
+
+@pytest.mark.parametrize("alphabet", [0x110000, 1 << 40])
+def test_all_orders_are_made_by_one_sort(random_pairs, monkeypatch, alphabet):
+    sorts, sort = [], O.np.sort
+    monkeypatch.setattr(O.np, "sort", lambda codes: sorts.append(len(codes)) or sort(codes))
+    letters = [O._code_points(side) for side in zip(*random_pairs)]
+    assert len(list(O._overlap(*letters, alphabet, 6))) == 6 and len(sorts) == 1
