@@ -359,20 +359,48 @@ def encode(docs: DataFrame, tokenizer: str, text_column: str = "text", ids_colum
     return docs.mapInArrow(partial(_with_ids, path=tokenizer, at=at, schema=to_arrow_schema(schema)), schema)
 
 
+class Decoder:
+    """Ids to UTF-8, by gathering the bytes of the tokens of many texts at once."""
+
+    #: Tokens gathered at a time.
+    MOST = 1 << 20
+
+    def __init__(self, path: str) -> None:
+        known = vocabulary(path)
+        table = dict(known.bytes) | {i: mark.encode() for mark, i in known.special.items()}
+        tokens = [table.get(i, b"") for i in range(max(table) + 1)]
+        self.sizes = np.array([len(token) for token in tokens], dtype=np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def _gather(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[ids]
+        shift = self.begins[ids] - (np.cumsum(sizes) - sizes)
+        return self.bytes[np.repeat(shift, sizes) + np.arange(sizes.sum())]
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        flat, lengths = ids.flatten().to_numpy(), ids.value_lengths().fill_null(0).to_numpy()
+        places = np.concatenate([[0], np.cumsum(self.sizes[flat])])
+        ends = places[np.concatenate([[0], np.cumsum(lengths)])]
+        parts = [self._gather(flat[at : at + self.MOST]) for at in range(0, len(flat), self.MOST)]
+        data = np.concatenate([*parts, np.empty(0, dtype=np.uint8)])
+        firsts = data[ends[:-1][ends[:-1] < len(data)]]
+        raw = data.tobytes()
+        if len(data) < 2**31 and not ((firsts & 0xC0) == 0x80).any():
+            try:  # characters that are whole over all texts, and begin with each text, are whole in each
+                raw.decode("utf-8")
+                return pa.StringArray.from_buffers(len(ids), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw))
+            except UnicodeDecodeError:
+                pass
+        return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.string())
+
+
 def _with_text(batches: Iterator[pa.RecordBatch], path: str, at: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    known = vocabulary(path)
-    table = dict(known.bytes) | {i: mark.encode() for mark, i in known.special.items()}
-    tokens = [table.get(i, b"") for i in range(max(table) + 1)]
+    decoder = Decoder(path)
     for batch in batches:
         for begin in range(0, batch.num_rows, 256):
             part = batch.slice(begin, 256)
-            ids = part.column(at)
-            flat, ends = ids.flatten().to_pylist(), np.cumsum([0, *(n or 0 for n in ids.value_lengths().to_pylist())])
-            texts = [
-                b"".join(map(tokens.__getitem__, flat[a:b])).decode("utf-8", "replace")
-                for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())
-            ]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, type=pa.string())], schema=schema)
+            yield pa.RecordBatch.from_arrays([*part.columns, decoder.decode(part.column(at))], schema=schema)
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids_column: str = "ids", text_column: str = "decoded") -> DataFrame:

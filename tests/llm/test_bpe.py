@@ -2,10 +2,11 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from helpers import LONG, ROWS, awkward
-from paralane.llm.bpe import Encoder, Vocabulary, decode, encode, round_trip_digests
+from paralane.llm.bpe import Decoder, Encoder, Vocabulary, decode, encode, round_trip_digests
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ALPHABET = "aAbtEe' \n\t\r\x0b\x1c\x85\xa0 　​é漢字😀09²Ⅷ٣क्षि<|>sre_.,!?́"
@@ -64,3 +65,15 @@ def test_ids_that_are_no_text(spark):
     library = Tokenizer.from_file(PATH)
     rows = [r["decoded"] for r in decode(docs, PATH).collect()]
     assert rows == [library.decode([128, 50256, 7], skip_special_tokens=False), "", ""]
+
+
+def test_texts_are_gathered_together(monkeypatch):
+    """Half characters at the ends of texts, which whole would be beside each other, stay halves."""
+    library, some = Tokenizer.from_file(PATH), list(texts())[::7]
+    rows = [library.encode(text, add_special_tokens=False).ids for text in some]
+    single = Vocabulary(PATH).single
+    split = [[single[b] for b in part] for part in ("é".encode()[:1], "é".encode()[1:], b"a\xf0\x9f", b"\x98\x80b", b"\xff")]
+    monkeypatch.setattr(Decoder, "MOST", 5)
+    for ids in (rows, split, [*rows, *split, []], [], [None, [], split[1]]):
+        found = Decoder(PATH).decode(pa.array(ids, pa.list_(pa.int32()))).to_pylist()
+        assert found == [library.decode(x or [], skip_special_tokens=False) for x in ids]
