@@ -84,7 +84,7 @@ class Seen:
         known.update({word: self.old[word] for word in missing if word in self.old})
         known.update(work([word for word in missing if word not in known]))
         for i in open_:
-            found[i] = list(map(known.__getitem__, lists[i]))
+            found[i] = [known[word] if value is None else value for word, value in zip(lists[i], found[i])]
         for word in missing:
             if len(word) > self.longest:
                 del known[word]

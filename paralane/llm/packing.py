@@ -24,19 +24,40 @@ PARTS = re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\s{
 _OTHER = re.compile("[^\n\x21-\x84\x86-\x9f\xa1-\xff]|<\\|")
 
 
+_SPACES = np.zeros(256, dtype=bool)
+_SPACES[list(b" \t\n\r\x0b\x0c")] = True
+
+
+def numbered_words(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words between ASCII white space of all texts in order, and how many each text has."""
+    letters = np.frombuffer(b" ".join(texts), dtype=np.uint8)
+    solid = ~_SPACES[letters]
+    heads = np.flatnonzero(solid & ~np.concatenate([[False], solid])[:-1])
+    place = np.concatenate([[0], np.cumsum(solid)])
+    bounds = np.append(place[heads], place[-1])
+    buffers = [None, pa.py_buffer(bounds), pa.py_buffer(letters[solid])]
+    words = pa.Array.from_buffers(pa.large_binary(), len(heads), buffers).dictionary_encode()
+    ends = np.cumsum([len(text) + 1 for text in texts])
+    return words, np.diff(np.searchsorted(heads, ends), prepend=0)
+
+
+class Inseparable(Exception):
+    """The ids of words that were encoded together cannot be told apart."""
+
+
 class WordEncoder:
     """The ids of whole texts by the tokenizers library, for a vocabulary that drops white space.
 
     Words between ASCII white space are independent of each other there, so each is encoded once
-    and then looked up. New words are encoded together, and taken apart at the tokens that end a
-    part of a word; words with other than Latin-1 characters are encoded one by one.
+    and then looked up. Of new words the parts that are new, in lower case, are encoded together, and
+    taken apart at the tokens that end a part of a word; words with other than Latin-1 characters are encoded one by one.
     """
 
     def __init__(self, path: str, size: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.seen = Tokenizer.from_file(path), Seen(size)
+        self.tokenizer, self.seen, self.parts = Tokenizer.from_file(path), Seen(size), Seen(size)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         words = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -44,20 +65,32 @@ class WordEncoder:
         self.ends[[i for word, i in words.items() if word.endswith("</w>")]] = True
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype=np.uint32) for x in found]
 
+    def _part_ids(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of new parts of words, encoded together."""
+        if not parts:
+            return {}
+        ids = self._ids(["\n".join(parts)])[0]
+        last = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
+        if len(parts) != len(last) - 1 or last[-1] != len(ids):
+            raise Inseparable
+        cuts, flat = (4 * last).tolist(), ids.tobytes()
+        return {part: flat[a:b] for part, a, b in zip(parts, cuts, cuts[1:])}
+
     def _together(self, words: list[bytes], lines: str) -> dict[bytes, bytes] | None:
         """The ids of words of Latin-1 characters, or None if they cannot be told apart."""
         parts = PARTS.findall(lines.lower())
-        breaks = np.array([i for i, part in enumerate(parts) if part == "\n"], dtype=np.int64)
-        ends = np.append(breaks - np.arange(len(breaks)), len(parts) - len(breaks))
-        ids = self._ids([lines])[0]
-        last = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
-        if len(ends) != len(words) or ends[-1] != len(last) - 1 or last[-1] != len(ids):
+        breaks = [i for i, part in enumerate(parts) if part == "\n"]
+        if len(breaks) + 1 != len(words):
+            return None
+        ends = [at - i for i, at in enumerate([*breaks, len(parts)])]
+        try:
+            found = self.parts.all([[part for part in parts if part != "\n"]], self._part_ids)[0]
+        except Inseparable:
             return None
-        cuts, flat = [0, *(4 * last[ends]).tolist()], ids.tobytes()
-        return {word: flat[a:b] for word, a, b in zip(words, cuts, cuts[1:])}
+        return {word: b"".join(found[a:b]) for word, a, b in zip(words, [0, *ends], [*ends[:-1], len(found)])}
 
     def _work_out(self, words: list[bytes]) -> dict[bytes, bytes]:
         if not words:
@@ -75,8 +108,20 @@ class WordEncoder:
         return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text, as unsigned 32-bit little-endian numbers."""
-        return list(map(b"".join, self.seen.all([text.split() for text in texts], self._work_out)))
+        """The ids of each text, as unsigned 32-bit little-endian numbers.
+
+        The texts' words are numbered together, and only distinct ones are looked up.
+        """
+        words, counts = numbered_words(texts)
+        known = self.seen.all([words.dictionary.to_numpy(zero_copy_only=False).tolist()], self._work_out)[0]
+        sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        flat, codes = np.frombuffer(b"".join(known), dtype=np.uint32), words.indices.to_numpy()
+        taken, begins = sizes[codes], np.cumsum(sizes) - sizes
+        places = np.concatenate([[0], np.cumsum(taken)])
+        ids = flat[np.repeat(begins[codes] - places[:-1], taken) + np.arange(places[-1])]
+        ends = (4 * places[np.concatenate([[0], np.cumsum(counts)])]).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=1)

@@ -22,6 +22,18 @@ def test_ids_equal_those_of_the_library():
             assert np.frombuffer(ids, dtype=np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_a_word_of_many_texts_is_looked_up_once(monkeypatch):
+    encoder, asked = WordEncoder(PATH), []
+    look_up = encoder.seen.all
+    monkeypatch.setattr(encoder.seen, "all", lambda lists, work: asked.extend(lists) or look_up(lists, work))
+    some = [b"", b" the\tof ", b"the the\x0bof\x1cof\xc2\xa0x", b"\n", b"of"]
+    library = Tokenizer.from_file(PATH)
+    for _ in range(2):
+        for text, ids in zip(some, encoder.encode(some)):
+            assert np.frombuffer(ids, np.uint32).tolist() == library.encode(text.decode(), add_special_tokens=False).ids
+    assert [len(words) for words in asked] == [3, 3] and encoder.encode([]) == []
+
+
 def test_knapsack():
     random.seed(1)
     for _ in range(40):
