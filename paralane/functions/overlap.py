@@ -7,7 +7,6 @@ leave the row, so nothing of their number is shuffled.
 import re
 import string
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -58,6 +57,13 @@ def tokenize_13a(text: str) -> list[str]:
     return [piece for word in _text_13a(text).split() for piece in _pieces_13a(word)]
 
 
+def _texts_13a(texts: Sequence[str]) -> Sequence[str]:
+    """Texts of the same words as those of ``_text_13a``: unchanged if none holds what it replaces."""
+    whole = "".join(texts)
+    held = any(some in whole for some in ("&", "<skipped>", "-\n"))
+    return list(map(_text_13a, texts)) if held else texts
+
+
 def _code_points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     joined = "".join(texts).encode("utf-32-le", "surrogatepass")
@@ -66,9 +72,11 @@ def _code_points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _dense(sides: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple:
     """Both sides with small numbers for their code points, and how many there are."""
-    codes, distinct = pd.factorize(np.concatenate([units for units, _ in sides]))
-    parts = np.split(codes, [len(sides[0][0])])
-    return (parts[0], sides[0][1]), (parts[1], sides[1][1]), max(len(distinct), 1)
+    units = np.concatenate([units for units, _ in sides])
+    present = np.zeros(int(units.max(initial=0)) + 1, dtype=bool)
+    present[units] = True
+    parts = np.split((np.cumsum(present) - 1)[units], [len(sides[0][0])])
+    return (parts[0], sides[0][1]), (parts[1], sides[1][1]), max(int(present.sum()), 1)
 
 
 def _table(characters: str) -> np.ndarray:
@@ -78,17 +86,21 @@ def _table(characters: str) -> np.ndarray:
     return table
 
 
-SPACES, PUNCTUATION, STOPS = _table(WHITESPACE), _table(string.punctuation), _table(".,")
+SPACES, PUNCTUATION = _table(WHITESPACE), _table(string.punctuation)
+# What the 13a tokenizer tells apart. It always parts the first; stops and dashes it parts
+# by the digits next to them.
+APART, STOP, DASH, DIGIT = 1, 2, 4, 8
+KINDS = (
+    _table("".join(filter(WORD_STEPS[0][0].match, map(chr, range(128))))) * np.uint8(APART),
+    _table(".,") * np.uint8(STOP),
+    _table("-") * np.uint8(DASH),
+    _table(string.digits) * np.uint8(DIGIT),
+)
+KINDS = sum(np.pad(kind, (0, 128 - len(kind))) for kind in KINDS)
 
 
 def _among(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
-    return table[np.minimum(codes, len(table) - 1)]
-
-
-@lru_cache(maxsize=None)
-def _alphanumeric(bits: int) -> np.ndarray:
-    """Whether code points of so many bits are letters or digits."""
-    return np.array([chr(code).isalnum() for code in range(min(1 << bits, 0x110000))])
+    return table.take(codes, mode="clip")
 
 
 def _letters(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,11 +115,14 @@ def _letters(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes[solid], place[ends], place[np.flatnonzero(solid & ~before[:-1])]
 
 
-def _spans(letters: np.ndarray, starts: np.ndarray) -> pa.DictionaryArray:
-    """Equal spans of letters get equal numbers. A span ends where the next one starts."""
-    offsets = np.append(starts, len(letters)) * 4
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters.astype("<u4"))]
-    return pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+def _spans(letters: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, int]:
+    """Equal spans of letters get equal numbers; how many there are. A span ends where the next one starts."""
+    most = int(letters.max(initial=0))
+    narrow = letters.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+    offsets = np.append(starts, len(letters)) * narrow.itemsize
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(narrow)]
+    spans = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    return spans.indices.to_numpy().astype(np.int64), len(spans.dictionary)
 
 
 def _edge_starts(letters: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -123,36 +138,39 @@ def _edge_starts(letters: np.ndarray, starts: np.ndarray) -> np.ndarray:
 class _Cuts(dict):
     """The places inside of words where the 13a tokenizer cuts them."""
 
-    def __missing__(self, word: bytes) -> np.ndarray:
+    def __missing__(self, word: str) -> np.ndarray:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        pieces = _pieces_13a(word.decode("utf-32-le", "surrogatepass"))
-        found = self[word] = np.cumsum([0, *map(len, pieces)])[1:-1]
+        found = self[word] = np.cumsum([0, *map(len, _pieces_13a(word))])[1:-1]
         return found
 
 
 def _starts_13a(letters: np.ndarray, starts: np.ndarray, cuts: _Cuts) -> np.ndarray:
     """The starts of the pieces of words. The tokenizer adds spaces, so pieces are spans of a word.
 
-    Words of letters and digits are whole, also before a last stop. Of the others each distinct one
-    of a slice is looked up.
+    A mark is parted by what it is and by whether digits are next to it. Only where stops or dashes
+    follow each other does it matter which the tokenizer takes first; such words are looked up.
     """
+    begun = np.zeros(len(letters) + 2, dtype=bool)
+    begun[starts] = begun[len(letters)] = True
+    kinds = np.append(_among(letters, KINDS), np.uint8(0))
+    marks = np.flatnonzero(kinds & (APART | STOP | DASH))
+    kind, first, last = kinds[marks], begun[marks], begun[marks + 1]
+    left = ~first & (kinds[marks - 1] & DIGIT > 0)
+    right = ~last & (kinds[marks + 1] & DIGIT > 0)
+    parted = np.where(kind == STOP, ~(left & right), (kind == APART) | left)
+    runs = (kind != APART) & ~last & (kinds[marks + 1] & (STOP | DASH) > 0)
     ends = np.append(starts, len(letters))[1:]
-    marks = ~_alphanumeric(int(letters.max(initial=0)).bit_length())[letters]
-    before = np.concatenate([[0], np.cumsum(marks)])
-    n_marks, sizes = before[ends] - before[starts], ends - starts
-    stopped = (sizes > 1) & (n_marks == 1) & _among(letters[ends - 1], STOPS)
-    others = np.flatnonzero((sizes > 1) & (n_marks > 0) & ~stopped)
-    begins, sizes = starts[others], sizes[others]
-    offsets = np.cumsum(sizes) - sizes
-    words = _spans(letters[np.repeat(begins - offsets, sizes) + np.arange(sizes.sum())], offsets)
-    known = [cuts[word] for word in words.dictionary.to_pylist()]
-    codes = words.indices.to_numpy()
-    counts = np.array([len(some) for some in known], dtype=np.int64)
-    flat = np.concatenate([*known, np.empty(0, dtype=np.int64)])
-    spans, firsts = counts[codes], np.cumsum(counts) - counts
-    inner = flat[np.repeat(firsts[codes] - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())]
-    return np.sort(np.concatenate([starts, ends[stopped] - 1, np.repeat(begins, spans) + inner]))
+    others = np.unique(np.searchsorted(starts, marks[runs], side="right") - 1)
+    if len(others):
+        home = np.searchsorted(starts, marks, side="right") - 1
+        parted &= ~np.isin(home, others)
+    parted = marks[parted]
+    begun[parted] = begun[parted + 1] = True
+    for begin, end in zip(starts[others].tolist(), ends[others].tolist()):
+        word = letters[begin:end].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        begun[begin + cuts[word]] = True
+    return np.flatnonzero(begun[: len(letters)])
 
 
 def _sides(units: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -165,9 +183,16 @@ def _sides(units: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.nda
 
 def _pieces(letters: np.ndarray, ends: np.ndarray, starts: np.ndarray) -> tuple:
     """Both sides as numbers of the pieces that start at some letters, and how many numbers there are."""
-    numbered = _spans(letters, starts)
-    units = numbered.indices.to_numpy().astype(np.int64)
-    return *_sides(units, np.searchsorted(starts, ends)), max(len(numbered.dictionary), 1)
+    units, distinct = _spans(letters, starts)
+    return *_sides(units, np.searchsorted(starts, ends)), max(distinct, 1)
+
+
+def _changes(ordered: np.ndarray) -> np.ndarray:
+    """The digits in which each code differs from the one before it; the first one in all."""
+    changes = np.empty_like(ordered)
+    changes[:1] = 1 << 62
+    np.bitwise_xor(ordered[1:], ordered[:-1], out=changes[1:])
+    return changes
 
 
 def _overlap(
@@ -178,51 +203,57 @@ def _overlap(
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per order, three arrays by row: n-grams predicted, n-grams in the reference, matches.
 
-    The code of a place is its row and the units that begin there, as the digits of one integer,
-    with zeros after the end of the text, so codes are exact. Sorted once, the n-grams of every
-    order lie together, as beginnings of the longest. Before codes outgrow 62 bits they are
-    replaced by their ranks, which keep the order.
+    The code of a place is its row and the units that begin there, as the digits of one integer, so
+    codes are exact. Sorted once, the n-grams of every order lie together, as beginnings of the
+    longest: where two neighbours differ tells of which orders a new n-gram begins. Before codes
+    outgrow 62 bits they are replaced by their ranks, which keep the order.
+
+    After each text stands a unit that only its side has, so what runs past a text's end matches
+    nothing. Of c places in a row whose n-grams occur h and r times, (c - sum of |h - r|) / 2 match.
     """
-    units = np.concatenate([predicted[0], reference[0]]) + 1
     sizes = np.concatenate([predicted[1], reference[1]])
-    n_rows, width = len(predicted[1]), int(alphabet).bit_length()
-    side = np.repeat(np.arange(2 * n_rows) >= n_rows, sizes)
-    codes = np.repeat(np.arange(2 * n_rows) % max(n_rows, 1), sizes)
-    # How many units a text has from a place on.
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(units))
+    n_rows, width = len(predicted[1]), (int(alphabet) + 1).bit_length()
+    ends = np.cumsum(sizes + 1)
+    n_places = int(ends[-1]) if len(ends) else 0
+    units = np.zeros(n_places + max_order - 1, dtype=np.int64)
+    inside = np.ones(n_places, dtype=bool)
+    inside[ends - 1] = False
+    units[:n_places][inside] = np.concatenate([predicted[0], reference[0]])
+    units[:n_places] += 2
+    units[ends - 1] = np.arange(2 * n_rows) >= n_rows
+    rows = np.arange(2 * n_rows) % max(n_rows, 1)
+    codes = np.repeat(rows, sizes + 1)
     bits, ranked = n_rows.bit_length(), {}
     for order in range(1, max_order + 1):
         if bits + width > 62:
             ranked[order - 1], codes = np.unique(codes, return_inverse=True)
             bits = len(ranked[order - 1]).bit_length()
-        codes, bits = codes << width, bits + width
-        inside = len(units) - order + 1
-        if inside > 0:
-            codes[:inside] |= np.where(left[:inside] >= order, units[order - 1 :], 0)
-    ordered = np.sort(codes << 1 | side)
-    seen = np.concatenate([[0], np.cumsum(ordered & 1)])
-    grams = ordered >> 1
-    begins = np.flatnonzero(np.diff(grams, prepend=-1))
-    grams = grams[begins]
-
-    def shorter(codes: np.ndarray, order: int) -> np.ndarray:
-        codes = codes >> width
-        return ranked[order - 1][codes] if order - 1 in ranked else codes
-
-    row_of = grams
-    for order in range(max_order, 0, -1):
-        row_of = shorter(row_of, order)
-    matches = {}
+        codes <<= width
+        codes |= units[order - 1 : order - 1 + n_places]
+        bits += width
+    codes <<= 1
+    codes[ends[n_rows - 1] if n_rows else 0 :] |= 1
+    grams = np.sort(codes)
+    # How many more predicted n-grams than others come before a place, and where the rows begin.
+    before = np.cumsum(1 - ((grams & 1) << 1))
+    last = before[-1:].sum()
+    before = np.concatenate([[0], before[:-1]])
+    places = sizes[:n_rows] + sizes[n_rows:] + 2
+    starts = np.cumsum(places) - places
+    matches, top, low = {}, max_order, 1
+    changes = _changes(grams)
     for order in range(max_order, 0, -1):
-        ends = np.append(begins[1:], len(ordered))
-        wanted = seen[ends] - seen[begins]
-        clipped = np.minimum(wanted, ends - begins - wanted)
-        shared = np.flatnonzero((clipped > 0) & (grams & ((1 << width) - 1) > 0))
-        counted = np.bincount(row_of[shared], weights=clipped[shared], minlength=n_rows)
-        matches[order] = counted.astype(np.int64)
-        grams = shorter(grams, order)
-        first = np.diff(grams, prepend=-1) != 0
-        begins, grams, row_of = begins[first], grams[first], row_of[first]
+        shift = low + width * (top - order)
+        begins = np.flatnonzero(changes >= 1 << shift)
+        surplus = before[begins]
+        surplus[:-1] -= surplus[1:]
+        surplus[-1:] -= last
+        np.abs(surplus, out=surplus)
+        matches[order] = (places - np.add.reduceat(surplus, np.searchsorted(begins, starts))) >> 1
+        if order - 1 in ranked:
+            grams = ranked[order - 1][grams[begins] >> (shift + width)]
+            starts, before = np.searchsorted(begins, starts), before[begins]
+            changes, top, low = _changes(grams), order - 1, 0
     for order in range(1, max_order + 1):
         totals = np.maximum(sizes - order + 1, 0)
         yield totals[:n_rows], totals[n_rows:], matches[order]
@@ -268,7 +299,7 @@ def bleu_sums(prediction: Column | str, reference: Column | str) -> Column:
     names, cuts = bleu_fields(), _Cuts()
 
     def sums(predictions, references):
-        letters, ends, starts = _letters(list(map(_text_13a, [*predictions, *references])))
+        letters, ends, starts = _letters(_texts_13a([*predictions, *references]))
         *sides, alphabet = _pieces(letters, ends, _starts_13a(letters, starts, cuts))
         orders = list(_overlap(*sides, alphabet, BLEU_ORDER))
         return [sides[0][1], sides[1][1], *[o[2] for o in orders], *[o[0] for o in orders]]

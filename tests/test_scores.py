@@ -217,3 +217,21 @@ def test_all_orders_are_made_by_one_sort(random_pairs, monkeypatch, alphabet):
     monkeypatch.setattr(O.np, "sort", lambda codes: sorts.append(len(codes)) or sort(codes))
     letters = [O._code_points(side) for side in zip(*random_pairs)]
     assert len(list(O._overlap(*letters, alphabet, 6))) == 6 and len(sorts) == 1
+
+
+def test_words_are_looked_up_only_where_stops_or_dashes_follow_each_other(random_pairs, monkeypatch):
+    asked, pieces = [], O._pieces_13a
+    monkeypatch.setattr(O, "_pieces_13a", lambda word: asked.append(word) or pieces(word))
+    choose = random.Random(11)
+    single = ["".join(choose.choice(["a", "7", "-", ",", "(", "'", "/", "é"]) for _ in range(9)) for _ in range(3000)]
+    single = [word for word in single if not any(a in ".,-" and b in ".,-" for a, b in zip(word, word[1:]))]
+    texts = [*(text for pair in random_pairs for text in pair), *single]
+    letters, ends, starts = O._letters(texts)
+    found = O._starts_13a(letters, starts, O._Cuts())
+    assert not asked and len(single) > 1000
+    whole = "".join(map(chr, letters))
+    parts = [whole[a:b] for a, b in zip(found, [*found[1:], len(whole)])]
+    assert parts == [part for text in texts for part in O.tokenize_13a(text)]
+    letters, _, starts = O._letters(["1,-2 a..b", "x-y"])
+    O._starts_13a(letters, starts, O._Cuts())
+    assert asked[-2:] == ["1,-2", "a..b"]
