@@ -16,6 +16,8 @@ SPACE = (
     r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0"
     r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]"
 )
+# Whatever may be whitespace other than U+0020. Few texts hold any, and the test for it is cheap.
+_OTHER_SPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680-\u3000]"
 # Zero-width characters, marks of direction and the byte-order mark.
 ZERO_WIDTH = r"[\u200b-\u200f\ufeff]"
 # A character that Python's \w matches and \d does not.
@@ -36,7 +38,9 @@ def strip(value: Column | str) -> Column:
 
 def words(value: Column | str) -> Column:
     """The whitespace-separated words, as an array without empty strings."""
-    return F.array_remove(F.split(_col(value), SPACE, -1), "")
+    text = _col(value)
+    one_kind = F.when(F.rlike(text, F.lit(_OTHER_SPACE)), F.regexp_replace(text, SPACE, " ")).otherwise(text)
+    return F.array_remove(F.split(one_kind, " ", -1), "")
 
 
 def word_count(value: Column | str) -> Column:

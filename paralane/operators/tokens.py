@@ -213,9 +213,12 @@ def truncate_ids(ids: Column | str, max_length: int) -> Column:
 
 def shift_right(labels: Column | str, start_id: int, pad_id: int, label_padding: int = LABEL_PADDING) -> Column:
     """Decoder inputs: the start id, then the labels but the last, unmasked."""
-    shown = F.transform(
+    unmasked = F.transform(
         labels, lambda token: F.when(token == label_padding, F.lit(pad_id)).otherwise(token)
     )
+    shown = F.when(F.array_contains(labels, F.lit(label_padding)), unmasked).otherwise(
+        F.col(labels) if isinstance(labels, str) else labels
+    )
     start = F.array(F.lit(start_id).cast("int"))
     return F.when(F.size(shown) > 0, F.concat(start, F.slice(shown, 1, F.size(shown) - 1))).otherwise(shown)
 
@@ -246,13 +249,13 @@ def padded_batches(
 
     numbered = tokens.withColumn("batch_id", F.floor(position / batch_size).cast("bigint"))
     sized = numbered.withColumns({"__inputs": goal("input_ids"), "__labels": goal("labels")})
-    padded = sized.withColumns(
-        {
-            "input_ids": pad("input_ids", "__inputs", pad_id),
-            "attention_mask": pad("attention_mask", "__inputs", 0),
-            "labels": pad("labels", "__labels", label_padding),
-        }
-    ).drop("__inputs", "__labels")
-    if "decoder_input_ids" in tokens.columns:
-        return padded
-    return padded.withColumn("decoder_input_ids", shift_right("labels", start_id, pad_id, label_padding))
+    columns = {
+        "input_ids": pad("input_ids", "__inputs", pad_id),
+        "attention_mask": pad("attention_mask", "__inputs", 0),
+        "labels": pad("labels", "__labels", label_padding),
+    }
+    if "decoder_input_ids" not in tokens.columns:
+        # Padded with what the mask would be replaced by, so nothing is to be unmasked one by one.
+        sized = sized.withColumn("__shown", pad("labels", "__labels", pad_id))
+        columns["decoder_input_ids"] = shift_right("__shown", start_id, pad_id, label_padding)
+    return sized.withColumns(columns).drop("__inputs", "__labels", "__shown")

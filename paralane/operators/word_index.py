@@ -1,11 +1,12 @@
 """A vocabulary of any size as sorted files in the shared folder, looked up inside each row."""
 
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -18,9 +19,13 @@ SLICE_WORDS = 1 << 20
 MOST_SLICES = 1 << 16
 
 
-def _key(word: Column) -> Column:
+def _hashes() -> list[Callable[[Column], Column]]:
     """The two hashes that stand for a word."""
-    return F.struct(F.xxhash64(word).alias("key"), F.xxhash64(F.lit(1), word).alias("check"))
+    return [lambda word: F.xxhash64(word), lambda word: F.xxhash64(F.lit(1), word)]
+
+
+def _key(word: Column) -> Column:
+    return F.struct(*[one(word).alias(name) for one, name in zip(_hashes(), ("key", "check"))])
 
 
 def _place(path: str) -> tuple[fs.FileSystem, str]:
@@ -70,7 +75,11 @@ class WordIndex:
 
     def find(self, keys: np.ndarray, checks: np.ndarray, unknown: int) -> np.ndarray:
         """The ids of some words by their hashes. Each distinct key is searched once, in ascending order."""
-        asked, back = np.unique(keys, return_inverse=True)
+        codes, distinct = pd.factorize(keys)
+        order = np.argsort(distinct)
+        asked, place = distinct[order], np.empty(len(distinct), dtype=np.int64)
+        place[order] = np.arange(len(distinct))
+        back = place[codes]
         found = np.full(len(asked), unknown, dtype=np.int32)
         second = np.zeros(len(asked), dtype=np.uint64)
         known = np.zeros(len(asked), dtype=bool)
@@ -84,11 +93,10 @@ class WordIndex:
                 second[begin:end], found[begin:end] = controls[at], ids[at]
         return np.where(known[back] & (second[back] == checks), found[back], np.int32(unknown))
 
-    def ids(self, words: pa.ListArray, unknown: int) -> pa.ListArray:
-        """Lists of ids of lists of hashes."""
-        hashes = words.flatten()
-        keys, checks = (part.to_numpy(zero_copy_only=False).view(np.uint64) for part in hashes.flatten())
-        lengths = words.value_lengths().to_numpy(zero_copy_only=False)
+    def ids(self, first: pa.ListArray, second: pa.ListArray, unknown: int) -> pa.ListArray:
+        """Lists of ids of lists of words, by their two hashes."""
+        keys, checks = (part.flatten().to_numpy(zero_copy_only=False).view(np.uint64) for part in (first, second))
+        lengths = first.value_lengths().to_numpy(zero_copy_only=False)
         offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.find(keys, checks, unknown)))
 
@@ -145,7 +153,10 @@ def indexed_ids(index: WordIndex, words: Mapping[str, Column], unknown: int) ->
     @F.arrow_udf(schema)
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for rows in batches:
-            yield pa.StructArray.from_arrays([index.ids(part, unknown) for part in rows.flatten()], names)
+            parts = rows.flatten()
+            found = [index.ids(*parts[i : i + 2], unknown) for i in range(0, len(parts), 2)]
+            yield pa.StructArray.from_arrays(found, names)
 
-    hashes = [F.transform(some, _key).alias(name) for name, some in words.items()]
+    # An array per hash: a struct per word would take longer to make and to send than the hashes.
+    hashes = [F.transform(some, one).alias(f"{name}{i}") for name, some in words.items() for i, one in enumerate(_hashes())]
     return find.asNondeterministic()(F.struct(*hashes))
