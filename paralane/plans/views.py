@@ -1,6 +1,6 @@
 """Tables of translation pairs made from general text tables."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paralane.functions import text as X
 from paralane.operators.rules import build_rules
@@ -58,6 +58,35 @@ def line_pairs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The ids of a block differ in this many last bits: 16 documents meet, beside copies of the next ones.
+BLOCK_BITS = 4
+
+
+def beside_next(documents: DataFrame, count: int) -> DataFrame:
+    """Each document as a struct ``d0``, beside the next ones by id as ``d1``, ``d2``, ...: rows as of a
+    join for each.
+
+    Blocks of ids are grouped. A document is shuffled once, and a second time if it follows one of
+    another block.
+    """
+    homes = [F.shiftright(F.col("doc_id") - shift, BLOCK_BITS) for shift in range(count)]
+    placed = documents.where(F.col("doc_id").isNotNull()).select(
+        F.explode(F.array_distinct(F.array(*homes))).alias("block"), F.struct("*").alias("document")
+    )
+    blocks = placed.groupBy("block").agg(F.collect_list("document").alias("documents"))
+    own = F.filter("documents", lambda document: F.shiftright(document["doc_id"], BLOCK_BITS) == F.col("block"))
+    rows = F.transform(own, lambda document: F.struct(document.alias("d0")))
+    for shift in range(1, count):
+        rows = F.flatten(F.transform(rows, lambda row: _with_next(row, shift)))
+    return blocks.select(F.inline(rows))
+
+
+def _with_next(row: Column, shift: int) -> Column:
+    others = F.filter("documents", lambda other: other["doc_id"] - shift == row["d0"]["doc_id"])
+    known = [row[f"d{i}"].alias(f"d{i}") for i in range(shift)]
+    return F.transform(others, lambda other: F.struct(*known, other.alias(f"d{shift}")))
+
+
 def scored_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Line pairs with a faulty prediction: the target without each fifth word."""
     pairs = line_pairs(spark, folder)

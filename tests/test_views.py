@@ -10,6 +10,26 @@ from paralane.plans import queries as Q, views as V
 FOLDER = "/root/testdata/sf0.001"
 
 
+@pytest.mark.parametrize("count", [1, 2, 3])
+def test_documents_beside_the_next_ones(spark, count):
+    choose = random.Random(count)
+    rows = [(choose.choice([choose.randint(-40, 40), None]), f"t{i}") for i in range(120)]
+    found = V.beside_next(spark.createDataFrame(rows, "doc_id long, text string"), count)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    expected = [(row,) for row in rows if row[0] is not None]
+    for shift in range(1, count):
+        expected = [(*known, row) for known in expected for row in rows if row[0] == known[0][0] + shift]
+    assert sorted(tuple(map(tuple, row)) for row in found.collect()) == sorted(expected)
+
+
+def test_text_files_shuffle_a_document_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(Q, "write_text_files", lambda rows, *_: plans.append(rows))
+    Q._written_text_files(spark, FOLDER)
+    assert plans[0]._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(block") == 1
+    assert "Join" not in plans[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_batches_are_made_of_pairs_that_were_joined_once(spark):
     files = Q.padded_token_batches(spark, FOLDER).inputFiles()
     assert files and not any("documents.parquet" in file for file in files)
