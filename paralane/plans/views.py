@@ -87,9 +87,28 @@ def _with_next(row: Column, shift: int) -> Column:
     return F.transform(others, lambda other: F.struct(*known, other.alias(f"d{shift}")))
 
 
+def target_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``line_pairs`` without the source lines, of which only the number is joined: a text is shuffled once.
+
+    Scoring takes long for the size of its input, so its partitions are as many as the session names, not joined.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    documents = read_table(spark, folder, "documents").where("text IS NOT NULL")
+    left = documents.select(
+        "doc_id", F.size(F.split("text", "\n", -1)).alias("n_src"), F.col("lang").alias("src_lang"),
+        F.col("source").alias("domain"),
+    )
+    right = documents.select((F.col("doc_id") - 1).alias("doc_id"), "text", F.col("lang").alias("tgt_lang"))
+    right = right.repartition(partitions, "doc_id")
+    tgt = F.split("text", "\n", -1)
+    lines = F.posexplode(F.slice(tgt, 1, F.least("n_src", F.size(tgt)))).alias("pos", "tgt")
+    paired = left.join(right, "doc_id").select("doc_id", lines, "src_lang", "tgt_lang", "domain")
+    return paired.withColumn("pos", F.col("pos").cast("long"))
+
+
 def scored_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Line pairs with a faulty prediction: the target without each fifth word."""
-    pairs = line_pairs(spark, folder)
+    """Target lines with a faulty prediction: the target without each fifth word."""
+    pairs = target_lines(spark, folder)
     without_fifth = F.filter(X.words("tgt"), lambda word, i: (i % 5) != 4)
     return pairs.withColumn("prediction", F.concat_ws(" ", without_fifth))
 

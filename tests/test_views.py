@@ -1,6 +1,7 @@
 """Joins of the given tables: what they return, and how often they are made."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,3 +49,23 @@ def test_formats_are_made_of_pairs_that_were_joined_once(spark, monkeypatch):
     counted = Q.table_formats(spark, FOLDER).groupBy("format").agg(F.sum("n").alias("n")).collect()
     assert made.value == pairs.count()
     assert {row.format: row.n for row in counted} == dict.fromkeys(("parquet", "orc", "json"), made.value)
+
+
+def test_scored_lines_are_those_of_line_pairs(spark, monkeypatch):
+    rows = [
+        (1, "a b\nc", "en", "s"), (2, "d e f g h i\nj\nk", "fr", "s"), (3, None, "de", "t"), (4, "", "en", None),
+        (5, "\n\nx", "de", "t"), (6, "y\u00a0z w v u t", None, "t"), (8, "last", "en", "s"), (None, "m", "en", "s"),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    monkeypatch.setattr(V, "read_table", lambda *_: table)
+    expected = V.line_pairs(spark, FOLDER).drop("src").collect()
+    found = V.scored_pairs(spark, FOLDER)
+    assert len(expected) == 4
+    assert sorted(map(str, found.drop("prediction").select(*expected[0].__fields__).collect())) == sorted(map(str, expected))
+    assert {(row.tgt, row.prediction) for row in found.collect()} >= {("d e f g h i", "d e f g i"), ("", "")}
+
+
+def test_scored_lines_join_the_number_of_source_lines(spark):
+    plan = V.scored_pairs(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert " AS src#" not in plan and " AS n_src#" in plan
+    assert re.search(r"REPARTITION_BY_NUM[^\n]*\n[^\n]*Project \[\(doc_id#\d+L - 1\) AS doc_id#\d+L, text#", plan)
