@@ -17,9 +17,9 @@ from paralane.functions.text import WHITESPACE, text_or_empty
 
 BLEU_ORDER = 4
 CHAR_ORDER = 6
-# Characters handled at a time, so that the tables of codes fit into the processor's cache. A
-# longer row is still handled whole.
-SLICE = 50_000
+# Characters handled at a time: so many that the fixed work of a slice is small beside that of its rows, so
+# few that the tables of codes stay close to the processor. A longer row is still handled whole.
+SLICE = 100_000
 # Words whose pieces a task remembers. They only spare work: when there are more, it begins anew.
 KNOWN_WORDS = 1 << 16
 
@@ -60,28 +60,38 @@ def tokenize_13a(text: str) -> list[str]:
 def _texts_13a(texts: Sequence[str]) -> Sequence[str]:
     """Texts of the same words as those of ``_text_13a``: unchanged if none holds what it replaces."""
     whole = "".join(texts)
-    held = any(some in whole for some in ("&", "<skipped>", "-\n"))
+    held = any(some in whole for some in (*dict(ENTITIES), "<skipped>", "-\n"))
     return list(map(_text_13a, texts)) if held else texts
 
 
 def _code_points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of some texts, as bytes if they are that small, and how many each text has."""
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    joined = "".join(texts).encode("utf-32-le", "surrogatepass")
-    return np.frombuffer(joined, dtype=np.uint32).astype(np.int64), sizes
+    joined = "".join(texts)
+    try:
+        return np.frombuffer(joined.encode("latin-1"), dtype=np.uint8), sizes
+    except UnicodeEncodeError:
+        return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), sizes
+
+
+def _narrow(bits: int) -> type:
+    """The smallest type of integers with so many bits whose arrays are worth telling apart."""
+    return np.uint8 if bits <= 8 else np.uint16 if bits <= 16 else np.uint32 if bits <= 32 else np.int64
 
 
 def _dense(sides: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple:
     """Both sides with small numbers for their code points, and how many there are."""
     units = np.concatenate([units for units, _ in sides])
-    present = np.zeros(int(units.max(initial=0)) + 1, dtype=bool)
+    present = np.zeros(max(int(units.max(initial=0)), 255) + 1, dtype=bool)
     present[units] = True
-    parts = np.split((np.cumsum(present) - 1)[units], [len(sides[0][0])])
+    numbers = np.cumsum(present) - 1
+    parts = np.split(_among(units, numbers.astype(_narrow(int(numbers[-1]).bit_length()))), [len(sides[0][0])])
     return (parts[0], sides[0][1]), (parts[1], sides[1][1]), max(int(present.sum()), 1)
 
 
 def _table(characters: str) -> np.ndarray:
-    """Whether a code point is among some characters; its last entry stands for all above."""
-    table = np.zeros(max(map(ord, characters)) + 2, dtype=bool)
+    """Whether a code point is among some characters; its last entry stands for all above. All bytes have entries."""
+    table = np.zeros(max(255, *map(ord, characters)) + 2, dtype=bool)
     table[list(map(ord, characters))] = True
     return table
 
@@ -96,10 +106,12 @@ KINDS = (
     _table("-") * np.uint8(DASH),
     _table(string.digits) * np.uint8(DIGIT),
 )
-KINDS = sum(np.pad(kind, (0, 128 - len(kind))) for kind in KINDS)
+KINDS = sum(KINDS)
 
 
 def _among(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    if codes.dtype == np.uint8:
+        return np.frombuffer(codes.tobytes().translate(table[:256].tobytes()), dtype=table.dtype)
     return table.take(codes, mode="clip")
 
 
@@ -115,14 +127,17 @@ def _letters(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes[solid], place[ends], place[np.flatnonzero(solid & ~before[:-1])]
 
 
-def _spans(letters: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, int]:
-    """Equal spans of letters get equal numbers; how many there are. A span ends where the next one starts."""
-    most = int(letters.max(initial=0))
-    narrow = letters.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+def _spans(letters: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal spans of letters get equal numbers; then the letters of each distinct span, in their order,
+    and where these begin. A span ends where the next one starts."""
+    narrow = letters.astype(_narrow(int(letters.max(initial=0)).bit_length()), copy=False)
     offsets = np.append(starts, len(letters)) * narrow.itemsize
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(narrow)]
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(narrow))]
     spans = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
-    return spans.indices.to_numpy().astype(np.int64), len(spans.dictionary)
+    count, (_, places, values) = len(spans.dictionary), spans.dictionary.buffers()
+    places = np.frombuffer(places, dtype=np.int64, count=count + 1) if count else np.zeros(1, dtype=np.int64)
+    found = np.frombuffer(values, dtype=narrow.dtype, count=places[-1] // narrow.itemsize) if count else narrow[:0]
+    return spans.indices.to_numpy(), found, places[:-1] // narrow.itemsize
 
 
 def _edge_starts(letters: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -181,20 +196,46 @@ def _sides(units: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.nda
     return [(parts[0], sizes[:middle]), (parts[1], sizes[middle:])]
 
 
-def _pieces(letters: np.ndarray, ends: np.ndarray, starts: np.ndarray) -> tuple:
-    """Both sides as numbers of the pieces that start at some letters, and how many numbers there are."""
-    units, distinct = _spans(letters, starts)
-    return *_sides(units, np.searchsorted(starts, ends)), max(distinct, 1)
+class _Words:
+    """The words of some texts, each distinct word once, so that it is taken apart once."""
+
+    def __init__(self, letters: np.ndarray, ends: np.ndarray, starts: np.ndarray):
+        self.numbers, self.letters, self.starts = _spans(letters, starts)
+        self.ends = np.searchsorted(starts, ends)
+
+    def pieces(self, begins: np.ndarray) -> tuple:
+        """Both sides as numbers of the pieces of their words, and how many numbers there are. Pieces of
+        the distinct words begin at some of their letters."""
+        numbers, _, distinct = _spans(self.letters, begins)
+        first = np.searchsorted(begins, self.starts)
+        counts = np.diff(first, append=len(begins))[self.numbers]
+        places = np.concatenate([[0], np.cumsum(counts)])
+        units = np.repeat(first[self.numbers] - places[:-1], counts)
+        units += np.arange(len(units))
+        return *_sides(numbers[units], places[self.ends]), max(len(distinct), 1)
 
 
 def _changes(ordered: np.ndarray) -> np.ndarray:
     """The digits in which each code differs from the one before it; the first one in all."""
     changes = np.empty_like(ordered)
-    changes[:1] = 1 << 62
+    changes[:1] = np.iinfo(ordered.dtype).max
     np.bitwise_xor(ordered[1:], ordered[:-1], out=changes[1:])
     return changes
 
 
+def _runs(units: np.ndarray, width: int, order: int) -> np.ndarray:
+    """The units that begin at each place, as many as ``order``, as the digits of one integer. Runs
+    double in length, in integers no wider than they need; the last places have none."""
+    length = 1
+    while length < order:
+        more = min(length, order - length)
+        wide = units.astype(_narrow((length + more) * width))
+        runs = wide[:-length] << (more * width)
+        runs |= wide[length:] >> ((length - more) * width)
+        units, length = runs, length + more
+    return units
+
+
 def _overlap(
     predicted: tuple[np.ndarray, np.ndarray],
     reference: tuple[np.ndarray, np.ndarray],
@@ -215,51 +256,66 @@ def _overlap(
     n_rows, width = len(predicted[1]), (int(alphabet) + 1).bit_length()
     ends = np.cumsum(sizes + 1)
     n_places = int(ends[-1]) if len(ends) else 0
-    units = np.zeros(n_places + max_order - 1, dtype=np.int64)
+    units = np.zeros(n_places + 2 * max_order, dtype=_narrow(width))
     inside = np.ones(n_places, dtype=bool)
     inside[ends - 1] = False
     units[:n_places][inside] = np.concatenate([predicted[0], reference[0]])
     units[:n_places] += 2
-    units[ends - 1] = np.arange(2 * n_rows) >= n_rows
+    side = np.arange(2 * n_rows) >= n_rows
+    units[ends - 1] = side
     rows = np.arange(2 * n_rows) % max(n_rows, 1)
-    codes = np.repeat(rows, sizes + 1)
     bits, ranked = n_rows.bit_length(), {}
-    for order in range(1, max_order + 1):
-        if bits + width > 62:
-            ranked[order - 1], codes = np.unique(codes, return_inverse=True)
-            bits = len(ranked[order - 1]).bit_length()
-        codes <<= width
-        codes |= units[order - 1 : order - 1 + n_places]
-        bits += width
-    codes <<= 1
-    codes[ends[n_rows - 1] if n_rows else 0 :] |= 1
+    if bits + max_order * width <= 62:
+        kind = _narrow(bits + max_order * width + 1)
+        codes = _runs(units, width, max_order)[:n_places].astype(kind)
+        codes <<= 1
+        codes |= np.repeat((rows << (max_order * width + 1) | side).astype(kind), sizes + 1)
+    else:
+        codes = np.repeat(rows, sizes + 1)
+        for order in range(1, max_order + 1):
+            if bits + width > 62:
+                ranked[order - 1], codes = np.unique(codes, return_inverse=True)
+                bits = len(ranked[order - 1]).bit_length()
+            codes <<= width
+            codes |= units[order - 1 : order - 1 + n_places]
+            bits += width
+        codes <<= 1
+        codes[ends[n_rows - 1] if n_rows else 0 :] |= 1
     grams = np.sort(codes)
-    # How many more predicted n-grams than others come before a place, and where the rows begin.
-    before = np.cumsum(1 - ((grams & 1) << 1))
-    last = before[-1:].sum()
-    before = np.concatenate([[0], before[:-1]])
+    # How many n-grams of references come before a place; then, how many more predicted ones do. And where
+    # the rows begin.
+    before = np.zeros(n_places + 1, dtype=np.int32 if n_places < 1 << 30 else np.int64)
+    np.cumsum(grams.astype(np.uint8) & np.uint8(1), dtype=before.dtype, out=before[1:])
+    last = n_places - 2 * before[-1]
     places = sizes[:n_rows] + sizes[n_rows:] + 2
     starts = np.cumsum(places) - places
-    matches, top, low = {}, max_order, 1
+    matches, top, low, begins = {}, max_order, 1, None
     changes = _changes(grams)
     for order in range(max_order, 0, -1):
         shift = low + width * (top - order)
-        begins = np.flatnonzero(changes >= 1 << shift)
-        surplus = before[begins]
-        surplus[:-1] -= surplus[1:]
-        surplus[-1:] -= last
+        new = np.flatnonzero(changes >= 1 << shift)
+        # Where an n-gram begins, a longer one does, so only these places are looked at from now on.
+        if begins is None:
+            begins, before = new, new.astype(before.dtype) - 2 * before[new]
+        else:
+            begins, before = begins[new], before[new]
+        changes = changes[new]
+        surplus = np.empty_like(before)
+        np.subtract(before[1:], before[:-1], out=surplus[:-1])
+        surplus[-1:] = last - before[-1:]
         np.abs(surplus, out=surplus)
-        matches[order] = (places - np.add.reduceat(surplus, np.searchsorted(begins, starts))) >> 1
+        matches[order] = (places - np.add.reduceat(surplus, np.searchsorted(begins, starts), dtype=np.int64)) >> 1
+        if ranked:
+            grams = grams[new]
         if order - 1 in ranked:
-            grams = ranked[order - 1][grams[begins] >> (shift + width)]
-            starts, before = np.searchsorted(begins, starts), before[begins]
+            grams = ranked[order - 1][grams >> (shift + width)]
             changes, top, low = _changes(grams), order - 1, 0
     for order in range(1, max_order + 1):
         totals = np.maximum(sizes - order + 1, 0)
         yield totals[:n_rows], totals[n_rows:], matches[order]
 
 
-def _slices(lengths: np.ndarray) -> Iterator[slice]:
+def _slices(lengths: Sequence[int]) -> Iterator[slice]:
     begin = total = 0
     for row, length in enumerate(lengths):
         if row > begin and total + length > SLICE:
@@ -271,11 +327,9 @@ def _slices(lengths: np.ndarray) -> Iterator[slice]:
 
 
 def _by_slice(predictions: pd.Series, references: pd.Series, sums, names: list[str]) -> pd.DataFrame:
-    lengths = (predictions.str.len() + references.str.len()).to_numpy(dtype=np.int64)
-    parts = [
-        np.stack(sums(predictions.iloc[part].tolist(), references.iloc[part].tolist()), axis=1)
-        for part in _slices(lengths)
-    ]
+    predictions, references = predictions.tolist(), references.tolist()
+    lengths = [len(one) + len(other) for one, other in zip(predictions, references)]
+    parts = [np.stack(sums(predictions[part], references[part]), axis=1) for part in _slices(lengths)]
     values = np.concatenate(parts) if parts else np.empty((0, len(names)), dtype=np.int64)
     return pd.DataFrame(values, columns=names)
 
@@ -294,30 +348,18 @@ def _integers(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.LongType()) for name in names])
 
 
-def bleu_sums(prediction: Column | str, reference: Column | str) -> Column:
-    """A struct of the lengths, clipped matches and totals of a row's word 1- to 4-grams."""
-    names, cuts = bleu_fields(), _Cuts()
+def row_sums(
+    prediction: Column | str, reference: Column | str, word_order: int = 2, bleu: bool = True, chrf: bool = True
+) -> Column:
+    """A struct of the fields of ``bleu_sums`` and ``chrf_sums`` together: texts are taken apart once for both."""
+    names = [*(bleu_fields() if bleu else []), *(chrf_fields(word_order) if chrf else [])]
+    cuts = _Cuts()
 
-    def sums(predictions, references):
-        letters, ends, starts = _letters(_texts_13a([*predictions, *references]))
-        *sides, alphabet = _pieces(letters, ends, _starts_13a(letters, starts, cuts))
+    def bleu_values(words):
+        *sides, alphabet = words.pieces(_starts_13a(words.letters, words.starts, cuts))
         orders = list(_overlap(*sides, alphabet, BLEU_ORDER))
         return [sides[0][1], sides[1][1], *[o[2] for o in orders], *[o[0] for o in orders]]
 
-    @F.pandas_udf(_integers(names))
-    def row_sums(predictions: pd.Series, references: pd.Series) -> pd.DataFrame:
-        return _by_slice(predictions, references, sums, names)
-
-    return row_sums(text_or_empty(prediction), text_or_empty(reference))
-
-
-def chrf_sums(prediction: Column | str, reference: Column | str, word_order: int = 2) -> Column:
-    """A struct of the n-grams and clipped matches of characters (1 to 6) and of words.
-
-    Predicted n-grams of an order do not count in rows whose reference has none of it.
-    """
-    names = chrf_fields(word_order)
-
     def counted(orders):
         return [
             value
@@ -326,10 +368,17 @@ def chrf_sums(prediction: Column | str, reference: Column | str, word_order: int
         ]
 
     def sums(predictions, references):
-        letters, ends, starts = _letters([*predictions, *references])
-        values = counted(_overlap(*_dense(_sides(letters, ends)), CHAR_ORDER))
-        if word_order:
-            values += counted(_overlap(*_pieces(letters, ends, _edge_starts(letters, starts)), word_order))
+        texts = [*predictions, *references]
+        known = _letters(texts)
+        words = _Words(*known) if bleu or word_order else None
+        values = []
+        if bleu:
+            changed = _texts_13a(texts)
+            values += bleu_values(words if changed is texts else _Words(*_letters(changed)))
+        if chrf:
+            values += counted(_overlap(*_dense(_sides(*known[:2])), CHAR_ORDER))
+        if chrf and word_order:
+            values += counted(_overlap(*words.pieces(_edge_starts(words.letters, words.starts)), word_order))
         return values
 
     @F.pandas_udf(_integers(names))
@@ -339,6 +388,19 @@ def chrf_sums(prediction: Column | str, reference: Column | str, word_order: int
     return row_sums(text_or_empty(prediction), text_or_empty(reference))
 
 
+def bleu_sums(prediction: Column | str, reference: Column | str) -> Column:
+    """A struct of the lengths, clipped matches and totals of a row's word 1- to 4-grams."""
+    return row_sums(prediction, reference, chrf=False)
+
+
+def chrf_sums(prediction: Column | str, reference: Column | str, word_order: int = 2) -> Column:
+    """A struct of the n-grams and clipped matches of characters (1 to 6) and of words.
+
+    Predicted n-grams of an order do not count in rows whose reference has none of it.
+    """
+    return row_sums(prediction, reference, word_order, bleu=False)
+
+
 def bleu_score(sums: Column | str = "bleu_sums") -> Column:
     """Corpus BLEU, 0 to 100, from summed row values; with exponential smoothing."""
     sums = F.col(sums) if isinstance(sums, str) else sums

@@ -23,12 +23,16 @@ def with_row_sums(
     chrf: bool = True,
 ) -> DataFrame:
     """Add the additive parts of the two scores to each row."""
-    columns = {}
+    fields = {}
     if bleu:
-        columns["bleu_sums"] = O.bleu_sums(prediction, reference)
+        fields["bleu_sums"] = O.bleu_fields()
     if chrf:
-        columns["chrf_sums"] = O.chrf_sums(prediction, reference, word_order)
-    return df.withColumns(columns)
+        fields["chrf_sums"] = O.chrf_fields(word_order)
+    if not fields:
+        return df
+    summed = df.withColumn("_row_sums", O.row_sums(prediction, reference, word_order, bleu, chrf))
+    structs = {name: F.struct(*[f"_row_sums.{field}" for field in some]) for name, some in fields.items()}
+    return summed.withColumns(structs).drop("_row_sums")
 
 
 def _sums(df: DataFrame, word_order: int) -> list[Column]:

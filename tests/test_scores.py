@@ -235,3 +235,30 @@ def test_words_are_looked_up_only_where_stops_or_dashes_follow_each_other(random
     letters, _, starts = O._letters(["1,-2 a..b", "x-y"])
     O._starts_13a(letters, starts, O._Cuts())
     assert asked[-2:] == ["1,-2", "a..b"]
+
+
+def test_both_scores_come_of_one_pass(spark, random_pairs):
+    df = spark.createDataFrame(random_pairs, "prediction string, tgt string")
+    plan = S.score_groups(S.with_row_sums(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython [row_sums(") == 1 and plan.count("row_sums(prediction") <= 1
+    both, apart = S.with_row_sums(df), df.withColumns({"b": O.bleu_sums("prediction", "tgt"), "c": O.chrf_sums("prediction", "tgt")})
+    assert both.select("bleu_sums.*", "chrf_sums.*").collect() == apart.select("b.*", "c.*").collect()
+
+
+def test_distinct_words_are_taken_apart_once(monkeypatch):
+    known = [O._letters(texts) for texts in (["a,b (x) a,b", "(x) a,b"], ["a,b \u0915, a,b", "\u0915, a,b"])]
+    for letters, ends, starts in known:
+        words = O._Words(letters, ends, starts)
+        assert words.numbers.tolist() == [0, 1, 0, 1, 0] and len(words.starts) == 2
+        (first, sizes), (other, others), count = words.pieces(O._starts_13a(words.letters, words.starts, O._Cuts()))
+        assert first.tolist()[-len(other) :] == other.tolist() and (sizes.sum(), others.sum()) == (len(first), len(other))
+        assert count == len({*first.tolist(), *other.tolist()})
+
+
+@pytest.mark.parametrize("width, order", [(1, 1), (3, 2), (7, 3), (5, 4), (9, 6), (12, 5), (8, 7)])
+def test_runs_of_units_are_digits_of_one_integer(width, order):
+    choose = random.Random(order)
+    units = [choose.randrange(1 << width) for _ in range(60)] + [0] * 2 * order
+    found = O._runs(O.np.array(units, dtype=O._narrow(width)), width, order)
+    expected = [sum(units[i + j] << width * (order - 1 - j) for j in range(order)) for i in range(60)]
+    assert found[:60].tolist() == expected
