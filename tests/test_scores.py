@@ -240,7 +240,7 @@ def test_words_are_looked_up_only_where_stops_or_dashes_follow_each_other(random
 def test_both_scores_come_of_one_pass(spark, random_pairs):
     df = spark.createDataFrame(random_pairs, "prediction string, tgt string")
     plan = S.score_groups(S.with_row_sums(df))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("ArrowEvalPython [row_sums(") == 1 and plan.count("row_sums(prediction") <= 1
+    assert plan.count("row_sums(") == 1
     both, apart = S.with_row_sums(df), df.withColumns({"b": O.bleu_sums("prediction", "tgt"), "c": O.chrf_sums("prediction", "tgt")})
     assert both.select("bleu_sums.*", "chrf_sums.*").collect() == apart.select("b.*", "c.*").collect()
 
